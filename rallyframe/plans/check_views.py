@@ -157,4 +157,47 @@ UNION ALL SELECT seq, match_date, gender, level, surface, tourney_name, loser_ke
   winner_name, false FROM valid_v""",
     "first_names_v": """
 SELECT player_key, arg_min(name, seq) AS name, any_value(gender) AS gender FROM sides_v GROUP BY player_key""",
+    "fixtures_v": """
+SELECT seq, k, level AS true_level, surface AS true_surface, match_date,
+  CASE WHEN seq % 41 = 0 THEN '' ELSE CAST(seq - CASE WHEN seq % 53 = 0 THEN 1 ELSE 0 END AS VARCHAR) END AS event_key,
+  CASE WHEN seq % 43 = 0 THEN '' ELSE tourney_id END AS event_date,
+  lpad(CAST(seq % 24 AS VARCHAR), 2, '0') || ':30' AS event_time,
+  CASE WHEN seq % 17 = 0 THEN 'Atp Doubles' WHEN seq % 31 = 0 THEN 'Exhibition'
+    WHEN level = 'challenger' THEN 'Challenger ' || CASE gender WHEN 'men' THEN 'Men' ELSE 'Women' END || ' Singles'
+    WHEN level = 'itf' THEN 'Itf ' || CASE gender WHEN 'men' THEN 'Men' ELSE 'Women' END || ' Singles'
+    ELSE CASE gender WHEN 'men' THEN 'Atp' ELSE 'Wta' END || ' Singles' END AS event_type_type,
+  CASE WHEN level = 'grand_slam' THEN CASE k % 4 WHEN 0 THEN 'Australian Open' WHEN 1 THEN 'Roland Garros'
+      WHEN 2 THEN 'Wimbledon' ELSE 'US Open' END
+    WHEN level = 'qualifying' THEN 'City' || (winner_id % 40) || ' Qualification'
+    WHEN level = 'itf' THEN CASE gender WHEN 'men' THEN 'M15 ' ELSE 'W15 ' END || 'City' || (winner_id % 40)
+    ELSE 'City' || (winner_id % 40) END AS tournament_name,
+  CAST(k AS VARCHAR) AS tournament_key, round AS tournament_round,
+  CASE WHEN seq % 19 = 0 THEN 'Not Started' WHEN seq % 23 = 0 THEN 'Retired'
+    WHEN seq % 29 = 0 THEN 'Cancelled' ELSE 'Finished' END AS event_status,
+  CASE WHEN seq % 19 = 0 AND seq % 2 = 0 THEN '1' ELSE '0' END AS event_live,
+  CASE WHEN seq % 19 = 0 OR seq % 29 = 0 OR seq % 37 = 0 THEN ''
+    WHEN k % 2 = 0 THEN 'First Player' ELSE 'Second Player' END AS event_winner,
+  CASE WHEN seq % 19 = 0 OR seq % 29 = 0 THEN '' ELSE w1 || ' - ' || l1 END AS event_final_result,
+  CASE WHEN seq % 47 = 0 THEN '' ELSE 'P. ' || CASE WHEN k % 2 = 0 THEN winner_id ELSE loser_id END END AS event_first_player,
+  'P. ' || CASE WHEN k % 2 = 0 THEN loser_id ELSE winner_id END AS event_second_player,
+  CAST(CASE WHEN k % 2 = 0 THEN winner_id ELSE loser_id END + 100000 AS VARCHAR) AS first_player_key,
+  CAST(CASE WHEN k % 2 = 0 THEN loser_id ELSE winner_id END + 100000 AS VARCHAR) AS second_player_key,
+  CASE WHEN k % 3 = 0 THEN '' ELSE CASE surface WHEN 'hard' THEN 'Hard (Indoor)' WHEN 'unknown' THEN ''
+    ELSE upper(surface[1]) || surface[2:] END END AS event_surface,
+  'day_' || tourney_id || '.json' AS source_file, w1, l1, w2, l2, gender AS true_gender
+FROM matches_v""",
+    "tournaments_v": """
+SELECT CAST(p_partkey AS VARCHAR) AS tournament_key,
+  p_name || CASE WHEN p_size % 9 = 0 THEN ' - Qualifying' ELSE '' END AS tournament_name,
+  CASE p_size % 6 WHEN 0 THEN 'Hard' WHEN 1 THEN 'Clay' WHEN 2 THEN 'Grass' WHEN 3 THEN 'Carpet'
+    WHEN 4 THEN 'Hard (Indoor)' ELSE '' END AS tournament_sourface,
+  p_type AS event_type_type
+FROM part""",
+    "cache_v": """
+SELECT CAST(c_custkey + 100000 AS VARCHAR) AS player_key, 'P. ' || c_custkey AS player_name,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE 'Player ' || c_custkey END AS player_full_name,
+  c_mktsegment = 'HOUSEHOLD' AS no_row, 'NATION_' || c_nationkey AS player_country,
+  lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || '.' || lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0')
+    || '.' || (1980 + c_custkey % 25) AS player_bday
+FROM customer""",
 }

@@ -181,3 +181,71 @@ def names(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(1980) + F.col("n_chars") % 30).cast("bigint").alias("birth_year"),
         (F.col("n_chars") % 50).alias("matches"),
     )
+
+
+def fixtures(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw daily fixtures: every match with the defects a live feed shows."""
+    m = matches(spark, sf)
+    seq, k = F.col("seq"), F.col("k")
+    men = F.col("gender") == "men"
+    first_won = k % 2 == 0
+    side = F.when(men, "Men").otherwise("Women")
+    city = F.concat(F.lit("City"), F.col("winner_id") % 40)
+    blank = (seq % 19 == 0) | (seq % 29 == 0)
+    first_id = F.when(first_won, F.col("winner_id")).otherwise(F.col("loser_id"))
+    second_id = F.when(first_won, F.col("loser_id")).otherwise(F.col("winner_id"))
+    return m.select(
+        "seq", "k", F.col("level").alias("true_level"), F.col("surface").alias("true_surface"), "match_date",
+        F.when(seq % 41 == 0, "").otherwise((seq - F.when(seq % 53 == 0, 1).otherwise(0)).cast("string"))
+        .alias("event_key"),
+        F.when(seq % 43 == 0, "").otherwise(F.col("tourney_id")).alias("event_date"),
+        F.concat(F.lpad((seq % 24).cast("string"), 2, "0"), F.lit(":30")).alias("event_time"),
+        F.when(seq % 17 == 0, "Atp Doubles").when(seq % 31 == 0, "Exhibition")
+        .when(F.col("level") == "challenger", F.concat_ws(" ", F.lit("Challenger"), side, F.lit("Singles")))
+        .when(F.col("level") == "itf", F.concat_ws(" ", F.lit("Itf"), side, F.lit("Singles")))
+        .otherwise(F.concat(F.when(men, "Atp").otherwise("Wta"), F.lit(" Singles"))).alias("event_type_type"),
+        F.when(F.col("level") == "grand_slam", F.when(k % 4 == 0, "Australian Open")
+               .when(k % 4 == 1, "Roland Garros").when(k % 4 == 2, "Wimbledon").otherwise("US Open"))
+        .when(F.col("level") == "qualifying", F.concat(city, F.lit(" Qualification")))
+        .when(F.col("level") == "itf", F.concat(F.when(men, "M15 ").otherwise("W15 "), city))
+        .otherwise(city).alias("tournament_name"),
+        k.cast("string").alias("tournament_key"), F.col("round").alias("tournament_round"),
+        F.when(seq % 19 == 0, "Not Started").when(seq % 23 == 0, "Retired").when(seq % 29 == 0, "Cancelled")
+        .otherwise("Finished").alias("event_status"),
+        F.when((seq % 19 == 0) & (seq % 2 == 0), "1").otherwise("0").alias("event_live"),
+        F.when(blank | (seq % 37 == 0), "").when(first_won, "First Player").otherwise("Second Player")
+        .alias("event_winner"),
+        F.when(blank, "").otherwise(F.concat_ws(" - ", F.col("w1").cast("string"), F.col("l1").cast("string")))
+        .alias("event_final_result"),
+        F.when(seq % 47 == 0, "").otherwise(F.concat(F.lit("P. "), first_id)).alias("event_first_player"),
+        F.concat(F.lit("P. "), second_id).alias("event_second_player"),
+        (first_id + 100000).cast("string").alias("first_player_key"),
+        (second_id + 100000).cast("string").alias("second_player_key"),
+        F.when((k % 3 == 0) | (F.col("surface") == "unknown"), "")
+        .when(F.col("surface") == "hard", "Hard (Indoor)").otherwise(F.initcap("surface")).alias("event_surface"),
+        F.concat(F.lit("day_"), "tourney_id", F.lit(".json")).alias("source_file"),
+        "w1", "l1", "w2", "l2", F.col("gender").alias("true_gender"),
+    )
+
+
+def tournaments(spark: SparkSession, sf: str) -> DataFrame:
+    surface = F.col("p_size") % 6
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("tournament_key"),
+        F.concat(F.col("p_name"), F.when(F.col("p_size") % 9 == 0, " - Qualifying").otherwise(""))
+        .alias("tournament_name"),
+        first_match([("Hard", surface == 0), ("Clay", surface == 1), ("Grass", surface == 2),
+                     ("Carpet", surface == 3), ("Hard (Indoor)", surface == 4)], "").alias("tournament_sourface"),
+        F.col("p_type").alias("event_type_type"))
+
+
+def player_cache(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col("c_custkey")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    return table(spark, sf, "customer").select(
+        (c + 100000).cast("string").alias("player_key"), F.concat(F.lit("P. "), c).alias("player_name"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.concat(F.lit("Player "), c))
+        .alias("player_full_name"),
+        (F.col("c_mktsegment") == "HOUSEHOLD").alias("no_row"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("player_country"),
+        F.concat_ws(".", two(1 + c % 28), two(1 + c % 12), (1980 + c % 25).cast("string")).alias("player_bday"))
