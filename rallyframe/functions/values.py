@@ -62,7 +62,10 @@ def rounded(c: Column, digits: int) -> Column:
 
 
 def share(part: Column, whole: Column, digits: int = 6) -> Column:
-    return F.when(whole != 0, rounded(part / whole, digits))
+    """Rounded ratio; NULL over nothing. Scaled before dividing, so exact ties stay ties."""
+    scale = float(10 ** digits)
+    scaled = part.cast("double") * F.lit(scale) / whole.cast("double")
+    return F.when(whole != 0, F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(scale))
 
 
 # --- player keys -----------------------------------------------------------

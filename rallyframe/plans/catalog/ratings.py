@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rallyframe.functions.values import rounded
-from rallyframe.operators import ladders
+from rallyframe.operators import audits, ladders, predictions
 from rallyframe.plans import views
 from rallyframe.plans.registry import query
 
@@ -54,3 +54,83 @@ def r3(spark, sf):
         counts("level_surface_matches").alias("level_surfaces"),
         total("level").alias("level_sum"), total("surface").alias("surface_sum"),
         total("level_surface").alias("level_surface_sum"))
+
+
+@query("r4_rating_summary", """
+SELECT 'players' AS what, gender AS part, count(DISTINCT player_key) AS n FROM sides_v GROUP BY gender
+UNION ALL SELECT 'processed', gender, count(*) FROM valid_v GROUP BY gender
+UNION ALL SELECT 'processed_level', level, count(*) FROM valid_v GROUP BY level
+UNION ALL SELECT 'unknown_surface', 'all', count(*) FROM valid_v WHERE surface = 'unknown'""")
+def r4(spark, sf):
+    return audits.rating_summary(views.valid_matches(spark, sf))
+
+
+@query("r5_rating_audit", """
+SELECT issue, count(*) AS players FROM (
+  SELECT player_key, unnest(list_filter([
+    CASE WHEN lv IS DISTINCT FROM total THEN 'level_sum_differs' END,
+    CASE WHEN coalesce(sf, 0) > total THEN 'surface_sum_above_matches' END,
+    CASE WHEN coalesce(sf, 0) < total THEN 'surface_sum_below_matches' END,
+    CASE WHEN low < 1450 OR high > 1550 THEN 'rating_out_of_range' END,
+    CASE WHEN coalesce(sf, 0) <> coalesce(ls, 0) THEN 'level_surface_sum_differs' END], lambda x: x IS NOT NULL)) AS issue
+  FROM (SELECT player_key, max(n) FILTER (layer = 'overall') AS total, sum(n) FILTER (layer = 'level') AS lv,
+      sum(n) FILTER (layer = 'surface') AS sf, sum(n) FILTER (layer = 'level_surface') AS ls,
+      min(rating) AS low, max(rating) AS high FROM ladder_state_v GROUP BY player_key)) GROUP BY issue""")
+def r5(spark, sf):
+    m = views.valid_matches(spark, sf)
+    players = ladders.player_ratings(ladders.ladder_ratings(ladders.fold_ladders(m)), ladders.first_names(m))
+    findings = audits.rating_findings(players, low=1450.0, high=1550.0)
+    return findings.groupBy("issue").agg(F.countDistinct("player_key").alias("players"))
+
+
+@query("r8_overall_support_component", """
+SELECT player_key, floor(sum(rating * n) / sum(n) * 1000 + 0.5) / 1000 AS support_rating, sum(n)::BIGINT AS support_n
+FROM ladder_state_v WHERE layer = 'level' GROUP BY player_key""")
+def r8(spark, sf):
+    out = predictions.overall_support(ladders.ladder_ratings(steps(spark, sf)))
+    return out.withColumn("support_rating", rounded(F.col("support_rating"), 3))
+
+
+def predicted(spark: SparkSession, sf: str) -> DataFrame:
+    m = views.valid_matches(spark, sf)
+    return predictions.predict(predictions.prematch_wide(ladders.fold_ladders(m), m))
+
+
+@query("r6_gs_component", """
+SELECT seq, floor(w_comp * 1000 + 0.5) / 1000 AS winner_component, floor(l_comp * 1000 + 0.5) / 1000 AS loser_component,
+  w_comp_n AS winner_component_n, l_comp_n AS loser_component_n FROM predictions_v WHERE level = 'grand_slam'""")
+def r6(spark, sf):
+    return predicted(spark, sf).where(F.col("level") == "grand_slam").select(
+        "seq", rounded(F.col("winner_component"), 3).alias("winner_component"),
+        rounded(F.col("loser_component"), 3).alias("loser_component"), "winner_component_n", "loser_component_n")
+
+
+@query("r7_historical_predictions", """
+SELECT seq, level, surface, winner_key, loser_key, w_all_n AS winner_overall_n, l_all_n AS loser_overall_n,
+  w_surf_n AS winner_surface_matches, l_surf_n AS loser_surface_matches, weight AS sample_aware_surface_weight,
+  floor(p_level_only * 1e6 + 0.5) / 1e6 AS prob_level_only, floor(p_surface_only * 1e6 + 0.5) / 1e6 AS prob_surface_only,
+  floor(p_blend_80_20 * 1e6 + 0.5) / 1e6 AS prob_blend_80_20, floor(p_blend_70_30 * 1e6 + 0.5) / 1e6 AS prob_blend_70_30,
+  floor(p_blend_60_40 * 1e6 + 0.5) / 1e6 AS prob_blend_60_40, floor(p_sample_aware * 1e6 + 0.5) / 1e6 AS prob_sample_aware
+FROM predictions_v""")
+def r7(spark, sf):
+    p = predicted(spark, sf)
+    return p.select("seq", "level", "surface", "winner_key", "loser_key", "winner_overall_n", "loser_overall_n",
+                    "winner_surface_matches", "loser_surface_matches", "sample_aware_surface_weight",
+                    *[rounded(F.col(f"prob_{m}"), 6).alias(f"prob_{m}") for m in predictions.MODELS])
+
+
+@query("d6_total_order", """
+SELECT seq, row_number() OVER (ORDER BY match_date, seq) AS match_index FROM matches_v""")
+def d6(spark, sf):
+    return predictions.match_index(views.matches(spark, sf).select("match_date", "seq")).select("seq", "match_index")
+
+
+@query("d11_as_of_level_state", """
+SELECT seq, winner_key, loser_key, floor(winner_rating * 1000 + 0.5) / 1000 AS winner_tour_rating,
+  floor(loser_rating * 1000 + 0.5) / 1000 AS loser_tour_rating, winner_n AS winner_tour_n, loser_n AS loser_tour_n
+FROM ladder_steps_v WHERE probe""")
+def d11(spark, sf):
+    return steps(spark, sf).where("probe").select(
+        "seq", "winner_key", "loser_key", rounded(F.col("winner_rating"), 3).alias("winner_tour_rating"),
+        rounded(F.col("loser_rating"), 3).alias("loser_tour_rating"),
+        F.col("winner_n").alias("winner_tour_n"), F.col("loser_n").alias("loser_tour_n"))

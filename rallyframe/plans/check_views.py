@@ -200,4 +200,45 @@ SELECT CAST(c_custkey + 100000 AS VARCHAR) AS player_key, 'P. ' || c_custkey AS
   lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || '.' || lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0')
     || '.' || (1980 + c_custkey % 25) AS player_bday
 FROM customer""",
+    "wide_v": """
+SELECT seq,
+  max(winner_rating) FILTER (layer = 'level' AND NOT probe) AS w_lvl, max(loser_rating) FILTER (layer = 'level' AND NOT probe) AS l_lvl,
+  max(winner_n) FILTER (layer = 'level' AND NOT probe) AS w_lvl_n, max(loser_n) FILTER (layer = 'level' AND NOT probe) AS l_lvl_n,
+  max(winner_rating) FILTER (probe) AS w_tour, max(loser_rating) FILTER (probe) AS l_tour,
+  max(winner_n) FILTER (probe) AS w_tour_n, max(loser_n) FILTER (probe) AS l_tour_n,
+  max(winner_rating) FILTER (layer = 'surface') AS w_surf, max(loser_rating) FILTER (layer = 'surface') AS l_surf,
+  coalesce(max(winner_n) FILTER (layer = 'surface'), 0) AS w_surf_n, coalesce(max(loser_n) FILTER (layer = 'surface'), 0) AS l_surf_n,
+  max(winner_n) FILTER (layer = 'overall') AS w_all_n, max(loser_n) FILTER (layer = 'overall') AS l_all_n
+FROM ladder_steps_v GROUP BY seq""",
+    "components_v": """
+SELECT m.*, w.* EXCLUDE (seq),
+  CASE WHEN level <> 'grand_slam' THEN w_lvl WHEN w_lvl_n + w_tour_n = 0 THEN 1500.0
+    ELSE (w_lvl * (w_lvl_n + CASE WHEN w_lvl_n > 0 THEN 8 ELSE 0 END) + w_tour * (w_tour_n + CASE WHEN w_tour_n > 0 THEN 12 ELSE 0 END))
+      / (w_lvl_n + CASE WHEN w_lvl_n > 0 THEN 8 ELSE 0 END + w_tour_n + CASE WHEN w_tour_n > 0 THEN 12 ELSE 0 END) END AS w_comp,
+  CASE WHEN level <> 'grand_slam' THEN l_lvl WHEN l_lvl_n + l_tour_n = 0 THEN 1500.0
+    ELSE (l_lvl * (l_lvl_n + CASE WHEN l_lvl_n > 0 THEN 8 ELSE 0 END) + l_tour * (l_tour_n + CASE WHEN l_tour_n > 0 THEN 12 ELSE 0 END))
+      / (l_lvl_n + CASE WHEN l_lvl_n > 0 THEN 8 ELSE 0 END + l_tour_n + CASE WHEN l_tour_n > 0 THEN 12 ELSE 0 END) END AS l_comp,
+  w_lvl_n + coalesce(w_tour_n, 0) AS w_comp_n, l_lvl_n + coalesce(l_tour_n, 0) AS l_comp_n,
+  CASE WHEN surface = 'unknown' THEN NULL WHEN least(w_surf_n, l_surf_n) < 5 THEN 0.0::DOUBLE
+    WHEN least(w_surf_n, l_surf_n) < 10 THEN 0.15 WHEN least(w_surf_n, l_surf_n) < 25 THEN 0.25 ELSE 0.35 END AS weight
+FROM valid_v m JOIN wide_v w USING (seq)""",
+    "predictions_v": """
+SELECT *, floor(1e8 / (1 + pow(10, (l_comp - w_comp) / 400)) + 0.5) / 1e8 AS p_level_only,
+  floor(1e8 / (1 + pow(10, (l_surf - w_surf) / 400)) + 0.5) / 1e8 AS p_surface_only,
+  floor(1e8 / (1 + pow(10, ((l_comp * 0.8 + l_surf * 0.2) - (w_comp * 0.8 + w_surf * 0.2)) / 400)) + 0.5) / 1e8 AS p_blend_80_20,
+  floor(1e8 / (1 + pow(10, ((l_comp * 0.7 + l_surf * 0.3) - (w_comp * 0.7 + w_surf * 0.3)) / 400)) + 0.5) / 1e8 AS p_blend_70_30,
+  floor(1e8 / (1 + pow(10, ((l_comp * 0.6 + l_surf * 0.4) - (w_comp * 0.6 + w_surf * 0.4)) / 400)) + 0.5) / 1e8 AS p_blend_60_40,
+  floor(1e8 / (1 + pow(10, ((l_comp * (1 - weight) + l_surf * weight) - (w_comp * (1 - weight) + w_surf * weight)) / 400)) + 0.5) / 1e8
+    AS p_sample_aware
+FROM components_v""",
+    "model_rows_v": """
+SELECT seq, level, surface, model, p, least(w_comp_n, l_comp_n) AS min_level_n, least(w_surf_n, l_surf_n) AS min_surface_n,
+  greatest(p, 1 - p) AS pick
+FROM (
+  SELECT *, 'level_only' AS model, p_level_only AS p FROM predictions_v
+  UNION ALL SELECT *, 'surface_only', p_surface_only FROM predictions_v
+  UNION ALL SELECT *, 'blend_80_20', p_blend_80_20 FROM predictions_v
+  UNION ALL SELECT *, 'blend_70_30', p_blend_70_30 FROM predictions_v
+  UNION ALL SELECT *, 'blend_60_40', p_blend_60_40 FROM predictions_v
+  UNION ALL SELECT *, 'sample_aware', p_sample_aware FROM predictions_v) WHERE p IS NOT NULL""",
 }
