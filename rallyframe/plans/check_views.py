@@ -160,7 +160,7 @@ SELECT player_key, arg_min(name, seq) AS name, any_value(gender) AS gender FROM
     "fixtures_v": """
 SELECT seq, k, level AS true_level, surface AS true_surface, match_date,
   CASE WHEN seq % 41 = 0 THEN '' ELSE CAST(seq - CASE WHEN seq % 53 = 0 THEN 1 ELSE 0 END AS VARCHAR) END AS event_key,
-  CASE WHEN seq % 43 = 0 THEN '' ELSE tourney_id END AS event_date,
+  CASE WHEN seq % 86 = 0 THEN '' WHEN seq % 43 = 0 THEN 'n/a' ELSE tourney_id END AS event_date,
   lpad(CAST(seq % 24 AS VARCHAR), 2, '0') || ':30' AS event_time,
   CASE WHEN seq % 17 = 0 THEN 'Atp Doubles' WHEN seq % 31 = 0 THEN 'Exhibition'
     WHEN level = 'challenger' THEN 'Challenger ' || CASE gender WHEN 'men' THEN 'Men' ELSE 'Women' END || ' Singles'
@@ -241,4 +241,76 @@ FROM (
   UNION ALL SELECT *, 'blend_70_30', p_blend_70_30 FROM predictions_v
   UNION ALL SELECT *, 'blend_60_40', p_blend_60_40 FROM predictions_v
   UNION ALL SELECT *, 'sample_aware', p_sample_aware FROM predictions_v) WHERE p IS NOT NULL""",
+    "history_v": """
+SELECT seq, CASE WHEN gender = 'men' THEN CASE level WHEN 'itf' THEN 'atp_matches_futures_' WHEN 'grand_slam' THEN 'atp_matches_'
+      WHEN 'atp_wta' THEN 'atp_matches_' ELSE 'atp_matches_qual_chall_' END
+    ELSE CASE level WHEN 'grand_slam' THEN 'wta_matches_' WHEN 'atp_wta' THEN 'wta_matches_' ELSE 'wta_matches_qual_itf_' END END
+    || year || '.csv' AS source_file,
+  tourney_id, tourney_name, CASE WHEN surface = 'unknown' THEN '' ELSE upper(surface[1]) || surface[2:] END AS surface,
+  CASE level WHEN 'grand_slam' THEN 'G' WHEN 'atp_wta' THEN ['M', 'A', 'F'][seq % 3 + 1] WHEN 'challenger' THEN 'C'
+    WHEN 'qualifying' THEN CASE WHEN seq % 2 = 0 THEN 'Q' ELSE '' END ELSE '' END AS tourney_level,
+  CASE WHEN seq % 37 = 0 THEN 'n/a' ELSE replace(tourney_id, '-', '') END AS tourney_date, CAST(seq AS VARCHAR) AS match_num,
+  CASE WHEN level = 'qualifying' AND k % 2 = 0 THEN 'Q' ELSE round END AS round, '3' AS best_of,
+  CASE WHEN seq % 31 = 0 THEN '' ELSE CAST(winner_id AS VARCHAR) END AS winner_id,
+  CASE WHEN seq % 29 = 0 THEN '' ELSE winner_name END AS winner_name,
+  ['SLO', 'USA', 'FRA', ''][winner_id % 4 + 1] AS winner_ioc, ['R', 'L', 'U'][k % 3 + 1] AS winner_hand,
+  CAST(170 + winner_id % 30 AS VARCHAR) AS winner_ht, CAST(18 + (winner_id * 7 + k) % 20 AS VARCHAR) || '.3' AS winner_age,
+  CAST(loser_id AS VARCHAR) AS loser_id, loser_name, ['SLO', 'USA', 'FRA', ''][loser_id % 4 + 1] AS loser_ioc,
+  ['R', 'L', 'U'][loser_k % 3 + 1] AS loser_hand, CAST(170 + loser_id % 30 AS VARCHAR) AS loser_ht,
+  CAST(18 + (loser_id * 7 + loser_k) % 20 AS VARCHAR) || '.3' AS loser_age
+FROM matches_v""",
+    "history_import_v": r"""
+SELECT *, CASE WHEN date IS NULL THEN 'missing_or_invalid_date'
+    WHEN winner_name = '' OR loser_name = '' THEN 'missing_player_name'
+    WHEN nsurface = 'unknown' AND level NOT IN ('itf', 'qualifying') THEN 'unknown_surface_not_allowed' END AS skip_reason
+FROM (
+  SELECT *, CASE WHEN regexp_full_match(tourney_date, '[0-9]{8}') THEN tourney_date[1:4] || '-' || tourney_date[5:6] || '-'
+      || tourney_date[7:8] END AS date,
+    CASE WHEN source_file LIKE 'atp%' THEN 'men' ELSE 'women' END AS gender,
+    CASE WHEN lower(surface) IN ('hard', 'clay', 'grass', 'carpet') THEN lower(surface) ELSE 'unknown' END AS nsurface,
+    CASE WHEN tourney_level = 'G' THEN 'grand_slam' WHEN tourney_level IN ('D', 'M', 'A', 'F') THEN 'atp_wta'
+      WHEN tourney_level = 'C' THEN 'challenger' WHEN tourney_level = 'Q' THEN 'qualifying'
+      WHEN upper(round) = 'Q' OR lower(tourney_name) LIKE '%qual%' THEN 'qualifying'
+      WHEN source_file LIKE '%futures%' THEN 'itf' WHEN regexp_matches(source_file, '(atp|wta)_matches_[0-9]') THEN 'atp_wta'
+      WHEN source_file LIKE '%chall%' THEN 'challenger' ELSE 'itf' END AS level
+  FROM history_v)""",
+    "fixture_steps_v": r"""
+SELECT f.*, CASE WHEN regexp_full_match(raw_date, '\d{4}-\d{2}-\d{2}') THEN raw_date END AS date,
+  coalesce(nullif(c1.player_full_name, ''), c1.player_name, f.event_first_player) AS first_name,
+  coalesce(nullif(c2.player_full_name, ''), c2.player_name, f.event_second_player) AS second_name,
+  CASE WHEN nullif(c1.player_full_name, '') IS NOT NULL THEN 'cache_full_name' WHEN c1.player_name IS NOT NULL
+    THEN 'cache_short_name' ELSE 'fixture' END AS first_name_source,
+  CASE WHEN lower(event_surface) LIKE '%hard%' THEN 'hard' WHEN lower(event_surface) LIKE '%clay%' THEN 'clay'
+    WHEN lower(event_surface) LIKE '%grass%' THEN 'grass' WHEN lower(event_surface) LIKE '%carpet%' THEN 'carpet' END AS own_surface,
+  CASE WHEN lower(tournament_sourface) LIKE '%hard%' THEN 'hard' WHEN lower(tournament_sourface) LIKE '%clay%' THEN 'clay'
+    WHEN lower(tournament_sourface) LIKE '%grass%' THEN 'grass' WHEN lower(tournament_sourface) LIKE '%carpet%' THEN 'carpet' END
+    AS meta_surface, t.tournament_sourface
+FROM (SELECT *, CASE WHEN event_date = '' THEN regexp_extract(source_file, '\d{4}-\d{2}-\d{2}') ELSE event_date END AS raw_date
+  FROM fixtures_v) f
+LEFT JOIN (SELECT * FROM cache_v WHERE NOT no_row) c1 ON c1.player_key = f.first_player_key
+LEFT JOIN (SELECT * FROM cache_v WHERE NOT no_row) c2 ON c2.player_key = f.second_player_key
+LEFT JOIN tournaments_v t USING (tournament_key)""",
+    "fixture_import_v": r"""
+SELECT *, CASE WHEN date IS NULL THEN 'missing_or_invalid_date' WHEN lower(event_type_type) LIKE '%double%' THEN 'doubles_or_team_match'
+    WHEN NOT (regexp_matches(lower(event_status), 'finished|ended|complete|final|retired|walkover|wo|w/o') OR event_winner <> ''
+      OR regexp_matches(event_final_result, '\d')) THEN 'not_finished'
+    WHEN gender = 'unknown' THEN 'unknown_gender' WHEN first_name = '' OR second_name = '' THEN 'missing_player_name'
+    WHEN event_winner = '' THEN 'missing_or_unresolved_winner' WHEN level = 'unknown' THEN 'unknown_level'
+    WHEN surface = 'unknown' AND level NOT IN ('itf', 'qualifying') THEN 'unknown_surface_not_allowed' END AS skip_reason,
+  CASE WHEN event_winner LIKE 'First%' THEN first_name ELSE second_name END AS winner_name,
+  CASE WHEN event_winner LIKE 'First%' THEN second_name ELSE first_name END AS loser_name,
+  CASE WHEN event_winner LIKE 'First%' THEN first_player_key ELSE second_player_key END AS winner_id,
+  CASE WHEN event_winner LIKE 'First%' THEN second_player_key ELSE first_player_key END AS loser_id
+FROM (
+  SELECT *, CASE WHEN regexp_matches(t, '\bwta\b|women|female|girls') THEN 'women'
+      WHEN regexp_matches(t, '\batp\b|men|male|boys') THEN 'men' ELSE 'unknown' END AS gender,
+    CASE WHEN regexp_matches(t, 'australian open|roland garros|french open|wimbledon|us open') THEN 'grand_slam'
+      WHEN regexp_matches(t, 'qualification|qualifying') THEN 'qualifying' WHEN t LIKE '%challenger%' THEN 'challenger'
+      WHEN regexp_matches(t, 'itf | itf|m15|w15') THEN 'itf' WHEN regexp_matches(t, '\batp\b|\bwta\b') THEN 'atp_wta'
+      ELSE 'unknown' END AS level,
+    coalesce(own_surface, meta_surface, 'unknown') AS surface,
+    CASE WHEN own_surface IS NOT NULL THEN event_surface
+      WHEN meta_surface IS NOT NULL THEN 'tournament_metadata:' || tournament_sourface ELSE event_surface END AS surface_source
+  FROM (SELECT *, ' ' || lower(tournament_name || ' | ' || event_type_type || ' | ' || tournament_round) || ' ' AS t
+    FROM fixture_steps_v))""",
 }

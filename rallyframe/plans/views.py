@@ -198,7 +198,7 @@ def fixtures(spark: SparkSession, sf: str) -> DataFrame:
         "seq", "k", F.col("level").alias("true_level"), F.col("surface").alias("true_surface"), "match_date",
         F.when(seq % 41 == 0, "").otherwise((seq - F.when(seq % 53 == 0, 1).otherwise(0)).cast("string"))
         .alias("event_key"),
-        F.when(seq % 43 == 0, "").otherwise(F.col("tourney_id")).alias("event_date"),
+        F.when(seq % 86 == 0, "").when(seq % 43 == 0, "n/a").otherwise(F.col("tourney_id")).alias("event_date"),
         F.concat(F.lpad((seq % 24).cast("string"), 2, "0"), F.lit(":30")).alias("event_time"),
         F.when(seq % 17 == 0, "Atp Doubles").when(seq % 31 == 0, "Exhibition")
         .when(F.col("level") == "challenger", F.concat_ws(" ", F.lit("Challenger"), side, F.lit("Singles")))
@@ -249,3 +249,32 @@ def player_cache(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("c_mktsegment") == "HOUSEHOLD").alias("no_row"),
         F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("player_country"),
         F.concat_ws(".", two(1 + c % 28), two(1 + c % 12), (1980 + c % 25).cast("string")).alias("player_bday"))
+
+
+def history_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw history lines as the yearly files hold them."""
+    m = matches(spark, sf)
+    seq, level = F.col("seq"), F.col("level")
+    pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i + 1).cast("int"))
+    tour = level.isin("grand_slam", "atp_wta")
+    stem = (F.when(F.col("gender") == "men", F.when(level == "itf", "atp_matches_futures_")
+                   .when(tour, "atp_matches_").otherwise("atp_matches_qual_chall_"))
+            .otherwise(F.when(tour, "wta_matches_").otherwise("wta_matches_qual_itf_")))
+    side = lambda s, k: [
+        pick(("SLO", "USA", "FRA", ""), F.col(f"{s}_id") % 4).alias(f"{s}_ioc"),
+        pick(("R", "L", "U"), F.col(k) % 3).alias(f"{s}_hand"),
+        (170 + F.col(f"{s}_id") % 30).cast("string").alias(f"{s}_ht"),
+        F.concat((18 + (F.col(f"{s}_id") * 7 + F.col(k)) % 20).cast("string"), F.lit(".3")).alias(f"{s}_age")]
+    return m.select(
+        "seq", F.concat(stem, "year", F.lit(".csv")).alias("source_file"), "tourney_id", "tourney_name",
+        F.when(F.col("surface") == "unknown", "").otherwise(F.initcap("surface")).alias("surface"),
+        F.when(level == "grand_slam", "G").when(level == "atp_wta", pick(("M", "A", "F"), seq % 3))
+        .when(level == "challenger", "C").when((level == "qualifying") & (seq % 2 == 0), "Q").otherwise("")
+        .alias("tourney_level"),
+        F.when(seq % 37 == 0, "n/a").otherwise(F.replace("tourney_id", F.lit("-"), F.lit(""))).alias("tourney_date"),
+        seq.cast("string").alias("match_num"),
+        F.when((level == "qualifying") & (F.col("k") % 2 == 0), "Q").otherwise(F.col("round")).alias("round"),
+        F.lit("3").alias("best_of"),
+        F.when(seq % 31 == 0, "").otherwise(F.col("winner_id").cast("string")).alias("winner_id"),
+        F.when(seq % 29 == 0, "").otherwise(F.col("winner_name")).alias("winner_name"), *side("winner", "k"),
+        F.col("loser_id").cast("string").alias("loser_id"), "loser_name", *side("loser", "loser_k"))
