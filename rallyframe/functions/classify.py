@@ -5,7 +5,7 @@ Each classifier is an ordered list of (class, test); the first test that holds d
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,12 +49,9 @@ MEN_TOKENS = ("m", "man", "men", "male", "atp")
 WOMEN_TOKENS = ("w", "woman", "women", "female", "wta")
 
 
-def any_of(tests) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
 def has_any(text: Column, words) -> Column:
-    return any_of([text.contains(w) for w in words])
+    """One pass over the text for all words; also keeps generated code small."""
+    return text.rlike("|".join(re.escape(w) for w in words))
 
 
 def first_match(rules, otherwise) -> Column:
@@ -159,12 +156,12 @@ def level_from_pick(level: Column, event_type: Column, qualification: Column) ->
 def is_qualification(c: Column) -> Column:
     """Never true for quarterfinals."""
     t = clean_ws(F.translate(F.lower(F.coalesce(c, F.lit(""))), "-_", "  "))
-    return any_of([t.rlike(p) for p in QUALIFICATION_PATTERNS])
+    return t.rlike("|".join(QUALIFICATION_PATTERNS))
 
 
 # --- doubles ---------------------------------------------------------------
 def is_doubles(piped: Column, first: Column, second: Column) -> Column:
-    pair = any_of([F.coalesce(p, F.lit("")).contains(mark) for p in (first, second) for mark in ("/", " & ")])
+    pair = F.concat_ws(" | ", first, second).rlike("/| & ")
     return piped.contains("double") | pair
 
 

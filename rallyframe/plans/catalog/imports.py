@@ -8,6 +8,7 @@ from rallyframe.operators import imports as I
 from rallyframe.plans import views
 from rallyframe.plans.registry import query
 from rallyframe.sources.history import with_source
+from rallyframe.workspace import materialise
 
 
 def history(spark, sf):
@@ -79,7 +80,8 @@ FROM (SELECT seq, source_file, CASE WHEN event_key <> '' THEN 'api_event:' || ev
     FROM fixture_import_v WHERE skip_reason IS NULL))
 WINDOW w AS (PARTITION BY stable_key ORDER BY source_file, seq)""")
 def c7(spark, sf):
-    kept = fixtures(spark, sf).where(F.col("skip_reason").isNull()).select("seq", "source_file", "stable_key")
+    kept = materialise(  # the import runs once, the rows are read twice
+        fixtures(spark, sf).where(F.col("skip_reason").isNull()).select("seq", "source_file", "stable_key"), "imported")
     return I.mark_duplicates(kept, "stable_key", ["source_file", "seq"]).select(
         "seq", "stable_key", "is_first", "first_source_file")
 
