@@ -313,4 +313,100 @@ FROM (
       WHEN meta_surface IS NOT NULL THEN 'tournament_metadata:' || tournament_sourface ELSE event_surface END AS surface_source
   FROM (SELECT *, ' ' || lower(tournament_name || ' | ' || event_type_type || ' | ' || tournament_round) || ' ' AS t
     FROM fixture_steps_v))""",
+    "closure_key_v": "SELECT alias_key, canonical_key FROM alias_closure_v",
+    "aliased_v": """
+SELECT m.* EXCLUDE (winner_key, loser_key), coalesce(a.canonical_key, winner_key) AS winner_key,
+  coalesce(b.canonical_key, loser_key) AS loser_key,
+  CASE WHEN a.canonical_key <> winner_key THEN winner_key END AS winner_key_original,
+  CASE WHEN b.canonical_key <> loser_key THEN loser_key END AS loser_key_original
+FROM matches_v m LEFT JOIN alias_closure_v a ON a.alias_key = m.winner_key
+  LEFT JOIN alias_closure_v b ON b.alias_key = m.loser_key""",
+    "mapped_feed_v": """
+SELECT *, CASE WHEN winner_key IS NULL AND loser_key IS NULL THEN 'none_mapped' WHEN winner_key IS NULL OR loser_key IS NULL THEN 'one_mapped'
+  WHEN winner_key = loser_key THEN 'mapped_winner_loser_same_player' ELSE 'both_mapped' END AS coverage
+FROM (SELECT f.*, coalesce(ca.canonical_key, a.target_key) AS winner_key, coalesce(cb.canonical_key, b.target_key) AS loser_key,
+    coalesce(a.status, 'missing_mapping_entry') AS winner_status, coalesce(b.status, 'missing_mapping_entry') AS loser_status
+  FROM feed_v f LEFT JOIN mapping_v a ON a.api_key = f.winner_api_key LEFT JOIN mapping_v b ON b.api_key = f.loser_api_key
+  LEFT JOIN alias_closure_v ca ON ca.alias_key = a.target_key LEFT JOIN alias_closure_v cb ON cb.alias_key = b.target_key)""",
+    "primary_v": """
+SELECT seq, match_date, gender, level, surface, lower(round) AS round_norm, winner_key, loser_key,
+  least(winner_key, loser_key) || '|' || greatest(winner_key, loser_key) AS pair
+FROM aliased_v WHERE winner_key <> loser_key
+QUALIFY row_number() OVER (PARTITION BY match_date, gender, level, surface, lower(round), pair ORDER BY seq) = 1""",
+    "feed_keys_v": """
+SELECT seq, match_date, gender, level, surface, lower(round) AS round_norm, winner_key, loser_key,
+  least(winner_key, loser_key) || '|' || greatest(winner_key, loser_key) AS pair
+FROM mapped_feed_v WHERE coverage = 'both_mapped'""",
+    "merge_pairs_v": """
+SELECT f.seq, p.seq AS p_seq, p.winner_key AS p_winner, p.round_norm = f.round_norm AS same_round,
+  p.level = f.level AND p.surface = f.surface AS same_court
+FROM feed_keys_v f JOIN primary_v p USING (match_date, gender, pair)""",
+    "merge_v": """
+SELECT seq, match_date, gender, level, surface, winner_key, loser_key, strategy,
+  CASE WHEN strategy IS NULL OR strategy = 'ambiguous' THEN NULL ELSE met_id END AS met_id,
+  CASE WHEN strategy IS NULL THEN 'added' WHEN strategy = 'ambiguous' THEN 'ambiguous' WHEN met_winner = winner_key THEN 'duplicate'
+    ELSE 'conflict' END AS outcome
+FROM (
+  SELECT f.*, CASE WHEN c.n IS NULL THEN CASE WHEN f.seq = f.first_seq THEN NULL WHEN f.first_court AND f.first_round THEN 'strict' ELSE 'date_gender_players' END
+      WHEN c.n_strict > 0 THEN 'strict' WHEN c.n = 1 THEN 'date_gender_players' WHEN c.n_round = 1 THEN 'round_refined'
+      WHEN c.n_court = 1 THEN 'level_surface_refined' ELSE 'ambiguous' END AS strategy,
+    CASE WHEN c.n IS NULL THEN f.first_seq WHEN c.n_strict > 0 THEN c.id_strict WHEN c.n = 1 THEN c.id_any WHEN c.n_round = 1 THEN c.id_round ELSE c.id_court END AS met_id,
+    CASE WHEN c.n IS NULL THEN f.first_winner WHEN c.n_strict > 0 THEN c.w_strict WHEN c.n = 1 THEN c.w_any WHEN c.n_round = 1 THEN c.w_round ELSE c.w_court END AS met_winner
+  FROM (SELECT *, first_value(seq) OVER w AS first_seq, first_value(winner_key) OVER w AS first_winner,
+      first_value(round_norm) OVER w = round_norm AS first_round,
+      first_value(level) OVER w = level AND first_value(surface) OVER w = surface AS first_court
+    FROM feed_keys_v WINDOW w AS (PARTITION BY match_date, gender, pair ORDER BY seq)) f
+  LEFT JOIN (SELECT seq, count(*) AS n, count(*) FILTER (same_round AND same_court) AS n_strict, count(*) FILTER (same_round) AS n_round,
+      count(*) FILTER (same_court) AS n_court, min(p_seq) FILTER (same_round AND same_court) AS id_strict, min(p_seq) AS id_any,
+      min(p_seq) FILTER (same_round) AS id_round, min(p_seq) FILTER (same_court) AS id_court,
+      arg_min(p_winner, p_seq) FILTER (same_round AND same_court) AS w_strict, arg_min(p_winner, p_seq) AS w_any,
+      arg_min(p_winner, p_seq) FILTER (same_round) AS w_round, arg_min(p_winner, p_seq) FILTER (same_court) AS w_court
+    FROM merge_pairs_v GROUP BY seq) c USING (seq))""",
+    "ext_picks_v": """
+SELECT 'x' || f.seq AS pick_id, f.seq, CAST(f.match_date AS VARCHAR) AS date, f.gender,
+  CASE f.level WHEN 'atp_wta' THEN CASE WHEN f.seq % 2 = 0 THEN 'main-tour' ELSE 'ATP' END WHEN 'grand_slam' THEN 'Slam' ELSE f.level END AS tour_level,
+  CASE f.seq % 3 WHEN 0 THEN 'ev-' || (CASE WHEN f.seq % 10 < 5 THEN f.seq ELSE 1000000 + f.seq // 4 END) WHEN 1 THEN '' ELSE 'ev-' || (900000000 + f.seq) END AS fixture_id,
+  'Open ' || (f.seq % 25) AS tournament, 'Match ' || f.seq AS match_name,
+  CASE WHEN m.k % 2 = 0 THEN f.winner_api_key ELSE f.loser_api_key END AS player_api_key,
+  CASE WHEN m.k % 2 = 0 THEN f.loser_api_key ELSE f.winner_api_key END AS opponent_api_key,
+  CASE WHEN m.k % 2 = 0 THEN f.winner_name ELSE f.loser_name END AS player_name,
+  CASE WHEN m.k % 2 = 0 THEN f.loser_name ELSE f.winner_name END AS opponent_name,
+  CASE WHEN f.seq % 50 = 0 THEN 'void' WHEN m.k % 2 = 0 THEN 'win' ELSE 'loss' END AS result,
+  CASE WHEN m.k % 5 = 0 THEN 1.25 ELSE 1.0 END::DOUBLE AS stake, (130 + m.k * 7 % 320)::DOUBLE / 100 AS odds,
+  (300 + f.seq * 37 % 500)::DOUBLE / 1000 AS model_prob, CASE WHEN f.seq % 2 = 0 THEN (200 + f.seq * 13 % 600)::DOUBLE / 1000 END AS implied_prob,
+  (m.k % 11)::DOUBLE / 10 AS player_win_rate, CASE WHEN m.loser_k % 7 = 0 THEN NULL ELSE (m.loser_k % 11)::DOUBLE / 10 END AS opponent_win_rate,
+  m.k % 4 AS h2h_player, m.loser_k % 4 AS h2h_opponent
+FROM feed_v f JOIN matches_v m USING (seq)""",
+    "pred_keys_v": """
+SELECT seq, CAST(match_date AS VARCHAR) AS date, gender, CAST(CASE WHEN seq % 10 < 5 THEN seq ELSE 1000000 + seq // 4 END AS VARCHAR) AS digits,
+  least(winner_key, loser_key) || '|' || greatest(winner_key, loser_key) AS pair, winner_key, loser_key, level, surface
+FROM valid_v""",
+    "pick_keys_v": """
+SELECT p.*, a.target_key AS p_key, b.target_key AS o_key, coalesce(a.status, 'not_in_mapping') AS p_status, coalesce(b.status, 'not_in_mapping') AS o_status,
+  regexp_replace(fixture_id, '[^0-9]+', '', 'g') AS digits,
+  CASE WHEN a.target_key IS NOT NULL AND b.target_key IS NOT NULL THEN least(a.target_key, b.target_key) || '|' || greatest(a.target_key, b.target_key) END AS pair
+FROM ext_picks_v p LEFT JOIN mapping_v a ON a.api_key = p.player_api_key LEFT JOIN mapping_v b ON b.api_key = p.opponent_api_key""",
+    "pick_match_v": """
+SELECT p.*, CASE WHEN i.n = 1 THEN 'matched_by_match_id' WHEN i.n > 1 AND p.pair IS NOT NULL AND ip.n = 1 THEN 'matched_by_match_id_pair'
+    WHEN i.n > 1 AND p.pair IS NOT NULL THEN 'matched_by_match_id_ambiguous' WHEN pr.n = 1 THEN 'matched_by_date_gender_pair'
+    WHEN pr.n > 1 THEN 'matched_by_date_gender_pair_ambiguous' ELSE 'no_prediction_match' END AS match_status,
+  CASE WHEN i.n = 1 THEN i.s WHEN i.n > 1 AND p.pair IS NOT NULL AND ip.n = 1 THEN ip.s WHEN i.n > 1 AND p.pair IS NOT NULL THEN i.s
+    WHEN pr.n >= 1 THEN pr.s END AS prediction_seq
+FROM pick_keys_v p
+LEFT JOIN (SELECT date, gender, digits, count(*) AS n, min(seq) AS s FROM pred_keys_v GROUP BY ALL) i USING (date, gender, digits)
+LEFT JOIN (SELECT date, gender, digits, pair, count(*) AS n, min(seq) AS s FROM pred_keys_v GROUP BY ALL) ip USING (date, gender, digits, pair)
+LEFT JOIN (SELECT date, gender, pair, count(*) AS n, min(seq) AS s FROM pred_keys_v GROUP BY ALL) pr USING (date, gender, pair)""",
+    "source_results_v": """
+SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS pick_id,
+  CASE WHEN o_orderkey % 4 = 1 THEN 'e' || o_orderkey END AS event_key, CASE WHEN o_orderkey % 4 = 2 THEN 'f' || (o_orderkey - o_orderkey % 8) END AS fixture_id,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CAST(o_custkey AS VARCHAR) AS player_key, CAST(o_custkey % 10 AS VARCHAR) AS opponent_key,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'home' ELSE 'away' END AS side,
+  CASE o_orderstatus WHEN 'F' THEN 'win' WHEN 'O' THEN 'loss' ELSE 'void' END AS result,
+  CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 50 AS DOUBLE) END AS profit
+FROM orders""",
+    "active_v": """
+SELECT CAST(pick_id AS VARCHAR) AS pick_id, 'e' || pick_id AS event_key, 'f' || (pick_id - pick_id % 8) AS fixture_id,
+  CAST(pick_date AS VARCHAR) AS date, CAST(player_id AS VARCHAR) AS player_key, CAST(player_id % 10 AS VARCHAR) AS opponent_key, side,
+  CAST(stake AS DOUBLE) AS stake, CAST(odds AS DOUBLE) AS odds
+FROM picks_v""",
 }

@@ -278,3 +278,60 @@ def history_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.when(seq % 31 == 0, "").otherwise(F.col("winner_id").cast("string")).alias("winner_id"),
         F.when(seq % 29 == 0, "").otherwise(F.col("winner_name")).alias("winner_name"), *side("winner", "k"),
         F.col("loser_id").cast("string").alias("loser_id"), "loser_name", *side("loser", "loser_k"))
+
+
+def external_picks(spark: SparkSession, sf: str) -> DataFrame:
+    """Picks of another model on the second feed's matches."""
+    f = fixture_matches(spark, sf)
+    m = matches(spark, sf).select("seq", "k", "loser_k")
+    seq, k, lk = F.col("seq"), F.col("k"), F.col("loser_k")
+    first = k % 2 == 0
+    pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
+    number = match_number()
+    return f.join(m, "seq").select(
+        F.concat(F.lit("x"), seq).alias("pick_id"), "seq", F.date_format("match_date", "yyyy-MM-dd").alias("date"),
+        "gender",
+        F.when(F.col("level") == "atp_wta", F.when(seq % 2 == 0, "main-tour").otherwise("ATP"))
+        .when(F.col("level") == "grand_slam", "Slam").otherwise(F.col("level")).alias("tour_level"),
+        F.when(seq % 3 == 0, F.concat(F.lit("ev-"), number)).when(seq % 3 == 1, "")
+        .otherwise(F.concat(F.lit("ev-"), seq + 900000000)).alias("fixture_id"),
+        F.concat(F.lit("Open "), seq % 25).alias("tournament"), F.concat(F.lit("Match "), seq).alias("match_name"),
+        pick("winner_api_key", "loser_api_key").alias("player_api_key"),
+        pick("loser_api_key", "winner_api_key").alias("opponent_api_key"),
+        pick("winner_name", "loser_name").alias("player_name"), pick("loser_name", "winner_name").alias("opponent_name"),
+        F.when(seq % 50 == 0, "void").when(first, "win").otherwise("loss").alias("result"),
+        F.when(k % 5 == 0, 1.25).otherwise(1.0).alias("stake"), ((130 + k * 7 % 320).cast("double") / 100).alias("odds"),
+        ((300 + seq * 37 % 500).cast("double") / 1000).alias("model_prob"),
+        F.when(seq % 2 == 0, (200 + seq * 13 % 600).cast("double") / 1000).alias("implied_prob"),
+        F.to_json(F.struct(F.struct(((k % 11).cast("double") / 10).alias("win_rate")).alias("last_10"))).alias("player_form"),
+        F.to_json(F.struct(F.struct(F.when(lk % 7 != 0, (lk % 11).cast("double") / 10).alias("win_rate")).alias("last_10")))
+        .alias("opponent_form"),
+        F.to_json(F.struct((k % 4).alias("first_wins"), (lk % 4).alias("second_wins"))).alias("h2h"))
+
+
+def match_number():
+    """Feed number of a match; later matches of a gender share theirs."""
+    seq = F.col("seq")
+    return F.when(seq % 10 < 5, seq).otherwise(F.expr("1000000 + seq div 4")).cast("string")
+
+
+def source_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of another tracker, each known under one of four kinds of key."""
+    o, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf, "orders").select(
+        o.alias("row_no"), F.when(o % 4 == 0, o.cast("string")).alias("pick_id"),
+        F.when(o % 4 == 1, F.concat(F.lit("e"), o)).alias("event_key"),
+        F.when(o % 4 == 2, F.concat(F.lit("f"), o - o % 8)).alias("fixture_id"), day.alias("date"),
+        F.col("o_custkey").cast("string").alias("player_key"), (F.col("o_custkey") % 10).cast("string").alias("opponent_key"),
+        F.when(o % 2 == 0, "home").otherwise("away").alias("side"),
+        F.when(F.col("o_orderstatus") == "F", "win").when(F.col("o_orderstatus") == "O", "loss").otherwise("void").alias("result"),
+        F.when(o % 3 == 0, (F.floor("o_totalprice") % 50).cast("double")).alias("profit"))
+
+
+def active_picks(spark: SparkSession, sf: str) -> DataFrame:
+    p = F.col("pick_id")
+    return picks(spark, sf).select(
+        p.cast("string").alias("pick_id"), F.concat(F.lit("e"), p).alias("event_key"),
+        F.concat(F.lit("f"), p - p % 8).alias("fixture_id"), F.date_format("pick_date", "yyyy-MM-dd").alias("date"),
+        F.col("player_id").cast("string").alias("player_key"), (F.col("player_id") % 10).cast("string").alias("opponent_key"),
+        "side", F.col("stake").cast("double").alias("stake"), F.col("odds").cast("double").alias("odds"))
