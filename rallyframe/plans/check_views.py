@@ -409,4 +409,33 @@ SELECT CAST(pick_id AS VARCHAR) AS pick_id, 'e' || pick_id AS event_key, 'f' ||
   CAST(pick_date AS VARCHAR) AS date, CAST(player_id AS VARCHAR) AS player_key, CAST(player_id % 10 AS VARCHAR) AS opponent_key, side,
   CAST(stake AS DOUBLE) AS stake, CAST(odds AS DOUBLE) AS odds
 FROM picks_v""",
+    "enriched_v": """
+SELECT *, CASE WHEN w_key IS NULL THEN 'no_prediction_match' WHEN mapping_status <> 'mapped' THEN 'unmapped_player'
+    WHEN picked_side IS NULL THEN 'picked_player_not_in_prediction' WHEN p_blend_80_20 IS NULL THEN 'missing_elo_probability'
+    WHEN surface = 'unknown' THEN 'unknown_surface'
+    WHEN min_level_n < 10 THEN 'min_level_not_met' WHEN min_surface_n < 5 THEN 'min_surface_not_met' ELSE '' END AS no_bet_reason,
+  no_bet_reason = '' AS eligible, elo_prob_full >= 0.5 AS agrees, floor(elo_prob_full * 1e6 + 0.5) / 1e6 AS elo_prob_pick,
+  floor(old_edge_full * 1e6 + 0.5) / 1e6 AS old_edge, floor(elo_edge_full * 1e6 + 0.5) / 1e6 AS elo_edge
+FROM (
+  SELECT *, floor((model_prob - implied) * 1e8 + 0.5) / 1e8 AS old_edge_full, floor((elo_prob_full - implied) * 1e8 + 0.5) / 1e8 AS elo_edge_full
+  FROM (
+    SELECT p.* EXCLUDE (tour_level), CASE p.tour_level WHEN 'main-tour' THEN 'atp_wta' WHEN 'Slam' THEN 'grand_slam' ELSE lower(p.tour_level) END AS tour_level,
+      r.winner_key AS w_key, r.level, r.surface, least(r.w_comp_n, r.l_comp_n) AS min_level_n, least(r.w_surf_n, r.l_surf_n) AS min_surface_n,
+      CASE WHEN p_key IS NULL AND o_key IS NULL THEN 'both_unmapped:' || p_status || '|' || o_status WHEN p_key IS NULL THEN 'player_unmapped:' || p_status
+        WHEN o_key IS NULL THEN 'opponent_unmapped:' || o_status ELSE 'mapped' END AS mapping_status,
+      CASE WHEN p_key = r.winner_key THEN 'winner' WHEN p_key = r.loser_key AND p_blend_80_20 IS NOT NULL THEN 'loser' END AS picked_side,
+      r.p_blend_80_20,
+      floor(CASE WHEN p_key = r.winner_key THEN p_blend_80_20 WHEN p_key = r.loser_key THEN 1 - p_blend_80_20 END * 1e8 + 0.5) / 1e8 AS elo_prob_full,
+      coalesce(p.implied_prob, 1.0 / p.odds) AS implied,
+      floor((player_win_rate - opponent_win_rate) * 1e6 + 0.5) / 1e6 AS last10_win_rate_diff, h2h_player - h2h_opponent AS h2h_diff,
+      h2h_player + h2h_opponent AS h2h_sum,
+      CAST(CASE result WHEN 'win' THEN CAST(p.stake AS DECIMAL(18,6)) * (CAST(p.odds AS DECIMAL(18,6)) - 1)
+        WHEN 'loss' THEN -CAST(p.stake AS DECIMAL(18,6)) ELSE 0 END AS DECIMAL(18,6)) AS profit
+    FROM pick_match_v p LEFT JOIN predictions_v r ON r.seq = p.prediction_seq))""",
+    "played_v": """
+SELECT seq, match_date, winner_key AS player_key, 1 AS won, sign(w1 - l1) + sign(w2 - l2) AS set_diff, w1 + w2 - l1 - l2 AS game_diff
+FROM valid_v WHERE w1 <> l1 OR w2 <> l2
+UNION ALL SELECT seq, match_date, loser_key, 0, -(sign(w1 - l1) + sign(w2 - l2)), l1 + l2 - w1 - w2 FROM valid_v WHERE w1 <> l1 OR w2 <> l2""",
+    "ledger_v": """
+SELECT *, CAST(CASE status WHEN 'win' THEN stake * (odds - 1) WHEN 'loss' THEN -stake WHEN 'void' THEN 0 END AS DECIMAL(18,6)) AS profit FROM picks_v""",
 }
