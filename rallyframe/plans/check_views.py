@@ -438,4 +438,96 @@ FROM valid_v WHERE w1 <> l1 OR w2 <> l2
 UNION ALL SELECT seq, match_date, loser_key, 0, -(sign(w1 - l1) + sign(w2 - l2)), l1 + l2 - w1 - w2 FROM valid_v WHERE w1 <> l1 OR w2 <> l2""",
     "ledger_v": """
 SELECT *, CAST(CASE status WHEN 'win' THEN stake * (odds - 1) WHEN 'loss' THEN -stake WHEN 'void' THEN 0 END AS DECIMAL(18,6)) AS profit FROM picks_v""",
+    "scan_v": r"""
+SELECT f.* REPLACE (CASE WHEN seq % 11 = 0 THEN 'Finished' WHEN seq % 13 = 0 THEN 'Postponed' ELSE '' END AS event_status,
+    CASE WHEN seq % 23 = 0 THEN '1' ELSE '0' END AS event_live, CAST(match_date AS VARCHAR) AS event_date),
+  CASE WHEN k % 10 = 0 THEN '1' ELSE '0' END AS event_qualification,
+  t.map_name, coalesce(t.map_qualification, false) AS map_qualification, t.map_surface
+FROM fixtures_v f LEFT JOIN (SELECT tournament_key, trim(regexp_replace(translate(lower(tournament_name), '-_', '  '), '\s+', ' ', 'g')) AS map_name,
+  tournament_name LIKE '%Qualifying%' AS map_qualification,
+  CASE WHEN lower(tournament_sourface) LIKE '%hard%' THEN 'hard' ELSE nullif(lower(tournament_sourface), '') END AS map_surface FROM tournaments_v) t USING (tournament_key)""",
+    "scan_context_v": r"""
+SELECT *, CASE WHEN qualification THEN 'qualifying' ELSE base_level END AS level FROM (
+  SELECT *, CASE WHEN regexp_matches(c, '\b(women|woman|female|wta)\b') OR regexp_matches(c, '\bw(15|35|50|75|100)\b') THEN 'women'
+      WHEN regexp_matches(c, '\b(men|man|male|atp)\b') OR regexp_matches(c, '\bm(15|25)\b') THEN 'men' ELSE 'unknown' END AS gender,
+    CASE WHEN regexp_matches(c, 'grand slam|australian open|roland garros|wimbledon|us open') THEN 'grand_slam'
+      WHEN regexp_matches(c, 'challenger') OR regexp_matches(c, '\bch\b') THEN 'challenger'
+      WHEN regexp_matches(c, 'itf') OR regexp_matches(c, '\b(m(15|25)|w(15|35|50|75|100))\b') THEN 'itf'
+      WHEN regexp_matches(c, 'atp|wta') THEN 'atp_wta' ELSE 'unknown' END AS base_level,
+    event_qualification = '1' OR regexp_matches(c, '\bqualif(ication|ications|ying|ier|iers)?\b|\bqual\.?\b') OR map_qualification AS qualification
+  FROM (SELECT *, trim(regexp_replace(translate(lower(event_type_type || ' ' || tournament_name || ' ' || tournament_round || ' ' || tournament_key || ' ' ||
+    coalesce(map_name, '')), '-_', '  '), '\s+', ' ', 'g')) AS c FROM scan_v))""",
+    "slam_map_v": "SELECT lower(tournament_name) AS map_key, min(true_surface) AS map_value, min(seq) AS position FROM fixtures_v WHERE true_level = 'grand_slam' AND true_surface <> 'unknown' GROUP BY 1",
+    "scan_surface_v": """
+SELECT s.*, CASE WHEN event_surface <> '' THEN 'api_field:event_surface' WHEN seq % 9 = 0 THEN 'api_field:venue.court.type' WHEN seq % 9 = 1 THEN 'api_text:notes[0]'
+    WHEN map_surface IS NOT NULL THEN 'tournaments_metadata' WHEN h.surface IS NOT NULL THEN 'tournament_surface_map' ELSE 'missing' END AS surface_source,
+  coalesce(CASE WHEN event_surface LIKE 'Hard%' THEN 'hard' ELSE nullif(lower(event_surface), '') END, CASE WHEN seq % 9 = 0 THEN 'clay' WHEN seq % 9 = 1 THEN 'grass' END,
+    map_surface, h.surface, 'unknown') AS surface
+FROM scan_context_v s LEFT JOIN (SELECT t.c, arg_min(map_value, {'l': -length(map_key), 'k': map_key}) AS surface
+  FROM (SELECT DISTINCT c FROM scan_context_v) t JOIN slam_map_v m ON contains(t.c, m.map_key) GROUP BY t.c) h ON h.c = s.c""",
+    "scan_skip_v": r"""
+SELECT *, CASE WHEN event_status <> '' THEN 'status_' || lower(event_status) WHEN event_live = '1' THEN 'live'
+  WHEN lower(event_type_type) LIKE '%double%' THEN 'doubles_or_team' WHEN event_key = '' THEN 'missing_event_key'
+  WHEN event_first_player = '' THEN 'missing_player_name' END AS scan_skip FROM scan_surface_v""",
+    "odds_v": """
+WITH m AS (SELECT event_key, side, median(odds) AS mid, count(*) AS raw_n FROM quotes_v WHERE odds > 1 GROUP BY 1, 2 HAVING count(*) >= 3),
+j AS (SELECT q.*, m.mid, m.raw_n, abs(q.odds - mid) / mid <= 0.12 AS near FROM quotes_v q JOIN m USING (event_key, side) WHERE odds > 1),
+n AS (SELECT event_key, side, count(*) FILTER (near) AS near_n FROM j GROUP BY 1, 2),
+u AS (SELECT j.* FROM j JOIN n USING (event_key, side) WHERE near_n < 3 OR near),
+o AS (SELECT event_key, side, floor(sum(CAST(odds AS DECIMAL(18,6)))::DOUBLE / count(*) * 1e4 + 0.5) / 1e4 AS avg_odds, floor(median(odds) * 1e4 + 0.5) / 1e4 AS median_odds,
+  max({'o': odds, 'b': bookmaker}).o AS best_odds, max({'o': odds, 'b': bookmaker}).b AS best_bookmaker, any_value(raw_n) AS quotes_raw, count(*) AS quotes_clean,
+  any_value(raw_n) - count(*) AS outliers_removed FROM u GROUP BY 1, 2)
+SELECT * FROM o WHERE event_key IN (SELECT event_key FROM o GROUP BY 1 HAVING count(*) = 2)""",
+    "profile_v": """
+SELECT player_key, coalesce(max(rating) FILTER (layer = 'level' AND value = 'grand_slam'), 1500.0) AS grand_slam_r, coalesce(max(n) FILTER (layer = 'level' AND value = 'grand_slam'), 0) AS grand_slam_n, coalesce(max(rating) FILTER (layer = 'level' AND value = 'atp_wta'), 1500.0) AS atp_wta_r, coalesce(max(n) FILTER (layer = 'level' AND value = 'atp_wta'), 0) AS atp_wta_n, coalesce(max(rating) FILTER (layer = 'level' AND value = 'challenger'), 1500.0) AS challenger_r, coalesce(max(n) FILTER (layer = 'level' AND value = 'challenger'), 0) AS challenger_n, coalesce(max(rating) FILTER (layer = 'level' AND value = 'itf'), 1500.0) AS itf_r, coalesce(max(n) FILTER (layer = 'level' AND value = 'itf'), 0) AS itf_n, coalesce(max(rating) FILTER (layer = 'level' AND value = 'qualifying'), 1500.0) AS qualifying_r, coalesce(max(n) FILTER (layer = 'level' AND value = 'qualifying'), 0) AS qualifying_n, coalesce(max(rating) FILTER (layer = 'surface' AND value = 'hard'), 1500.0) AS hard_r, coalesce(max(n) FILTER (layer = 'surface' AND value = 'hard'), 0) AS hard_n, coalesce(max(rating) FILTER (layer = 'surface' AND value = 'clay'), 1500.0) AS clay_r, coalesce(max(n) FILTER (layer = 'surface' AND value = 'clay'), 0) AS clay_n, coalesce(max(rating) FILTER (layer = 'surface' AND value = 'grass'), 1500.0) AS grass_r, coalesce(max(n) FILTER (layer = 'surface' AND value = 'grass'), 0) AS grass_n, coalesce(max(rating) FILTER (layer = 'surface' AND value = 'carpet'), 1500.0) AS carpet_r, coalesce(max(n) FILTER (layer = 'surface' AND value = 'carpet'), 0) AS carpet_n,
+  coalesce(sum(rating * n) FILTER (layer = 'level') / sum(n) FILTER (layer = 'level'), 1500.0) AS overall_r, coalesce(sum(n) FILTER (layer = 'level'), 0)::BIGINT AS overall_n
+FROM ladder_state_v GROUP BY player_key""",
+    "scan_sides_v": """
+SELECT e.seq, e.event_key, e.gender, e.level, e.base_level, e.surface, e.surface_source, e.c, e.event_first_player || ' - ' || e.event_second_player AS match_name, x.*,
+  a.target_key AS own_key, b.target_key AS other_key
+FROM (SELECT * FROM scan_skip_v WHERE scan_skip IS NULL AND gender IN ('men', 'women')) e,
+  LATERAL (VALUES ('home', first_player_key, second_player_key), ('away', second_player_key, first_player_key)) x(side, own_player_key, other_player_key)
+LEFT JOIN mapping_v a ON a.api_key = e.gender || ':api:' || x.own_player_key LEFT JOIN mapping_v b ON b.api_key = e.gender || ':api:' || x.other_player_key""",
+    "scan_components_v": """
+SELECT s.*, own.player_key IS NOT NULL AND oth.player_key IS NOT NULL AS rated, 
+  CASE s.level WHEN 'grand_slam' THEN CASE WHEN own.grand_slam_n + own.atp_wta_n = 0 THEN 1500.0 ELSE (own.grand_slam_r * (own.grand_slam_n + CASE WHEN own.grand_slam_n > 0 THEN 8 ELSE 0 END)
+      + own.atp_wta_r * (own.atp_wta_n + CASE WHEN own.atp_wta_n > 0 THEN 12 ELSE 0 END)) / (own.grand_slam_n + CASE WHEN own.grand_slam_n > 0 THEN 8 ELSE 0 END
+      + own.atp_wta_n + CASE WHEN own.atp_wta_n > 0 THEN 12 ELSE 0 END) END
+    WHEN 'atp_wta' THEN own.atp_wta_r WHEN 'challenger' THEN own.challenger_r WHEN 'itf' THEN own.itf_r WHEN 'qualifying' THEN own.qualifying_r ELSE 1500.0 END AS own_plain_r, CASE s.level WHEN 'grand_slam' THEN own.grand_slam_n + own.atp_wta_n WHEN 'atp_wta' THEN own.atp_wta_n WHEN 'challenger' THEN own.challenger_n
+    WHEN 'itf' THEN own.itf_n WHEN 'qualifying' THEN own.qualifying_n ELSE 0 END AS own_plain_n,
+  CASE WHEN s.base_level = 'unknown' OR CASE s.base_level WHEN 'grand_slam' THEN own.grand_slam_n + own.atp_wta_n WHEN 'atp_wta' THEN own.atp_wta_n WHEN 'challenger' THEN own.challenger_n
+    WHEN 'itf' THEN own.itf_n WHEN 'qualifying' THEN own.qualifying_n ELSE 0 END = 0 THEN own.overall_r ELSE CASE s.base_level WHEN 'grand_slam' THEN CASE WHEN own.grand_slam_n + own.atp_wta_n = 0 THEN 1500.0 ELSE (own.grand_slam_r * (own.grand_slam_n + CASE WHEN own.grand_slam_n > 0 THEN 8 ELSE 0 END)
+      + own.atp_wta_r * (own.atp_wta_n + CASE WHEN own.atp_wta_n > 0 THEN 12 ELSE 0 END)) / (own.grand_slam_n + CASE WHEN own.grand_slam_n > 0 THEN 8 ELSE 0 END
+      + own.atp_wta_n + CASE WHEN own.atp_wta_n > 0 THEN 12 ELSE 0 END) END
+    WHEN 'atp_wta' THEN own.atp_wta_r WHEN 'challenger' THEN own.challenger_r WHEN 'itf' THEN own.itf_r WHEN 'qualifying' THEN own.qualifying_r ELSE 1500.0 END * 0.7 + own.overall_r * 0.3 END AS own_qual_r,
+  CASE WHEN s.base_level = 'unknown' THEN 0 ELSE CASE s.base_level WHEN 'grand_slam' THEN own.grand_slam_n + own.atp_wta_n WHEN 'atp_wta' THEN own.atp_wta_n WHEN 'challenger' THEN own.challenger_n
+    WHEN 'itf' THEN own.itf_n WHEN 'qualifying' THEN own.qualifying_n ELSE 0 END END AS own_qual_n, own.overall_n AS own_overall_n,
+  CASE s.surface WHEN 'hard' THEN own.hard_r WHEN 'clay' THEN own.clay_r WHEN 'grass' THEN own.grass_r WHEN 'carpet' THEN own.carpet_r ELSE 1500.0 END AS own_surf_r,
+  CASE s.surface WHEN 'hard' THEN own.hard_n WHEN 'clay' THEN own.clay_n WHEN 'grass' THEN own.grass_n WHEN 'carpet' THEN own.carpet_n ELSE 0 END AS own_surf_n, 
+  CASE s.level WHEN 'grand_slam' THEN CASE WHEN oth.grand_slam_n + oth.atp_wta_n = 0 THEN 1500.0 ELSE (oth.grand_slam_r * (oth.grand_slam_n + CASE WHEN oth.grand_slam_n > 0 THEN 8 ELSE 0 END)
+      + oth.atp_wta_r * (oth.atp_wta_n + CASE WHEN oth.atp_wta_n > 0 THEN 12 ELSE 0 END)) / (oth.grand_slam_n + CASE WHEN oth.grand_slam_n > 0 THEN 8 ELSE 0 END
+      + oth.atp_wta_n + CASE WHEN oth.atp_wta_n > 0 THEN 12 ELSE 0 END) END
+    WHEN 'atp_wta' THEN oth.atp_wta_r WHEN 'challenger' THEN oth.challenger_r WHEN 'itf' THEN oth.itf_r WHEN 'qualifying' THEN oth.qualifying_r ELSE 1500.0 END AS oth_plain_r, CASE s.level WHEN 'grand_slam' THEN oth.grand_slam_n + oth.atp_wta_n WHEN 'atp_wta' THEN oth.atp_wta_n WHEN 'challenger' THEN oth.challenger_n
+    WHEN 'itf' THEN oth.itf_n WHEN 'qualifying' THEN oth.qualifying_n ELSE 0 END AS oth_plain_n,
+  CASE WHEN s.base_level = 'unknown' OR CASE s.base_level WHEN 'grand_slam' THEN oth.grand_slam_n + oth.atp_wta_n WHEN 'atp_wta' THEN oth.atp_wta_n WHEN 'challenger' THEN oth.challenger_n
+    WHEN 'itf' THEN oth.itf_n WHEN 'qualifying' THEN oth.qualifying_n ELSE 0 END = 0 THEN oth.overall_r ELSE CASE s.base_level WHEN 'grand_slam' THEN CASE WHEN oth.grand_slam_n + oth.atp_wta_n = 0 THEN 1500.0 ELSE (oth.grand_slam_r * (oth.grand_slam_n + CASE WHEN oth.grand_slam_n > 0 THEN 8 ELSE 0 END)
+      + oth.atp_wta_r * (oth.atp_wta_n + CASE WHEN oth.atp_wta_n > 0 THEN 12 ELSE 0 END)) / (oth.grand_slam_n + CASE WHEN oth.grand_slam_n > 0 THEN 8 ELSE 0 END
+      + oth.atp_wta_n + CASE WHEN oth.atp_wta_n > 0 THEN 12 ELSE 0 END) END
+    WHEN 'atp_wta' THEN oth.atp_wta_r WHEN 'challenger' THEN oth.challenger_r WHEN 'itf' THEN oth.itf_r WHEN 'qualifying' THEN oth.qualifying_r ELSE 1500.0 END * 0.7 + oth.overall_r * 0.3 END AS oth_qual_r,
+  CASE WHEN s.base_level = 'unknown' THEN 0 ELSE CASE s.base_level WHEN 'grand_slam' THEN oth.grand_slam_n + oth.atp_wta_n WHEN 'atp_wta' THEN oth.atp_wta_n WHEN 'challenger' THEN oth.challenger_n
+    WHEN 'itf' THEN oth.itf_n WHEN 'qualifying' THEN oth.qualifying_n ELSE 0 END END AS oth_qual_n, oth.overall_n AS oth_overall_n,
+  CASE s.surface WHEN 'hard' THEN oth.hard_r WHEN 'clay' THEN oth.clay_r WHEN 'grass' THEN oth.grass_r WHEN 'carpet' THEN oth.carpet_r ELSE 1500.0 END AS oth_surf_r,
+  CASE s.surface WHEN 'hard' THEN oth.hard_n WHEN 'clay' THEN oth.clay_n WHEN 'grass' THEN oth.grass_n WHEN 'carpet' THEN oth.carpet_n ELSE 0 END AS oth_surf_n
+FROM scan_sides_v s LEFT JOIN profile_v own ON own.player_key = s.own_key LEFT JOIN profile_v oth ON oth.player_key = s.other_key""",
+    "scan_prob_v": """
+SELECT *, CASE WHEN rated AND lw IS NOT NULL THEN floor(1e8 / (1 + pow(10, ((oth_r * lw + oth_surf_r * sw) / (lw + sw) - (own_r * lw + own_surf_r * sw) / (lw + sw)) / 400)) + 0.5) / 1e8 END AS side_prob,
+  CASE WHEN rated THEN least(own_n, oth_n) END AS min_level_n, CASE WHEN rated AND level = 'qualifying' THEN least(own_overall_n, oth_overall_n) END AS min_overall_n,
+  CASE WHEN rated THEN least(own_surf_n, oth_surf_n) END AS min_surface_n
+FROM (SELECT *, CASE WHEN level = 'qualifying' THEN own_qual_r ELSE own_plain_r END AS own_r, CASE WHEN level = 'qualifying' THEN oth_qual_r ELSE oth_plain_r END AS oth_r,
+    CASE WHEN level = 'qualifying' THEN own_qual_n ELSE own_plain_n END AS own_n, CASE WHEN level = 'qualifying' THEN oth_qual_n ELSE oth_plain_n END AS oth_n,
+    CASE level WHEN 'atp_wta' THEN 0.7::DOUBLE WHEN 'grand_slam' THEN 0.7 WHEN 'challenger' THEN 0.6 WHEN 'itf' THEN 1.0 WHEN 'qualifying' THEN 1.0 END AS lw,
+    CASE level WHEN 'atp_wta' THEN 0.3::DOUBLE WHEN 'grand_slam' THEN 0.3 WHEN 'challenger' THEN 0.4 ELSE 0.0 END AS sw FROM scan_components_v)""",
+    "scan_strict_v": """
+SELECT * REPLACE (CASE WHEN level = 'qualifying' THEN CASE WHEN rated THEN floor(1e8 / (1 + pow(10, (oth_plain_r - own_plain_r) / 400)) + 0.5) / 1e8 END ELSE side_prob END AS side_prob,
+  CASE WHEN level = 'qualifying' AND rated THEN least(own_plain_n, oth_plain_n) ELSE min_level_n END AS min_level_n, NULL AS min_overall_n) FROM scan_prob_v""",
 }

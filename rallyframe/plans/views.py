@@ -335,3 +335,16 @@ def active_picks(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("f"), p - p % 8).alias("fixture_id"), F.date_format("pick_date", "yyyy-MM-dd").alias("date"),
         F.col("player_id").cast("string").alias("player_key"), (F.col("player_id") % 10).cast("string").alias("opponent_key"),
         "side", F.col("stake").cast("double").alias("stake"), F.col("odds").cast("double").alias("odds"))
+
+
+def scan_fixtures(spark: SparkSession, sf: str) -> DataFrame:
+    """Upcoming fixtures for the scan, with the raw record as JSON."""
+    seq, k = F.col("seq"), F.col("k")
+    f = fixtures(spark, sf).withColumns({
+        "event_status": F.when(seq % 11 == 0, "Finished").when(seq % 13 == 0, "Postponed").otherwise(""),
+        "event_live": F.when(seq % 23 == 0, "1").otherwise("0"), "event_date": F.date_format("match_date", "yyyy-MM-dd"),
+        "event_qualification": F.when(k % 10 == 0, "1").otherwise("0")})
+    court = F.struct(F.struct(F.lit("Clay").alias("type")).alias("court"))
+    raw = F.struct("event_key", "event_type_type", "tournament_name", "event_surface",
+                   F.when(seq % 9 == 0, court).alias("venue"), F.when(seq % 9 == 1, F.array(F.lit("played on grass"))).alias("notes"))
+    return f.withColumn("raw", F.to_json(raw))
