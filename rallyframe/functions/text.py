@@ -84,7 +84,11 @@ PARTICLES = ("de", "del", "de la", "da", "di", "van", "von", "la", "le", "du", "
 
 def name_features(name: Column) -> dict[str, Column]:
     """Blocking and scoring features of a raw name."""
-    norm = normalize_name(name)
+    return norm_features(normalize_name(name))
+
+
+def norm_features(norm: Column) -> dict[str, Column]:
+    """The same features from a name that is normalised already."""
     ts = tokens(norm)
     n = F.size(ts)
     last = F.when(n > 0, F.element_at(ts, -1)).otherwise("")

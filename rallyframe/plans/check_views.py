@@ -530,4 +530,17 @@ FROM (SELECT *, CASE WHEN level = 'qualifying' THEN own_qual_r ELSE own_plain_r
     "scan_strict_v": """
 SELECT * REPLACE (CASE WHEN level = 'qualifying' THEN CASE WHEN rated THEN floor(1e8 / (1 + pow(10, (oth_plain_r - own_plain_r) / 400)) + 0.5) / 1e8 END ELSE side_prob END AS side_prob,
   CASE WHEN level = 'qualifying' AND rated THEN least(own_plain_n, oth_plain_n) ELSE min_level_n END AS min_level_n, NULL AS min_overall_n) FROM scan_prob_v""",
+    "feed_blocks_v": """
+SELECT DISTINCT gender, norm, x.kind, x.key FROM (SELECT *, list_filter(string_split(norm, ' '), lambda x: x <> '') AS t FROM (SELECT DISTINCT gender, trim(regexp_replace(lower(strip_accents(feed_name)), '[^a-z0-9]+', ' ', 'g')) AS norm FROM names_v) WHERE norm <> ''),
+  LATERAL (VALUES ('norm', norm), ('token_key', array_to_string(list_sort(t), ' ')), ('compact', CASE WHEN len(t) = 1 THEN t[1] ELSE t[1][1] || ' ' || array_to_string(t[2:], ' ') END),
+    ('surname', t[-1]), ('last', t[-1])) x(kind, key)""",
+    "own_blocks_v": """
+SELECT DISTINCT gender, norm, x.kind, x.key FROM (SELECT *, list_filter(string_split(norm, ' '), lambda x: x <> '') AS t FROM (SELECT DISTINCT gender, trim(regexp_replace(lower(strip_accents(name)), '[^a-z0-9]+', ' ', 'g')) AS norm FROM names_v) WHERE norm <> ''),
+  LATERAL (VALUES ('norm', norm), ('token_key', array_to_string(list_sort(t), ' ')), ('compact', CASE WHEN len(t) = 1 THEN t[1] ELSE t[1][1] || ' ' || array_to_string(t[2:], ' ') END),
+    ('surname', t[-1]), ('last', t[-1])) x(kind, key)""",
+    "exact_pairs_v": """
+SELECT gender, feed_norm, cand_norm, max(s) AS base_score, arg_max(method, s) AS method FROM (
+  SELECT gender, a.norm AS feed_norm, b.norm AS cand_norm, CASE kind WHEN 'norm' THEN 1.0::DOUBLE WHEN 'token_key' THEN 0.995 ELSE 0.97 END AS s,
+    CASE kind WHEN 'norm' THEN 'exact_normalized' WHEN 'token_key' THEN 'exact_token_set' ELSE 'exact_initial_form' END AS method
+  FROM feed_blocks_v a JOIN own_blocks_v b USING (gender, kind, key) WHERE kind IN ('norm', 'token_key', 'compact')) GROUP BY 1, 2, 3""",
 }
