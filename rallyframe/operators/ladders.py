@@ -25,11 +25,11 @@ ORDER = ("match_date", "seq")
 LADDER = ("gender", "layer", "value")
 SLICE_ROWS = 1_000_000
 
-_STEP_SCHEMA = (
+STEP_SCHEMA = (
     "gender string, layer string, value string, seq bigint, probe boolean, "
     "winner_key string, loser_key string, winner_rating double, loser_rating double, "
     "winner_n bigint, loser_n bigint, winner_after double, loser_after double")
-_STATE_SCHEMA = "gender string, layer string, value string, player_key string, rating double, n bigint"
+STATE_SCHEMA = "gender string, layer string, value string, player_key string, rating double, n bigint"
 
 
 def ladder_rows(matches: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
@@ -77,13 +77,14 @@ def _walk(rows: pd.DataFrame, order: tuple[str, ...], start: dict[str, tuple[flo
     return pd.concat([rows[[*LADDER, "seq", "probe", "winner_key", "loser_key"]], played], axis=1)
 
 
-def _one_slice(rows: DataFrame, order: tuple[str, ...], state: DataFrame | None) -> DataFrame:
+def fold_slice(rows: DataFrame, order: tuple[str, ...], state: DataFrame | None) -> DataFrame:
+    """Steps of one time slice, starting from the given state."""
     if state is None:
-        return rows.groupBy(*LADDER).applyInPandas(lambda pdf: _walk(pdf, order, {}), _STEP_SCHEMA)
+        return rows.groupBy(*LADDER).applyInPandas(lambda pdf: _walk(pdf, order, {}), STEP_SCHEMA)
 
     def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
-            return pd.DataFrame(columns=[c.split()[0] for c in _STEP_SCHEMA.split(", ")])
+            return pd.DataFrame(columns=[c.split()[0] for c in STEP_SCHEMA.split(", ")])
         start = dict(zip(right["player_key"], zip(right["rating"], right["n"])))
         return _walk(left, order, start)
 
@@ -91,7 +92,7 @@ def _one_slice(rows: DataFrame, order: tuple[str, ...], state: DataFrame | None)
     present = rows.select(*LADDER, F.explode(F.array("winner_key", "loser_key")).alias("player_key")).distinct()
     needed = state.join(present, [*LADDER, "player_key"], "left_semi")
     return (rows.groupBy(*LADDER).cogroup(needed.groupBy(*LADDER))
-            .applyInPandas(fold, _STEP_SCHEMA))
+            .applyInPandas(fold, STEP_SCHEMA))
 
 
 def final_state(steps: DataFrame) -> DataFrame:
@@ -130,15 +131,15 @@ def fold_ladders(matches: DataFrame, order: tuple[str, ...] = ORDER, slice_rows:
     """State of both sides before and after every match, on every ladder."""
     sliced, count = time_slices(matches, order, slice_rows)
     if count == 1:
-        return _one_slice(ladder_rows(sliced, order), order, None)
+        return fold_slice(ladder_rows(sliced, order), order, None)
     spark = matches.sparkSession
     out, state = new_path(spark, "ladder-steps"), None
     for number in range(count):
         rows = ladder_rows(sliced.where(F.col("slice") == number), order)
-        _one_slice(rows, order, state).write.mode("overwrite").parquet(f"{out}/slice={number}")
-        steps = spark.read.schema(_STEP_SCHEMA).parquet(f"{out}/slice={number}")
+        fold_slice(rows, order, state).write.mode("overwrite").parquet(f"{out}/slice={number}")
+        steps = spark.read.schema(STEP_SCHEMA).parquet(f"{out}/slice={number}")
         state = materialise(advance_state(state, steps), f"ladder-state-{number}")
-    return spark.read.schema(_STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count)])
+    return spark.read.schema(STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count)])
 
 
 # --- products of the fold --------------------------------------------------

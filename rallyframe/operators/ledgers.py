@@ -20,21 +20,26 @@ def profit(result: Column, stake: Column, odds: Column) -> Column:
 
 
 def settle_by_event(active: DataFrame, results: DataFrame) -> DataFrame:
-    """Outcome of each active pick from the result of its event.
+    """Outcome of each active pick from the result of its event."""
+    r = results.select("event_key", "event_status", "event_winner", F.lit(True).alias("found"))
+    joined = active.join(r, "event_key", "left")
+    return settle_outcome(joined.withColumn("found", F.coalesce("found", F.lit(False))))
+
+
+def settle_outcome(joined: DataFrame) -> DataFrame:
+    """Result, reason and profit of picks joined with their event.
 
     Unfinished, unknown and winnerless events leave the pick pending with a reason. So does a
     status nobody recognises.
     """
     state = C.settle_status(F.col("event_status"))
     side = C.settle_winner_side(F.col("event_winner"), *[F.lit(None).cast("string")] * 6)
-    r = results.select("event_key", state.alias("state"), side.alias("winner_side"), F.lit(True).alias("found"))
-    j = active.join(r, "event_key", "left")
-    outcome = (F.when(F.col("found").isNull(), "fixture_not_found").when(F.col("state") == "void", "settled_void")
-               .when(F.col("state") != "finished", F.col("state")).when(F.col("winner_side").isNull(), "finished_without_winner")
-               .when(F.col("winner_side") == F.lower("side"), "settled_win").otherwise("settled_loss"))
+    outcome = (F.when(~F.col("found"), "fixture_not_found").when(state == "void", "settled_void")
+               .when(state != "finished", state).when(side.isNull(), "finished_without_winner")
+               .when(side == F.lower("side"), "settled_win").otherwise("settled_loss"))
     result = F.when(outcome.startswith("settled_"), F.substring(outcome, 9, 10))
-    return j.select(*active.columns, outcome.alias("settle_reason"), F.coalesce(result, F.lit("pending")).alias("result"),
-                    profit(result, F.col("stake"), F.col("odds")).alias("profit"))
+    return joined.withColumn("settle_reason", outcome).withColumn("result", F.coalesce(result, F.lit("pending"))).withColumn(
+        "profit", profit(F.col("result"), F.col("stake"), F.col("odds")))
 
 
 def settle_by_source(matched: DataFrame) -> DataFrame:
