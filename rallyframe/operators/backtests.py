@@ -28,8 +28,9 @@ def model_rows(predictions: DataFrame) -> DataFrame:
         .select("level", "surface", "min_level_n", "min_surface_n", "e.model", "e.p"))
 
 
-def sum_columns(p: Column = F.col("p")) -> list[Column]:
+def sum_columns() -> list[Column]:
     """Additive parts of every metric. Fixed-point sums do not depend on row order."""
+    p = F.col("p")
     exact = lambda c: F.sum(c.cast("decimal(20,12)"))
     return [F.count("*").alias("n"), F.sum((p >= 0.5).cast("bigint")).alias("correct"),
             exact((p - 1) * (p - 1)).alias("brier"), exact(log_loss(p)).alias("loss"),
