@@ -102,7 +102,7 @@ def norm_features(norm: Column) -> dict[str, Column]:
         "initial": initial,
         "compact": F.when(n == 0, "").when(n == 1, last).otherwise(
             F.concat(initial, F.lit(" "), F.array_join(F.slice(ts, F.lit(2), F.greatest(n - 1, F.lit(0))), " "))),
-        "token_key": F.array_join(F.array_sort(ts), " "),
+        "token_key": F.array_join(F.sort_array(ts), " "),
         "all_initials": F.array_join(F.transform(ts, lambda t: F.substring(t, 1, 1)), ""),
         "one_letter": F.array_join(F.filter(ts, lambda t: t.rlike("^[a-z]$")), " "),
     }

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import text as T
-from rallyframe.functions.similarity import seq_ratio
+from rallyframe.functions.similarity import seq_ratio_above
 from rallyframe.functions.values import rounded
 from rallyframe.operators.identity import PAIR, _in_order
 from rallyframe.workspace import materialise
@@ -69,18 +69,18 @@ def near_names(a: DataFrame, b: DataFrame, min_ratio: float, same_initial: bool)
 
     def grams(df: DataFrame, side: str) -> DataFrame:
         pairs = F.transform(F.sequence(F.lit(1), F.length("norm") - 1), lambda i: F.substr(F.col("norm"), i, F.lit(2)))
-        return (df.where(F.length("norm") > 1).select("gender", "norm", F.posexplode(pairs).alias("pos", "gram"))
-                .withColumn("copy", F.row_number().over(Window.partitionBy("gender", "norm", "gram").orderBy("pos")))
-                .select("gender", "norm", F.concat("gram", F.lit("#"), F.col("copy").cast("string")).alias("gram"))
+        return (df.where(F.length("norm") > 1).select("gender", "norm", "initial", F.posexplode(pairs).alias("pos", "gram"))
+                .withColumn("copy", F.row_number().over(Window.partitionBy("gender", "norm", "initial", "gram").orderBy("pos")))
+                .select("gender", "norm", "initial", F.concat("gram", F.lit("#"), F.col("copy").cast("string")).alias("gram"))
                 .withColumn("side", F.lit(side)))
 
-    both = materialise(grams(a.select("gender", "norm").distinct(), "a").unionByName(
-        grams(b.select("gender", "norm").distinct(), "b")), "grams")
+    both = materialise(grams(a.select("gender", "norm", "initial").distinct(), "a").unionByName(
+        grams(b.select("gender", "norm", F.substring("norm", 1, 1).alias("initial")), "b")), "grams")
     frequency = both.groupBy("gram").agg(F.count("*").alias("f"))
     need = F.greatest(F.lit(1), F.ceil(F.length("norm") * F.lit(gain * span) - 1.0 - 1e-9))
-    order = Window.partitionBy("side", "gender", "norm").orderBy("f", "gram")
+    order = Window.partitionBy("side", "gender", "norm", "initial").orderBy("f", "gram")
     rare = (both.join(frequency, "gram").withColumn("r", F.row_number().over(order))
-            .where(F.col("r") <= F.length("norm") - 1 - need + 1).withColumn("initial", F.substring("norm", 1, 1)))
+            .where(F.col("r") <= F.length("norm") - 1 - need + 1))
     on = ["gender", "gram"] + (["initial"] if same_initial else [])
     side = lambda s, n: rare.where(F.col("side") == s).select(*on, F.col("norm").alias(n))
     la, lb = F.length("feed_norm"), F.length("cand_norm")
@@ -95,8 +95,12 @@ def _on_last(feed: DataFrame, cand: DataFrame, anywhere: bool) -> DataFrame:
     return feed.where("last <> ''").select("gender", F.col("norm").alias("feed_norm"), "last").join(c, ["gender", "last"]).select(*PAIR).distinct()
 
 
-def _scored_frame(pairs: DataFrame, feed: DataFrame, floor: Column) -> DataFrame:
-    """Pairs with the parts of the feed name, the candidate's words and, where it can matter, the ratio."""
+def _scored_frame(pairs: DataFrame, feed: DataFrame, weight: float, extra: float, last: float, inside: float, initial: float) -> DataFrame:
+    """Pairs with the parts of the feed name, the candidate's words, and the ratio where it can lift a pair over the limit.
+
+    ``weight`` is the scorer's factor of the ratio, the others what it adds for common words,
+    the last word, the last word elsewhere, and the initial.
+    """
     f = feed.withColumnsRenamed({"norm": "feed_norm", "last": "a_last", "initial": "a_initial"})
     ts = T.tokens(F.col("cand_norm"))
     j = pairs.join(f, ["gender", "feed_norm"]).withColumns({
@@ -105,8 +109,13 @@ def _scored_frame(pairs: DataFrame, feed: DataFrame, floor: Column) -> DataFrame
     j = j.withColumns({"same_last": (F.col("a_last") != "") & (F.col("a_last") == F.col("b_last")),
                        "last_inside": F.array_contains("b_toks", F.col("a_last")),
                        "same_initial": (F.col("a_initial") != "") & (F.col("a_initial") == F.col("b_initial"))})
+    jaccard = T.token_jaccard(F.col("a_toks"), F.col("b_toks"))
+    added = (F.when(F.col("same_last"), last).when(F.col("last_inside"), inside).otherwise(0.0)
+             + F.when(F.col("same_initial"), initial).otherwise(0.0))
+    j = j.withColumns({"jaccard": jaccard, "added": added})
+    floor = (F.lit(GLOBAL_MIN - 1e-6) - F.col("added") - extra * F.col("jaccard")) / F.lit(weight)
     worth = floor <= 2 * F.least(la, lb) / (la + lb)
-    ratio = seq_ratio(F.when(worth, F.col("feed_norm")), F.when(worth, F.col("cand_norm")))
+    ratio = seq_ratio_above(F.when(worth, F.col("feed_norm")), F.when(worth, F.col("cand_norm")), floor)
     return j.withColumn("ratio", F.coalesce(ratio, F.lit(0.0)))
 
 
@@ -124,19 +133,18 @@ def global_pairs(feed: DataFrame, cand: DataFrame) -> DataFrame:
     full = pool.where("pool >= 3").select("gender", F.col("feed_norm").alias("norm"))
     few = materialise(feed.join(full, ["gender", "norm"], "left_anti"), "search-few")
     wide = (_on_last(few, cand, anywhere=True)
-            .unionByName(near_names(few, cand, (GLOBAL_MIN - 0.12) / 0.72, same_initial=False)))
+            .unionByName(near_names(few, cand, (GLOBAL_MIN - 0.12) / 0.72, same_initial=True))
+            .unionByName(near_names(few, cand, GLOBAL_MIN / 0.72, same_initial=False)))
     return own.unionByName(wide).distinct()
 
 
 def global_score(pairs: DataFrame, feed: DataFrame) -> DataFrame:
-    floor = F.lit(0.0)
-    s = _scored_frame(pairs, feed, floor)
+    s = _scored_frame(pairs, feed, 0.72, 0.0, 0.16, 0.11, 0.12)
     visible, several, initial_form = _place()
     given = F.transform(F.slice("b_toks", F.lit(1), F.greatest(F.size("b_toks") - 1, F.lit(0))), lambda t: F.substring(t, 1, 1))
     multi = several & F.col("same_last") & (F.slice(given, F.lit(1), F.size(visible)) == visible)
     exact = F.col("feed_norm") == F.col("cand_norm")
-    added = F.when(F.col("same_last"), 0.16).when(F.col("last_inside"), 0.11).otherwise(0.0) + F.when(F.col("same_initial"), 0.12).otherwise(0.0)
-    best = F.greatest(0.72 * F.col("ratio") + added, F.when(initial_form, 0.975), F.when(multi, 0.955), F.when(exact, 0.995))
+    best = F.greatest(0.72 * F.col("ratio") + F.col("added"), F.when(initial_form, 0.975), F.when(multi, 0.955), F.when(exact, 0.995))
     inside = F.col("same_last") | F.col("last_inside")
     method = (F.when(exact, "exact_full_name").when(multi, "multi_initial_surname").when(initial_form, "exact_initial_form")
               .when(F.col("same_initial"), F.when(inside, "initial_surname").otherwise("same_initial"))
@@ -169,7 +177,7 @@ def name_variants(norm: Column) -> Column:
 
 
 def _sorted_words(norm: Column) -> Column:
-    return F.array_join(F.array_sort(T.tokens(norm)), " ")
+    return F.array_join(F.sort_array(T.tokens(norm)), " ")
 
 
 def deep_pairs(feed: DataFrame, cand: DataFrame) -> DataFrame:
@@ -180,12 +188,11 @@ def deep_pairs(feed: DataFrame, cand: DataFrame) -> DataFrame:
     sorted_names = cand.select("gender", F.col("norm").alias("cand_norm"), _sorted_words(F.col("norm")).alias("key"))
     return (words(feed, "feed_norm").join(words(cand, "cand_norm"), ["gender", "key"]).select(*PAIR)
             .unionByName(variants.join(sorted_names, ["gender", "key"]).select(*PAIR))
-            .unionByName(near_names(feed, cand, (DEEP_MIN - 0.10) / 0.66, same_initial=False)).distinct())
+            .unionByName(near_names(feed, cand, (DEEP_MIN - 0.10) / 0.66, same_initial=True)).distinct())
 
 
 def deep_score(pairs: DataFrame, feed: DataFrame) -> DataFrame:
-    s = _scored_frame(pairs, feed, F.lit(0.0)).withColumns({
-        "variants": name_variants(F.col("feed_norm")), "jaccard": T.token_jaccard(F.col("a_toks"), F.col("b_toks"))})
+    s = _scored_frame(pairs, feed, 0.66, 0.12, 0.15, 0.11, 0.10).withColumn("variants", name_variants(F.col("feed_norm")))
     visible, several, initial_form = _place()
     same_words = _sorted_words(F.col("feed_norm")) == _sorted_words(F.col("cand_norm"))
     subset = ((F.size("a_toks") >= 3) & (F.size("b_toks") >= 2) & (F.size(F.array_except("b_toks", "a_toks")) == 0) & F.col("last_inside"))
@@ -199,8 +206,7 @@ def deep_score(pairs: DataFrame, feed: DataFrame) -> DataFrame:
     expanded = ((F.size(singles) > 0) & F.array_contains("a_toks", F.col("b_last"))
                 & _in_order(F.array_join(singles, " "), letters_of(full_words)))
     inside = F.col("same_last") | F.col("last_inside")
-    added = F.when(F.col("same_last"), 0.15).when(F.col("last_inside"), 0.11).otherwise(0.0) + F.when(F.col("same_initial"), 0.10).otherwise(0.0)
-    loose = F.greatest(0.66 * F.col("ratio") + 0.12 * F.col("jaccard") + added, F.when(initial_form, 0.975), F.when(multi, 0.955),
+    loose = F.greatest(0.66 * F.col("ratio") + 0.12 * F.col("jaccard") + F.col("added"), F.when(initial_form, 0.975), F.when(multi, 0.955),
                        F.when(expanded, 0.925))
     tiers = [("exact_normalized", F.col("feed_norm") == F.col("cand_norm"), 1.0), ("exact_token_set", same_words, 0.995),
              ("subset_reordered_name", subset, 0.965), ("transliteration_exact_variant", variant_name, 0.960),

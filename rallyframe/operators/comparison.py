@@ -66,23 +66,30 @@ def scenarios() -> list[tuple[str, Column]]:
     return out
 
 
-def roi_sums(keep: Column) -> Column:
-    """Additive parts of one scenario as a struct, so that all scenarios share one scan."""
-    on = F.coalesce(keep, F.lit(False))
-    count = lambda c: F.count_if(on & c)
-    money = lambda c: F.coalesce(F.sum(F.when(on, F.col(c).cast(MONEY))), F.lit(0)).cast(MONEY)
-    mean = lambda c: F.struct(F.sum(F.when(on, F.col(c).cast("decimal(20,10)"))).alias("s"),
-                              F.count(F.when(on, F.col(c))).alias("n"))
-    return F.struct(
-        F.count_if(on).alias("picks"), count(F.col("result") == "win").alias("wins"), count(F.col("result") == "loss").alias("losses"),
-        money("stake").alias("stake"), money("profit").alias("profit"), mean("odds").alias("odds"),
-        mean("old_model_prob").alias("old_p"), mean("elo_prob_pick").alias("elo_p"), mean("old_edge").alias("old_e"),
-        mean("elo_edge").alias("elo_e"))
-
-
-def roi_columns(s: str = "s") -> list[Column]:
-    c = lambda n: F.col(f"{s}.{n}")
-    mean = lambda n: share(c(f"{n}.s"), c(f"{n}.n"))
+def roi_sums() -> list[Column]:
+    """Additive parts of a scenario."""
+    money = lambda c: F.coalesce(F.sum(F.col(c).cast(MONEY)), F.lit(0)).cast(MONEY)
+    total = lambda c: F.sum(F.col(c).cast("decimal(20,10)"))
+    means = {"odds": "odds", "old_p": "old_model_prob", "elo_p": "elo_prob_pick", "old_e": "old_edge", "elo_e": "elo_edge"}
+    return [F.count("result").alias("picks"), F.count_if(F.col("result") == "win").alias("wins"),
+            F.count_if(F.col("result") == "loss").alias("losses"), money("stake").alias("stake"), money("profit").alias("profit"),
+            *[total(c).alias(f"{n}_s") for n, c in means.items()], *[F.count(c).alias(f"{n}_n") for n, c in means.items()]]
+
+
+def in_each(rows: DataFrame, tests: list[tuple[str, Column]], name: str = "scenario") -> DataFrame:
+    """One row per row and test it passes. The copies meet a partial aggregate before any shuffle."""
+    labels = F.array(*[F.when(test, F.lit(label)) for label, test in tests])
+    return rows.select(F.explode(F.filter(labels, lambda x: x.isNotNull())).alias(name), "*")
+
+
+def all_labels(df: DataFrame, tests: list[tuple[str, Column]], name: str = "scenario") -> DataFrame:
+    """The fixed list of labels, so that an empty one still gives a row."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(label) for label, _ in tests])).alias(name))
+
+
+def roi_columns() -> list[Column]:
+    c = lambda n: F.coalesce(F.col(n), F.lit(0))
+    mean = lambda n: share(F.col(f"{n}_s"), c(f"{n}_n"))
     return [c("picks").alias("picks"), c("wins").alias("wins"), c("losses").alias("losses"),
             (c("picks") - c("wins") - c("losses")).alias("push_or_other"), share(c("wins"), c("wins") + c("losses")).alias("hit_rate"),
             c("stake").alias("total_stake"), c("profit").alias("total_profit"), share(c("profit"), c("stake")).alias("roi"),
@@ -91,11 +98,9 @@ def roi_columns(s: str = "s") -> list[Column]:
 
 
 def roi_scenarios(enriched: DataFrame) -> DataFrame:
-    """Every scenario in one pass; an empty one still gives a row."""
-    names = scenarios()
-    wide = enriched.agg(*[roi_sums(test).alias(f"s{i}") for i, (_, test) in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(name).alias("scenario"), F.col(f"s{i}").alias("s")) for i, (name, _) in enumerate(names)])
-    return wide.select(F.explode(rows).alias("r")).select("r.scenario", "r.s").select("scenario", *roi_columns())
+    """Every scenario from one scan; an empty one still gives a row."""
+    sums = in_each(enriched, scenarios()).groupBy("scenario").agg(*roi_sums())
+    return all_labels(enriched, scenarios()).join(sums, "scenario", "left").select("scenario", *roi_columns())
 
 
 LEVEL_SCENARIOS = ("old_all_settled", "elo_eligible_all_old_picks", "old_and_elo_agree", "elo_edge_ge_+0.04")
@@ -103,12 +108,10 @@ LEVEL_SCENARIOS = ("old_all_settled", "elo_eligible_all_old_picks", "old_and_elo
 
 def roi_by_level(enriched: DataFrame) -> DataFrame:
     """Four scenarios per level; empty ones are left out."""
-    names = [(n, t) for n, t in scenarios() if n in LEVEL_SCENARIOS]
+    tests = [(n, t) for n, t in scenarios() if n in LEVEL_SCENARIOS]
     level = F.coalesce("level", "tour_level", F.lit("unknown"))
-    wide = enriched.groupBy(level.alias("level")).agg(*[roi_sums(t).alias(f"s{i}") for i, (_, t) in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(n).alias("scenario"), F.col(f"s{i}").alias("s")) for i, (n, _) in enumerate(names)])
-    return (wide.select("level", F.explode(rows).alias("r")).where("r.s.picks > 0").select("level", "r.scenario", "r.s")
-            .select("level", "scenario", *roi_columns()))
+    rows = in_each(enriched, tests).withColumn("level", level)
+    return rows.groupBy("level", "scenario").agg(*roi_sums()).select("level", "scenario", *roi_columns())
 
 
 # --- misses ----------------------------------------------------------------
@@ -176,12 +179,11 @@ def signal_buckets() -> list[tuple[str, list[tuple[str, Column]]]]:
 
 
 def context_signal_roi(ledger: DataFrame) -> DataFrame:
-    """Return of win/loss picks by context bucket, one pass, empty buckets kept."""
-    settled = F.col("result").isin("win", "loss")
-    buckets = [(signal, name, test) for signal, tests in signal_buckets() for name, test in tests]
-    wide = ledger.agg(*[roi_sums(settled & test).alias(f"s{i}") for i, (_, _, test) in enumerate(buckets)])
-    rows = F.array(*[F.struct(F.lit(s).alias("signal"), F.lit(n).alias("bucket"), F.col(f"s{i}").alias("s"))
-                     for i, (s, n, _) in enumerate(buckets)])
+    """Return of win/loss picks by context bucket, one scan, empty buckets kept."""
+    tests = [(f"{signal}|{name}", test) for signal, buckets in signal_buckets() for name, test in buckets]
+    rows = in_each(ledger.where(F.col("result").isin("win", "loss")), tests, "label")
+    sums = rows.groupBy("label").agg(*roi_sums())
+    full = all_labels(ledger, tests, "label").join(sums, "label", "left")
+    part = lambda i: F.split_part("label", F.lit("|"), F.lit(i))
     keep = ("picks", "wins", "losses", "hit_rate", "total_stake", "total_profit", "roi")
-    flat = wide.select(F.explode(rows).alias("r")).select("r.signal", "r.bucket", "r.s").select("signal", "bucket", *roi_columns())
-    return flat.select("signal", "bucket", *keep)
+    return full.select(part(1).alias("signal"), part(2).alias("bucket"), *roi_columns()).select("signal", "bucket", *keep)

@@ -196,7 +196,7 @@ def surface_text_lookup(texts: DataFrame, surface_map: DataFrame, longest: bool
         texts.select("text").distinct().join(F.broadcast(lengths))
         .select("text", F.explode("lengths").alias("n")).where(F.length("text") >= F.col("n"))
         .select("text", "n", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("n") + 1)).alias("i"))
-        .select("text", F.expr("substring(text, i, n)").alias("map_key")).distinct())
+        .select("text", F.expr("substring(text, i, n)").alias("map_key")))
     rank = F.struct((-F.length("map_key")).alias("len"), "map_key", "map_value") if longest else F.struct(
         "position", "map_key", "map_value")
     return (pieces.join(surface_map, "map_key").groupBy("text").agg(F.min(rank).alias("b"))

@@ -21,7 +21,7 @@ SELECT doc_id, {NORM.format('text')} AS norm,
     AS norm_apostrophe FROM documents""")
 def b1(spark, sf):
     text = F.col("text")
-    return views.table(spark, sf, "documents").select(
+    return views.texts(spark, sf).select(
         "doc_id", T.normalize_name(text).alias("norm"), T.normalize_event_name(text).alias("norm_event"),
         T.normalize_name_keep_apostrophe(text).alias("norm_apostrophe"))
 
@@ -32,7 +32,7 @@ SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS cleaned,
     trim(regexp_replace(text, '\s+', ' ', 'g')))), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '-', 'g'),
     '^-+|-+$', '', 'g'), ''), 'unknown') AS slug FROM documents""")
 def b2(spark, sf):
-    return views.table(spark, sf, "documents").select(
+    return views.texts(spark, sf).select(
         "doc_id", T.clean_ws(F.col("text")).alias("cleaned"), T.slug(F.col("text")).alias("slug"))
 
 

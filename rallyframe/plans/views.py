@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, spread over the cores when the scan itself gives fewer partitions.
+
+    A large table is read in many splits already and is left as it is.
+    """
+    docs = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def matches(spark: SparkSession, sf: str) -> DataFrame:
     """Two consecutive events make one match: the even one is the winner."""
     even = F.col("event_id") % 2 == 0
@@ -157,9 +167,8 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
 def names(spark: SparkSession, sf: str) -> DataFrame:
     """Two names per document, built from the longest words of its whole text."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,})"), F.lit(1)))
-    ranked = F.reverse(F.array_sort(F.transform(
-        words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
-    d = (table(spark, sf, "documents")
+    ranked = F.sort_array(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False)
+    d = (texts(spark, sf)
          .select("doc_id", "lang", "n_chars", ranked.alias("r"))
          .select("doc_id", "lang", "n_chars",
                  F.try_element_at("r", F.lit(1))["w"].alias("surname"),
