@@ -132,14 +132,25 @@ def fold_ladders(matches: DataFrame, order: tuple[str, ...] = ORDER, slice_rows:
     sliced, count = time_slices(matches, order, slice_rows)
     if count == 1:
         return fold_slice(ladder_rows(sliced, order), order, None)
-    spark = matches.sparkSession
-    out, state = new_path(spark, "ladder-steps"), None
+    return _fold_slices(sliced, count, order, None)[0]
+
+
+def fold_from(matches: DataFrame, state: DataFrame, order: tuple[str, ...] = ORDER,
+              slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Steps and new state after folding more matches onto a state."""
+    return _fold_slices(*time_slices(matches, order, slice_rows), order, state)
+
+
+def _fold_slices(sliced: DataFrame, count: int, order: tuple[str, ...],
+                 state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    spark = sliced.sparkSession
+    out = new_path(spark, "ladder-steps")
     for number in range(count):
-        rows = ladder_rows(sliced.where(F.col("slice") == number), order)
-        fold_slice(rows, order, state).write.mode("overwrite").parquet(f"{out}/slice={number}")
+        part = sliced if count == 1 else sliced.where(F.col("slice") == number)
+        fold_slice(ladder_rows(part, order), order, state).write.mode("overwrite").parquet(f"{out}/slice={number}")
         steps = spark.read.schema(STEP_SCHEMA).parquet(f"{out}/slice={number}")
         state = materialise(advance_state(state, steps), f"ladder-state-{number}")
-    return spark.read.schema(STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count)])
+    return spark.read.schema(STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count)]), state
 
 
 # --- products of the fold --------------------------------------------------

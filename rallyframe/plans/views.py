@@ -16,13 +16,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents, spread over the cores when the scan itself gives fewer partitions.
+    """Documents, spread over the cores when the scan has few splits.
 
-    A large table is read in many splits already and is left as it is.
+    A file of one row group is one task however it is split, and its text work would run on
+    one core. A large table is read in many splits and is left as it is.
     """
     docs = table(spark, sf, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < 4 * cores else docs
 
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
