@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallyframe import constants as K
 from rallyframe.functions.rating import log_loss, pick_probability, probability_bucket
 from rallyframe.functions.values import share
+from rallyframe.operators.cuts import grouped_cuts
 from rallyframe.operators.predictions import MODELS
 
 SUMS = ("n", "correct", "brier", "loss", "p_sum", "pick_sum")
@@ -56,15 +55,10 @@ def metrics_by_dims(rows: DataFrame) -> DataFrame:
     """
     cells = (rows.withColumn("bucket", probability_bucket(F.col("p")))
              .groupBy("model", "level", "surface", "bucket").agg(*sum_columns()))
-    sets = [("level",), ("surface",), ("level", "surface"), ("bucket",)]
-    totals = [F.sum(c).alias(c) for c in SUMS]
-    out = [
-        cells.groupBy("model", *dims).agg(*totals).select(
-            F.lit("_".join(dims)).alias("cut"), "model",
-            *[(F.col(d) if d in dims else F.lit(None).cast("string")).alias(d) for d in ("level", "surface", "bucket")],
-            *metric_columns())
-        for dims in sets]
-    return reduce(DataFrame.unionByName, out)
+    cuts = {"level": ["model", "level"], "surface": ["model", "surface"], "level_surface": ["model", "level", "surface"],
+            "bucket": ["model", "bucket"]}
+    return grouped_cuts(cells, cuts, [F.sum(c).alias(c) for c in SUMS]).select(
+        "cut", "model", "level", "surface", "bucket", *metric_columns())
 
 
 def reached(value: Column, thresholds) -> Column:
@@ -122,11 +116,6 @@ def signal_strength(predictions: DataFrame, min_level: int = K.MIN_LEVEL_MATCHES
     cells = (rows.groupBy("level", "surface", reached(pick_probability(F.col("p")), K.PICK_THRESHOLDS).alias("step"))
              .agg(*sum_columns()))
     spread = cells.withColumn("threshold", F.explode(steps_below(F.col("step"), K.PICK_THRESHOLDS)))
-    totals = [F.sum(c).alias(c) for c in SUMS]
-    out = [
-        spread.groupBy("threshold", *dims).agg(*totals).select(
-            F.lit(cut).alias("cut"), F.col("threshold"),
-            *[(F.col(d) if d in dims else F.lit(None).cast("string")).alias(d) for d in ("level", "surface")],
-            *metric_columns())
-        for cut, dims in (("overall", ()), ("level", ("level",)), ("surface", ("surface",)))]
-    return reduce(DataFrame.unionByName, out)
+    cuts = {"overall": ["threshold"], "level": ["threshold", "level"], "surface": ["threshold", "surface"]}
+    return grouped_cuts(spread, cuts, [F.sum(c).alias(c) for c in SUMS]).select(
+        "cut", "threshold", "level", "surface", *metric_columns())

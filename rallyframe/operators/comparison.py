@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe import constants as K
 from rallyframe.functions import classify as C
 from rallyframe.functions.values import rounded, share
+from rallyframe.operators.cuts import grouped_cuts
 from rallyframe.operators.ledgers import MONEY, profit
 
 
@@ -126,9 +125,8 @@ def miss_categories(enriched: DataFrame) -> DataFrame:
         F.count("*").alias("n"))
     cuts = {"category": ["category"], "category_level": ["category", "tour_level"], "mapping": ["mapping_status"],
             "match": ["match_status"], "reason": ["no_bet_reason"]}
-    parts = [cells.groupBy(F.concat_ws("|", *dims).alias("value")).agg(F.sum("n").alias("picks"))
-             .select(F.lit(cut).alias("cut"), "value", "picks") for cut, dims in cuts.items()]
-    return reduce(DataFrame.unionByName, parts)
+    dims = ("category", "tour_level", "mapping_status", "match_status", "no_bet_reason")
+    return grouped_cuts(cells, cuts, [F.sum("n").alias("picks")]).select("cut", F.concat_ws("|", *dims).alias("value"), "picks")
 
 
 def unmapped_roi(enriched: DataFrame, samples: int = 5) -> DataFrame:

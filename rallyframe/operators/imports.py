@@ -9,6 +9,7 @@ from rallyframe import constants as K
 from rallyframe.functions import classify as C
 from rallyframe.functions import text as T
 from rallyframe.functions import values as V
+from rallyframe.operators.cuts import grouped_cuts
 
 
 def _no_surface() -> Column:
@@ -129,16 +130,8 @@ def mark_duplicates(rows: DataFrame, key: str, order: list[str], first_as: str =
 def skip_summary(skipped: DataFrame) -> DataFrame:
     """Counts by reason, by file and reason, and by level and surface from one aggregate."""
     cells = skipped.groupBy("skip_reason", "source_file", "level", "surface").agg(F.count("*").alias("n"))
-    blank = F.lit(None).cast("string")
-    parts = [("reason", ["skip_reason"]), ("file_reason", ["source_file", "skip_reason"]),
-             ("level_surface", ["level", "surface"])]
-    out = None
-    for cut, dims in parts:
-        part = cells.groupBy(*dims).agg(F.sum("n").alias("rows")).select(
-            F.lit(cut).alias("cut"), *[(F.col(d) if d in dims else blank).alias(d)
-                                       for d in ("skip_reason", "source_file", "level", "surface")], "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    cuts = {"reason": ["skip_reason"], "file_reason": ["source_file", "skip_reason"], "level_surface": ["level", "surface"]}
+    return grouped_cuts(cells, cuts, [F.sum("n").alias("rows")]).select("cut", "skip_reason", "source_file", "level", "surface", "rows")
 
 
 def source_file_audit(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from rallyframe import constants as K
 from rallyframe.functions import text as T
 from rallyframe.functions.values import api_key_variants, rounded, share
 from rallyframe.operators.audits import findings
+from rallyframe.operators.cuts import grouped_cuts
 from rallyframe.operators.sides import explode_sides, most_common, top_values
 from rallyframe.workspace import materialise
 
@@ -131,9 +132,8 @@ def side_status(feed: DataFrame, mapping: DataFrame) -> DataFrame:
 def mapping_coverage(status: DataFrame) -> DataFrame:
     cells = status.groupBy("coverage", "level").agg(F.count("*").alias("n"))
     total = cells.agg(F.sum("n").alias("total"))
-    by = lambda dims, cut: cells.groupBy(*dims).agg(F.sum("n").alias("matches")).select(
-        F.lit(cut).alias("cut"), F.concat_ws("|", *dims).alias("value"), "matches")
-    rows = by(["coverage"], "coverage").unionByName(by(["coverage", "level"], "coverage_level"))
+    rows = grouped_cuts(cells, {"coverage": ["coverage"], "coverage_level": ["coverage", "level"]}, [F.sum("n").alias("matches")]).select(
+        "cut", F.concat_ws("|", "coverage", "level").alias("value"), "matches")
     return rows.crossJoin(F.broadcast(total)).select("cut", "value", "matches", share(F.col("matches") * 100, F.col("total"), 3).alias("pct"))  # one row
 
 

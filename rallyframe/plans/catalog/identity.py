@@ -294,7 +294,7 @@ def e13_impact(spark, sf):
 
 @query("e17_many_issue_audit", """
 WITH m AS (SELECT api_key, CASE WHEN user_id % 17 = 3 THEN 'odd' ELSE status END AS status, CASE WHEN user_id % 23 = 5 THEN 'x' ELSE gender END AS gender,
-  CASE WHEN user_id % 19 = 7 THEN NULL WHEN user_id % 19 = 8 THEN 'women:history:1' ELSE target_key END AS target_key FROM mapping_v WHERE user_id % 29 <> 9)
+  CASE WHEN user_id % 19 = 7 THEN NULL WHEN user_id % 19 = 8 THEN 'women:history:1' ELSE target_key END AS target_key FROM mapping_v m0 WHERE m0.status <> 'ambiguous')
 SELECT api_key, x.issue FROM m, LATERAL (VALUES ('invalid_status', status = 'odd'), ('invalid_gender', gender = 'x'),
   ('accepted_mapping_without_target', status IN ('auto_mapped', 'manual_mapped') AND target_key IS NULL),
   ('nonaccepted_mapping_has_target', status NOT IN ('auto_mapped', 'manual_mapped') AND target_key IS NOT NULL),
@@ -303,8 +303,8 @@ UNION ALL SELECT DISTINCT k, 'source_player_missing_mapping_entry' FROM (SELECT
 WHERE k NOT IN (SELECT api_key FROM m)""")
 def e17(spark, sf):
     u = F.col("user_id")
-    # entries with each kind of damage; a few players have no entry at all
-    m = views.mapping(spark, sf).where(u % 29 != 9).withColumns({
+    # entries with each kind of damage; ambiguous players have no entry at all
+    m = views.mapping(spark, sf).where("status <> 'ambiguous'").withColumns({
         "status": F.when(u % 17 == 3, "odd").otherwise(F.col("status")), "gender": F.when(u % 23 == 5, "x").otherwise(F.col("gender")),
         "target_key": F.when(u % 19 == 7, None).when(u % 19 == 8, "women:history:1").otherwise(F.col("target_key"))}).drop("user_id")
     keys = views.fixture_matches(spark, sf).select(F.explode(F.array("winner_api_key", "loser_api_key")).alias("api_key"))
@@ -327,15 +327,15 @@ def candidates(spark, sf):
                     F.when(u % 4 == 0, "safe_override").otherwise("manual_review").alias("action")))
 
 
-DAY_SIDES = f"""SELECT f.seq, f.true_gender || ':api:' || x.k AS api_key, CASE WHEN m.user_id % 8 = 3 THEN 'manual_mapped' ELSE m.status END AS status,
-  CASE WHEN m.user_id % 8 = 3 THEN m.gender || ':history:1' ELSE m.target_key END AS target_key
+DAY_SIDES = f"""SELECT f.seq, f.true_gender || ':api:' || x.k AS api_key, CASE WHEN m.status = 'ambiguous' THEN 'manual_mapped' ELSE m.status END AS status,
+  CASE WHEN m.status = 'ambiguous' THEN m.gender || ':history:1' ELSE m.target_key END AS target_key
 FROM fixtures_v f, LATERAL (VALUES (first_player_key), (second_player_key)) x(k) JOIN mapping_v m ON m.api_key = f.true_gender || ':api:' || x.k
 WHERE f.match_date = DATE '{DAY}' AND f.event_type_type NOT LIKE '%Doubles%'"""
 
 
 def day_players(spark, sf):
     f = views.fixtures(spark, sf).where((F.col("match_date") == F.lit(DAY).cast("date")) & ~F.col("event_type_type").contains("Doubles"))
-    manual = views.mapping(spark, sf).where("user_id % 8 = 3").select(
+    manual = views.mapping(spark, sf).where("status = 'ambiguous'").select(
         F.concat_ws(":", "gender", F.lit("api_feed"), F.col("user_id") + 100000).alias("api_key"), F.lit("manual_mapped").alias("status"),
         F.concat_ws(":", "gender", F.lit("history"), F.lit("1")).alias("target_key"))
     return R.daily_players(f.withColumnRenamed("true_gender", "gender"), views.mapping(spark, sf), manual)
@@ -430,3 +430,13 @@ def w6(spark, sf):
     own = explode_sides(views.valid_matches(spark, sf), ["seq", "match_date", "level", "tourney_name"])
     merged = own.where("level <> 'itf'").withColumn("name", F.upper("name"))
     return R.first_last_seen([("history", own), ("merged", merged)])
+
+
+@query("e7_review_priority", f"""
+WITH s AS (SELECT winner_api_key AS player_key, level FROM ({COVERED}) WHERE NOT wm UNION ALL SELECT loser_api_key, level FROM ({COVERED}) WHERE NOT lm),
+c AS (SELECT player_key, count(*) FILTER (level IN ('atp_wta', 'grand_slam')) AS high, count(*) FILTER (level = 'challenger') AS ch, count(*) AS n FROM s GROUP BY 1)
+SELECT player_key AS api_key, n AS matches, CASE WHEN high > 0 THEN 'high' WHEN ch >= 3 OR n >= 8 THEN 'medium' ELSE 'low' END AS priority FROM c""")
+def e7_priority(spark, sf):
+    impact = R.unmapped_impact(status(spark, sf))
+    level = lambda n: F.col(f"{n}_matches")
+    return impact.select("api_key", "matches", S.priority(level("atp_wta"), level("grand_slam"), level("challenger"), F.col("matches")).alias("priority"))
