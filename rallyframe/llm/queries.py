@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, toxicity
+from rallyframe.workspace import materialise, new_path
+
+from . import bpe, decontaminate, language_id, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
 from .common import bounded_labels, prepare, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +35,125 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = bounded_labels(table(spark, sf_dir, "labels"), "toxic", remainder(F.col("doc_id"), 4) != 2, toxicity.TRAIN_DOCS)
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels), keep=["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    found = secret_ledger.scan_texts(docs, new_path(spark, "secret-ledger"), keep=["doc_id"])
+    digest = F.sha2(secret_ledger.span_text(F.col("found")), 256)
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), digest.alias("base_sha256"),
+                        secret_ledger.span_text(F.col("found")).alias("spans"))
+
+
+CHECKS["op3_secret_scans"] = r"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    cut AS (
+        SELECT doc_id, 'assign' AS kind, 0 AS rank, 8 AS least, regexp_split_to_array(t, p) AS gaps, regexp_extract_all(t, p, 0) AS whole, regexp_extract_all(t, p, 2) AS val
+        FROM texts, (SELECT '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
+        UNION ALL SELECT doc_id, 'access', 1, 16, regexp_split_to_array(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0), regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0) FROM texts
+        UNION ALL SELECT doc_id, 'hex', 2, 32, regexp_split_to_array(t, '[0-9a-f]{32,}'), regexp_extract_all(t, '[0-9a-f]{32,}', 0), regexp_extract_all(t, '[0-9a-f]{32,}', 0) FROM texts),
+    hits AS (
+        SELECT doc_id, kind, rank, least, unnest(range(1, len(whole) + 1)) AS i, gaps, whole, val FROM cut),
+    spans AS (
+        SELECT doc_id, kind, rank, least, length(val[i]) AS n,
+               list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda g: length(g))), 0) AS start, length(whole[i]) AS size
+        FROM hits),
+    said AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+               string_agg(kind || ':' || start::BIGINT || ':' || (start + size)::BIGINT, ',' ORDER BY start, rank) AS spans
+        FROM spans WHERE n >= least GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN said USING (doc_id)"""
+
+
+def vocabulary() -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(prepare(spark), sf_dir, "documents"), vocabulary(), keep=["doc_id"])
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 3) == 1)
+    labels = bounded_labels(table(spark, sf_dir, "labels"), "quality", remainder(F.col("doc_id"), 3) != 1, quality_rules.TRAIN_DOCS)
+    scored = quality_rules.score_quality(docs, quality_rules.fit(docs, labels), keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_vp.near_duplicates(table(prepare(spark), sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(spark), sf_dir, "embeddings")
+    return va_topk.top_k(vectors, F.col("vec_id") % 20 == 0, 20, value=lambda x: F.floor(x.cast("double") * 64))
+
+
+CHECKS["op7_top_k"] = """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 20"""
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(prepare(spark), "warc")
+    archive = warc_revisit.write_archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    facts = warc_revisit.resolved(warc_revisit.read_archive(spark, path, archive))
+    return facts.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CHECKS["op8_warc"] = """
+    WITH pay AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    last AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM pay)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+    FROM last"""
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_contamination(docs, benchmark, keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+CHECKS["op9_decontamination"] = f"""
+    WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS words
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+    places AS (
+        SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, item, i, n FROM places JOIN windows USING (n, words)),
+    hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+    hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = bpe.count_tokens(table(prepare(spark), sf_dir, "documents"), vocabulary(), keep=["doc_id"])
+    return token_counts.running_sums(materialise(token_counts.histogram(counted), "histogram"))
