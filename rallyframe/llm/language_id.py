@@ -143,7 +143,7 @@ def word_scores(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Word x language scores, and the scripts of each word."""
     scripts = _word_scripts(words)
     out = np.zeros((len(words.starts), len(model.languages)), np.float32)
-    if not len(out):
+    if not out.size:
         return out, scripts
     keys, begins = _triples(words)
     for k in range(len(model.languages)):
@@ -222,12 +222,12 @@ def _labeller(model: Model, switch: float):
         if k:
             held = np.bincount(words.doc * k + path, letters, words.count * k).reshape(-1, k)
         total = held.sum(1)
-        langs = np.array([*model.languages, None], object)[held.argmax(1) if k else 0]
+        langs = np.array([*model.languages, None], object)[held.argmax(1)]
         share = held.max(1) / np.maximum(1, total)
         for i in np.flatnonzero(total == 0):  # no word of a known script: is there any letter?
             some = k and any(ch.isalpha() for ch in texts[int(i)].as_py() or "")
             langs[i], share[i] = (model.languages[model.first], 0.0) if some else ("und", 0.0)
-        known = np.flatnonzero(scripts != 0) if k else np.zeros(0, np.int64)
+        known = np.flatnonzero(scripts) if k else np.zeros(0, np.int64)
         doc, lang = words.doc[known], path[known]
         new = np.ones(len(known), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (lang[1:] != lang[:-1])

@@ -3,8 +3,8 @@
 A small forest is grown on the statistics; each path of each tree is a conjunctive rule; lasso
 logistic regression picks and weights the rules; the weighted rules become one Spark column.
 
-Cases: a null text is the empty text, and every statistic of an empty text is 0; equal rules of
-different trees count once; without labelled rows every score is 0.5, with one class the share
+Cases: a null text is the empty text, whose statistics are 0 (its one empty line is distinct: 1); equal
+rules of different trees count once; without labelled rows every score is 0.5, with one class the share
 of that class (0 or 1). Scoring is row by row: repeated rows repeat, extra columns pass through.
 """
 
@@ -23,6 +23,7 @@ from rallyframe.workspace import materialise
 TRAIN_DOCS = 20_000   # at most so many labelled documents are fitted on
 TREES, DEPTH = 12, 4
 LASSO = 0.001
+NAMES = ("chars", "words", "word_length", "distinct_words", "distinct_lines", "line_length", "capitals", "digits", "stops", "signs", "shouts")
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -33,22 +34,19 @@ def statistics(text: Column) -> dict[str, Column]:
     count = F.greatest(F.size(words), F.lit(1))
     lines = F.split(text, "\n")
     share = lambda pattern: F.regexp_count(text, F.lit(pattern)) / size
-    return {
-        "chars": F.length(text).cast("double"),
-        "words": F.size(words).cast("double"),
-        "word_length": F.length(text) / count,
-        "distinct_words": F.size(F.array_distinct(words)) / count,
-        "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
-        "line_length": F.length(text) / F.size(lines),
-        "capitals": share(r"\p{Lu}+"),
-        "digits": share("[0-9]+"),
-        "stops": share("[.?!]+"),
-        "signs": share(r"[^\p{L}\p{N}\s.,;:'\"()?!-]+"),
-        "shouts": share("!+"),
-    }
-
-
-NAMES = tuple(statistics(F.lit("")))
+    return dict(zip(NAMES, (
+        F.length(text).cast("double"),
+        F.size(words).cast("double"),
+        F.length(text) / count,
+        F.size(F.array_distinct(words)) / count,
+        F.size(F.array_distinct(lines)) / F.size(lines),
+        F.length(text) / F.size(lines),
+        share(r"\p{Lu}+"),
+        share("[0-9]+"),
+        share("[.?!]+"),
+        share(r"[^\p{L}\p{N}\s.,;:'\"()?!-]+"),
+        share("!+"),
+    ), strict=True))
 
 
 @dataclass(frozen=True)

@@ -26,11 +26,12 @@ TRAIN_DOCS = 20_000   # at most so many labelled documents are fitted on
 BITS = 20             # hashed terms
 TERMS = 4096          # the terms most associated with the label are kept
 LEAST_DOCS = 5        # a term needs so many of the sample's documents
+SURPRISE = 12.0       # and so large a chi-square against the label
 FACTORS = 4
 PARTS = 8             # machines that learn side by side and are averaged
 ROUNDS = 4
 EPOCHS = 3
-RATE, DECAY = 0.1, 1e-4
+RATE, DECAY, START = 0.1, 1e-4, 0.03   # step, weight decay, spread of the first factors
 BEGINNINGS = (4, 5, 6)
 
 
@@ -77,11 +78,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     w0 = float(np.log(rate / (1 - rate)))
     counts = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
     surprise = F.pow(F.col("p") - F.col("n") * rate, 2) / (F.col("n") * rate * (1 - rate))
-    chosen = [r.term for r in counts.where(F.col("n") >= LEAST_DOCS).orderBy(surprise.desc(), "term").limit(TERMS).select("term").collect()]
+    chosen = [r.term for r in counts.where((F.col("n") >= LEAST_DOCS) & (surprise >= SURPRISE)).orderBy(surprise.desc(), "term").limit(TERMS).select("term").collect()]
     place = np.full(1 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen), dtype=np.int32)
     machine = Machine(place, w0, np.zeros(len(chosen), np.float32),
-                      np.random.default_rng(7).normal(0, 0.05, (len(chosen), FACTORS)).astype(np.float32))
+                      np.random.default_rng(7).normal(0, START, (len(chosen), FACTORS)).astype(np.float32))
     rows = sample.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
     for turn in range(ROUNDS):
         machine = _average(rows, machine, turn)
