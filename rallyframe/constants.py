@@ -11,6 +11,8 @@ MAPPING_STATUSES = (
     "manual_invalid_target", "ambiguous", "unmapped",
 )
 SETTLED = ("win", "loss", "void", "push")
+PICKED_HOME = ("home", "first", "first player", "1")
+PICKED_AWAY = ("away", "second", "second player", "2")
 
 # --- player key parts: <gender>:<feed>:<id> --------------------------------
 HISTORY_FEED = "history"

@@ -19,27 +19,51 @@ def profit(result: Column, stake: Column, odds: Column) -> Column:
             .when(result.isin("void", "push"), F.lit(0).cast(MONEY)))
 
 
-def settle_by_event(active: DataFrame, results: DataFrame) -> DataFrame:
-    """Outcome of each active pick from the result of its event."""
-    r = results.select("event_key", "event_status", "event_winner", F.lit(True).alias("found"))
-    joined = active.join(r, "event_key", "left")
+RESULT_COLUMNS = ("event_status", "event_status_info", "event_status_type", "status", "event_winner", "winner_key", "winner_name",
+                  "first_player_key", "second_player_key", "event_first_player", "event_second_player")
+
+
+def last_results(results: DataFrame, order: list[str]) -> DataFrame:
+    """The last row per event, and NULL for what a feed does not carry."""
+    whole = results.select("event_key", *order, *[
+        (F.col(c) if c in results.columns else F.lit(None)).cast("string").alias(f"r_{c}") for c in RESULT_COLUMNS])
+    names = [f"r_{c}" for c in RESULT_COLUMNS]
+    return whole.where(F.coalesce(F.col("event_key").cast("string"), F.lit("")) != "").groupBy("event_key").agg(
+        F.max(F.struct(*order, *names)).alias("last")).select("event_key", *[f"last.{n}" for n in names], F.lit(True).alias("found"))
+
+
+def settle_by_event(active: DataFrame, results: DataFrame, order: list[str]) -> DataFrame:
+    """Outcome of each active pick from the last result (by ``order``) of its event."""
+    joined = active.join(last_results(results, order), "event_key", "left")
     return settle_outcome(joined.withColumn("found", F.coalesce("found", F.lit(False))))
 
 
+def picked_side(side: Column) -> Column:
+    """'home', 'away' or NULL from the spellings of a side."""
+    s = F.lower(F.trim(side))
+    return F.when(s.isin(*K.PICKED_HOME), "home").when(s.isin(*K.PICKED_AWAY), "away")
+
+
 def settle_outcome(joined: DataFrame) -> DataFrame:
-    """Result, reason and profit of picks joined with their event.
+    """Result, reason and profit of picks joined with their event (columns r_*).
 
-    Unfinished, unknown and winnerless events leave the pick pending with a reason. So does a
-    status nobody recognises.
+    Unfinished, unknown and winnerless events leave the pick pending with a reason. So does a status
+    or a side that nobody recognises. A pick without stake staked 1; without odds the average counts.
     """
-    state = C.settle_status(F.col("event_status"))
-    side = C.settle_winner_side(F.col("event_winner"), *[F.lit(None).cast("string")] * 6)
+    r = {c: F.col(f"r_{c}") for c in RESULT_COLUMNS}
+    state = C.settle_status(r["event_status"], r["event_status_info"], r["event_status_type"], r["status"])
+    side = C.settle_winner_side(r["event_winner"], r["winner_key"], r["winner_name"], r["first_player_key"], r["second_player_key"],
+                                r["event_first_player"], r["event_second_player"])
+    own = picked_side(F.col("side"))
     outcome = (F.when(~F.col("found"), "fixture_not_found").when(state == "void", "settled_void")
-               .when(state != "finished", state).when(side.isNull(), "finished_without_winner")
-               .when(side == F.lower("side"), "settled_win").otherwise("settled_loss"))
+               .when(state != "finished", state).when(side.isNull(), "finished_without_winner").when(own.isNull(), "unknown_side")
+               .when(side == own, "settled_win").otherwise("settled_loss"))
     result = F.when(outcome.startswith("settled_"), F.substring(outcome, 9, 10))
-    return joined.withColumn("settle_reason", outcome).withColumn("result", F.coalesce(result, F.lit("pending"))).withColumn(
-        "profit", profit(F.col("result"), F.col("stake"), F.col("odds")))
+    odds = F.when(F.col("odds") != 0, F.col("odds"))
+    if "avg_odds" in joined.columns:
+        odds = F.coalesce(odds, F.col("avg_odds"))
+    value = profit(F.col("result"), F.coalesce("stake", F.lit(1).cast(MONEY)), odds)
+    return joined.withColumn("settle_reason", outcome).withColumn("result", F.coalesce(result, F.lit("pending"))).withColumn("profit", value)
 
 
 def settle_by_source(matched: DataFrame) -> DataFrame:

@@ -173,7 +173,11 @@ def key_variants(df: DataFrame) -> Column:
 
 
 def settle_by_key_variants(active: DataFrame, source: DataFrame, order: str, payload: list[str]) -> DataFrame:
-    """Best source row of each active row: first key that hits, last source row of that key."""
+    """Best settled source row of each active row: first key that hits, last row of that key.
+
+    Source rows whose ``result`` is not final are not looked at; results come out in lower case.
+    """
+    source = source.withColumn("result", F.lower(F.trim("result"))).where(F.col("result").isin(*K.SETTLED))
     last = (source.select(order, *payload, F.explode(key_variants(source)).alias("e"))
             .groupBy(F.col("e.key").alias("key")).agg(F.max(F.struct(order, *payload)).alias("src")))
     hits = (active.select("pick_id", F.explode(key_variants(active)).alias("e"))

@@ -90,17 +90,22 @@ def w3_carry(spark, sf):
     return L.running_ledger(ledger(spark, sf), ORDER, carry_pending=True).select(*RUN_COLUMNS)
 
 
+_STATE = SETTLE_STATUS.format("trim(concat_ws(' ', event_status, event_status_info, event_status_type))")
+_WINNER = """CASE WHEN event_winner IN ('First Player', '1') OR winner_key = first_player_key OR lower(winner_name) = lower(event_first_player) THEN 'home'
+    WHEN event_winner IN ('Second Player', '2') OR winner_key = second_player_key OR lower(winner_name) = lower(event_second_player) THEN 'away' END"""
 SETTLE = f"""SELECT p.*, reason, CASE WHEN reason LIKE 'settled_%' THEN substr(reason, 9) ELSE 'pending' END AS result,
-  CAST(CASE reason WHEN 'settled_win' THEN stake * (odds - 1) WHEN 'settled_loss' THEN -stake WHEN 'settled_void' THEN 0 END AS DECIMAL(18,6)) AS profit
+  CAST(CASE reason WHEN 'settled_win' THEN coalesce(stake, 1) * (coalesce(odds, avg_odds) - 1) WHEN 'settled_loss' THEN -coalesce(stake, 1) WHEN 'settled_void' THEN 0 END AS DECIMAL(18,6)) AS profit
 FROM (SELECT p.*, CASE WHEN r.event_key IS NULL THEN 'fixture_not_found' WHEN state = 'void' THEN 'settled_void' WHEN state <> 'finished' THEN state
-    WHEN w IS NULL THEN 'finished_without_winner' WHEN w = side THEN 'settled_win' ELSE 'settled_loss' END AS reason
-  FROM picks_v p LEFT JOIN (SELECT event_key, {SETTLE_STATUS.format('event_status')} AS state,
-    CASE event_winner WHEN 'First Player' THEN 'home' WHEN 'Second Player' THEN 'away' END AS w FROM results_v) r ON r.event_key = p.pick_id) p"""
+    WHEN w IS NULL THEN 'finished_without_winner' WHEN side = 'both' THEN 'unknown_side'
+    WHEN w = CASE WHEN lower(side) IN ('home', 'first', 'first player', '1') THEN 'home' ELSE 'away' END THEN 'settled_win' ELSE 'settled_loss' END AS reason
+  FROM settle_picks_v p LEFT JOIN (SELECT event_key, event_date, {_STATE} AS state, {_WINNER} AS w
+    FROM results_v QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY row_order DESC) = 1) r
+    ON r.event_key = p.event_key AND r.event_date <= p.pick_date + {{days}}) p"""
+SETTLE_STREAM, SETTLE = SETTLE.format(days=7), SETTLE.format(days=100000)
 
 
 def settled(spark, sf):
-    active = views.picks(spark, sf).withColumn("event_key", F.col("pick_id"))
-    return L.settle_by_event(active, views.results(spark, sf))
+    return L.settle_by_event(views.settle_picks(spark, sf), views.results(spark, sf), ["row_order"])
 
 
 @query("s1_settle_by_event", f"SELECT pick_id, reason AS settle_reason, result, profit::DOUBLE AS profit FROM ({SETTLE})")
@@ -113,7 +118,8 @@ WITH src AS (SELECT 0 AS priority, 'pick_id:' || pick_id AS key, * FROM source_r
   UNION ALL SELECT 1, 'event_key:' || event_key, * FROM source_results_v WHERE event_key IS NOT NULL
   UNION ALL SELECT 2, 'fixture_id:' || fixture_id, * FROM source_results_v WHERE fixture_id IS NOT NULL
   UNION ALL SELECT 3, 'combo:' || date || '|' || player_key || '|' || opponent_key || '|' || side, * FROM source_results_v),
-last AS (SELECT key, any_value(priority) AS priority, arg_max(result, row_no) AS result, arg_max({'p': profit}, row_no).p AS profit FROM src GROUP BY key),
+last AS (SELECT key, any_value(priority) AS priority, lower(arg_max(result, row_no)) AS result, arg_max({'p': profit}, row_no).p AS profit FROM src
+  WHERE lower(result) IN ('win', 'loss', 'void', 'push') GROUP BY key),
 hit AS (SELECT a.pick_id, l.* FROM (SELECT pick_id, unnest(['pick_id:' || pick_id, 'event_key:' || event_key, 'fixture_id:' || fixture_id,
     'combo:' || date || '|' || player_key || '|' || opponent_key || '|' || side]) AS key FROM active_v) a JOIN last l USING (key)
   QUALIFY row_number() OVER (PARTITION BY a.pick_id ORDER BY l.priority) = 1),

@@ -115,7 +115,8 @@ WITH src AS (SELECT 0 AS priority, 'pick_id:' || pick_id AS key, * FROM source_r
   UNION ALL SELECT 1, 'event_key:' || event_key, * FROM source_results_v WHERE event_key IS NOT NULL
   UNION ALL SELECT 2, 'fixture_id:' || fixture_id, * FROM source_results_v WHERE fixture_id IS NOT NULL
   UNION ALL SELECT 3, 'combo:' || date || '|' || player_key || '|' || opponent_key || '|' || side, * FROM source_results_v),
-last AS (SELECT key, any_value(priority) AS priority, arg_max(result, row_no) AS result, arg_max({'p': profit}, row_no).p AS profit, max(row_no) AS row_no FROM src GROUP BY key),
+last AS (SELECT key, any_value(priority) AS priority, lower(arg_max(result, row_no)) AS result, arg_max({'p': profit}, row_no).p AS profit, max(row_no) AS row_no
+  FROM src WHERE lower(result) IN ('win', 'loss', 'void', 'push') GROUP BY key),
 hit AS (SELECT a.pick_id, l.* FROM (SELECT pick_id, unnest(['pick_id:' || pick_id, 'event_key:' || event_key, 'fixture_id:' || fixture_id,
     'combo:' || date || '|' || player_key || '|' || opponent_key || '|' || side]) AS key FROM active_v) a JOIN last l USING (key)
   QUALIFY row_number() OVER (PARTITION BY a.pick_id ORDER BY l.priority) = 1)

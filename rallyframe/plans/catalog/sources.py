@@ -105,7 +105,7 @@ def a5(spark, sf):
 
 @query("a6_write_report", """
 SELECT CAST(pick_id AS VARCHAR) AS pick_id, status, '' AS event_status, CAST(pick_date AS VARCHAR) AS pick_date, '' AS note FROM picks_v
-UNION ALL SELECT CAST(event_key AS VARCHAR), '', event_status, '', '' FROM results_v""")
+UNION ALL SELECT CAST(event_key AS VARCHAR), '', coalesce(event_status, ''), '', '' FROM results_v""")
 def a6(spark, sf):
     path, columns = new_path(spark, "report"), ["pick_id", "status", "event_status", "pick_date", "note"]
     results = views.results(spark, sf).withColumnRenamed("event_key", "pick_id")

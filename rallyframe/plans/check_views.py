@@ -80,15 +80,27 @@ SELECT o_orderkey AS pick_id, o_custkey AS player_id, CAST(o_orderdate AS DATE)
   CAST(CAST(CAST(floor(o_totalprice) AS BIGINT) % 320 + 130 AS DECIMAL(18,6)) * 0.01 AS DECIMAL(18,6)) AS odds,
   CAST(o_orderkey * 37 % 500 + 300 AS DOUBLE) / 1000 AS model_prob
 FROM orders""",
-    "results_v": """
-SELECT pick_id AS event_key,
-  CASE WHEN status IN ('win', 'loss') THEN CASE WHEN pick_id % 7 = 0 THEN 'Retired' ELSE 'Finished' END
-    WHEN status = 'void' THEN 'Cancelled'
-    ELSE CASE WHEN pick_id % 3 = 0 THEN 'Not Started' ELSE '' END END AS event_status,
-  CASE WHEN status NOT IN ('win', 'loss') OR pick_id % 17 = 0 THEN ''
-    WHEN (side = 'home') = (status = 'win') THEN 'First Player' ELSE 'Second Player' END AS event_winner,
-  pick_date AS event_date
+    "settle_picks_v": """
+SELECT pick_id, pick_id AS event_key, pick_date,
+  CASE WHEN pick_id % 41 = 0 THEN 'both' WHEN side = 'home' THEN (['home', 'first', 'First Player', '1'])[(pick_id // 2) % 4 + 1]
+    ELSE (['away', 'second', 'Second Player', '2'])[(pick_id // 2) % 4 + 1] END AS side,
+  CASE WHEN pick_id % 13 <> 0 THEN stake END AS stake, CASE WHEN pick_id % 19 <> 0 THEN odds END AS odds,
+  CASE WHEN pick_id % 38 <> 0 THEN CAST(odds + 0.1 AS DECIMAL(18,6)) END AS avg_odds
 FROM picks_v""",
+    "results_v": """
+SELECT CASE WHEN pick_id % 29 = 0 THEN -pick_id ELSE pick_id END AS event_key, row_order,
+  CASE WHEN row_order = 0 THEN 'Scheduled' WHEN status IN ('win', 'loss') THEN CASE WHEN pick_id % 7 <> 0 AND pick_id % 11 <> 0 THEN 'Finished' END
+    WHEN status = 'void' THEN 'Cancelled' WHEN pick_id % 3 = 0 THEN 'Not Started' ELSE '' END AS event_status,
+  CASE WHEN row_order = 1 AND status IN ('win', 'loss') AND pick_id % 7 = 0 THEN 'Retired' END AS event_status_info,
+  CASE WHEN row_order = 1 AND status IN ('win', 'loss') AND pick_id % 11 = 0 AND pick_id % 7 <> 0 THEN 'Match ended' END AS event_status_type,
+  CASE WHEN won AND pick_id % 4 <= 1 THEN CASE WHEN home_won THEN 'First Player' ELSE '2' END END AS event_winner,
+  CASE WHEN won AND pick_id % 4 = 2 THEN pick_id * 10 + CASE WHEN home_won THEN 1 ELSE 2 END END AS winner_key,
+  CASE WHEN won AND pick_id % 4 = 3 THEN upper('Player ' || pick_id || CASE WHEN home_won THEN 'a' ELSE 'b' END) END AS winner_name,
+  pick_id * 10 + 1 AS first_player_key, pick_id * 10 + 2 AS second_player_key,
+  'Player ' || pick_id || 'a' AS event_first_player, 'Player ' || pick_id || 'b' AS event_second_player,
+  CAST(CASE WHEN pick_id % 31 = 0 THEN pick_date + 10 ELSE pick_date END AS DATE) AS event_date
+FROM (SELECT *, row_order = 1 AND status IN ('win', 'loss') AND pick_id % 17 <> 0 AS won, (side = 'home') = (status = 'win') AS home_won
+  FROM (SELECT *, unnest(CASE WHEN pick_id % 5 = 0 THEN [0, 1] ELSE [1] END) AS row_order FROM picks_v))""",
     "ranked_words_v": r"""
 SELECT doc_id, lang, n_chars, list_reverse_sort(list_transform(
     list_distinct(regexp_extract_all(lower(text), '([\p{L}]{3,})', 1)),
@@ -397,13 +409,14 @@ LEFT JOIN (SELECT date, gender, digits, count(*) AS n, min(seq) AS s FROM pred_k
 LEFT JOIN (SELECT date, gender, digits, pair, count(*) AS n, min(seq) AS s FROM pred_keys_v GROUP BY ALL) ip USING (date, gender, digits, pair)
 LEFT JOIN (SELECT date, gender, pair, count(*) AS n, min(seq) AS s FROM pred_keys_v GROUP BY ALL) pr USING (date, gender, pair)""",
     "source_results_v": """
-SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS pick_id,
+SELECT o_orderkey * 2 + again AS row_no, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS pick_id,
   CASE WHEN o_orderkey % 4 = 1 THEN 'e' || o_orderkey END AS event_key, CASE WHEN o_orderkey % 4 = 2 THEN 'f' || (o_orderkey - o_orderkey % 8) END AS fixture_id,
   CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CAST(o_custkey AS VARCHAR) AS player_key, CAST(o_custkey % 10 AS VARCHAR) AS opponent_key,
   CASE WHEN o_orderkey % 2 = 0 THEN 'home' ELSE 'away' END AS side,
-  CASE o_orderstatus WHEN 'F' THEN 'win' WHEN 'O' THEN 'loss' ELSE 'void' END AS result,
+  CASE WHEN again = 1 THEN 'Pending' WHEN o_orderkey % 9 = 0 THEN upper(r) WHEN o_orderkey % 21 = 0 THEN 'open' ELSE r END AS result,
   CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 50 AS DOUBLE) END AS profit
-FROM orders""",
+FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'win' WHEN 'O' THEN 'loss' ELSE 'void' END AS r,
+  unnest(CASE WHEN o_orderkey % 10 = 0 THEN [0, 1] ELSE [0] END) AS again FROM orders)""",
     "active_v": """
 SELECT CAST(pick_id AS VARCHAR) AS pick_id, 'e' || pick_id AS event_key, 'f' || (pick_id - pick_id % 8) AS fixture_id,
   CAST(pick_date AS VARCHAR) AS date, CAST(player_id AS VARCHAR) AS player_key, CAST(player_id % 10 AS VARCHAR) AS opponent_key, side,

@@ -149,20 +149,37 @@ def picks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def settle_picks(spark: SparkSession, sf: str) -> DataFrame:
+    """Picks as a ledger holds them: sides in any spelling, stakes and odds that may be missing."""
+    p = F.col("pick_id")
+    spelt = F.array(*[F.lit(x) for x in ("home", "first", "First Player", "1", "away", "second", "Second Player", "2")])
+    at = (F.floor(p / 2) % 4 + F.when(F.col("side") == "home", 1).otherwise(5)).cast("int")
+    return picks(spark, sf).select(
+        "pick_id", p.alias("event_key"), "pick_date", F.when(p % 41 == 0, "both").otherwise(F.element_at(spelt, at)).alias("side"),
+        F.when(p % 13 != 0, F.col("stake")).alias("stake"), F.when(p % 19 != 0, F.col("odds")).alias("odds"),
+        F.when(p % 38 != 0, (F.col("odds") + F.lit(0.1).cast("decimal(18,6)")).cast("decimal(18,6)")).alias("avg_odds"))
+
+
 def results(spark: SparkSession, sf: str) -> DataFrame:
-    """Result feed of the picks, written as fixture status and winner label."""
+    """Result feed of the picks: older rows of an event, winners by label, id or name, events nobody picked."""
     p = picks(spark, sf)
+    i, done = F.col("pick_id"), F.col("status").isin("win", "loss")
     home_won = (F.col("side") == "home") == (F.col("status") == "win")
-    return p.select(
-        F.col("pick_id").alias("event_key"),
-        F.when(F.col("status").isin("win", "loss"),
-               F.when(F.col("pick_id") % 7 == 0, "Retired").otherwise("Finished"))
-        .when(F.col("status") == "void", "Cancelled")
-        .otherwise(F.when(F.col("pick_id") % 3 == 0, "Not Started").otherwise("")).alias("event_status"),
-        F.when(~F.col("status").isin("win", "loss") | (F.col("pick_id") % 17 == 0), "")
-        .when(home_won, "First Player").otherwise("Second Player").alias("event_winner"),
-        F.col("pick_date").alias("event_date"),
-    )
+    won = done & (i % 17 != 0)
+    name = lambda side: F.concat(F.lit("Player "), i, F.lit(side))
+    rows = p.withColumn("row_order", F.explode(F.when(i % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    last = F.col("row_order") == 1
+    return rows.select(
+        F.when(i % 29 == 0, -i).otherwise(i).alias("event_key"), "row_order",
+        F.when(~last, "Scheduled").when(done, F.when((i % 7 != 0) & (i % 11 != 0), "Finished")).when(F.col("status") == "void", "Cancelled")
+        .otherwise(F.when(i % 3 == 0, "Not Started").otherwise("")).alias("event_status"),
+        F.when(last & done & (i % 7 == 0), "Retired").alias("event_status_info"),
+        F.when(last & done & (i % 11 == 0) & (i % 7 != 0), "Match ended").alias("event_status_type"),
+        F.when(last & won & (i % 4 <= 1), F.when(home_won, "First Player").otherwise("2")).alias("event_winner"),
+        F.when(last & won & (i % 4 == 2), i * 10 + F.when(home_won, 1).otherwise(2)).alias("winner_key"),
+        F.when(last & won & (i % 4 == 3), F.upper(F.when(home_won, name("a")).otherwise(name("b")))).alias("winner_name"),
+        (i * 10 + 1).alias("first_player_key"), (i * 10 + 2).alias("second_player_key"), name("a").alias("event_first_player"),
+        name("b").alias("event_second_player"), F.when(i % 31 == 0, F.date_add("pick_date", 10)).otherwise(F.col("pick_date")).alias("event_date"))
 
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,15 +343,17 @@ def match_number():
 
 
 def source_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Results of another tracker, each known under one of four kinds of key."""
+    """Results of another tracker, each known under one of four kinds of key; some rows are written again, still pending."""
     o, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
-    return table(spark, sf, "orders").select(
-        o.alias("row_no"), F.when(o % 4 == 0, o.cast("string")).alias("pick_id"),
+    rows = table(spark, sf, "orders").withColumn("again", F.explode(F.when(o % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    result = F.when(F.col("o_orderstatus") == "F", "win").when(F.col("o_orderstatus") == "O", "loss").otherwise("void")
+    return rows.select(
+        (o * 2 + F.col("again")).alias("row_no"), F.when(o % 4 == 0, o.cast("string")).alias("pick_id"),
         F.when(o % 4 == 1, F.concat(F.lit("e"), o)).alias("event_key"),
         F.when(o % 4 == 2, F.concat(F.lit("f"), o - o % 8)).alias("fixture_id"), day.alias("date"),
         F.col("o_custkey").cast("string").alias("player_key"), (F.col("o_custkey") % 10).cast("string").alias("opponent_key"),
         F.when(o % 2 == 0, "home").otherwise("away").alias("side"),
-        F.when(F.col("o_orderstatus") == "F", "win").when(F.col("o_orderstatus") == "O", "loss").otherwise("void").alias("result"),
+        F.when(F.col("again") == 1, "Pending").when(o % 9 == 0, F.upper(result)).when(o % 21 == 0, "open").otherwise(result).alias("result"),
         F.when(o % 3 == 0, (F.floor("o_totalprice") % 50).cast("double")).alias("profit"))
 
 

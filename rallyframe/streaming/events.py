@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rallyframe.operators.ledgers import settle_outcome
+from rallyframe.operators.ledgers import last_results, settle_outcome
 
 RECENT_DAYS = 3
 
@@ -18,23 +18,49 @@ def run_to_parquet(stream: DataFrame, path: str, mode: str = "append") -> DataFr
 
 
 def settle_stream(picks: DataFrame, results: DataFrame, days: int = 7) -> DataFrame:
-    """Pending picks joined with results of their event that come within a week.
+    """Every result row that comes for a pick within ``days`` of its date.
 
-    Watermarks on both sides bound the state; a pick whose week passes without a result comes
-    out with the reason of a missing fixture.
+    Watermarks on both sides and the interval bound the state. Picks without such a row stay open:
+    ``settled_and_open`` adds them, so that nothing waits for the watermark to pass.
     """
     p = picks.withColumn("pick_time_at", F.col("pick_date").cast("timestamp")).withWatermark("pick_time_at", "1 day").alias("p")
     r = (results.withColumn("result_at", F.col("event_date").cast("timestamp")).withWatermark("result_at", "1 day")
          .withColumnRenamed("event_key", "result_event_key").alias("r"))
     near = F.expr(f"result_at >= pick_time_at AND result_at <= pick_time_at + INTERVAL {days} DAYS")
-    joined = p.join(r, (F.col("p.event_key") == F.col("r.result_event_key")) & near, "left_outer")
-    return settle_outcome(joined.withColumn("found", F.col("result_event_key").isNotNull()))
+    return p.join(r, (F.col("p.event_key") == F.col("r.result_event_key")) & near).select("p.pick_id", *[f"r.{c}" for c in results.columns if c != "event_key"],
+                                                                                          F.col("r.result_event_key").alias("event_key"))
 
 
-def first_fixtures(fixtures: DataFrame, delay: str = "3 days") -> DataFrame:
-    """First fixture per stable key; keys are forgotten once the watermark passes."""
-    return (fixtures.withColumn("seen_at", F.col("match_date").cast("timestamp")).withWatermark("seen_at", delay)
-            .dropDuplicatesWithinWatermark(["stable_key"]))
+def settled_and_open(picks: DataFrame, seen: DataFrame, order: list[str]) -> DataFrame:
+    """Outcome of every landed pick: by the last result seen for it, or open as its fixture was not found."""
+    by_pick = seen.drop("event_key").withColumnRenamed("pick_id", "event_key")
+    last = last_results(by_pick, order).withColumnRenamed("event_key", "pick_id")
+    return settle_outcome(picks.join(last, "pick_id", "left").withColumn("found", F.coalesce("found", F.lit(False))))
+
+
+def run_first_rows(stream: DataFrame, path: str, key: str, order: str, day: str, days: int = 3) -> DataFrame:
+    """First row per key by ``order``, whatever the order in which files and rows come.
+
+    Each micro-batch appends, per key, its first row if that is earlier than what the batches of the
+    last ``days`` hold; the result is the first of the appended rows. A repeated batch overwrites itself.
+    """
+    spark, rest = stream.sparkSession, [c for c in stream.columns if c not in (key, order)]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields) + ", batch int"
+    first = lambda df: df.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("f")).select(key, f"f.{order}", *[f"f.{c}" for c in rest])
+
+    def keep(df: DataFrame, version: int) -> None:
+        df = df.persist()
+        since = df.agg(F.date_sub(F.min(day), days)).first()[0]
+        now = first(df)
+        if version:
+            known = spark.read.schema(schema).parquet(f"{path}/out").where((F.col("batch") < version) & (F.col(day) >= F.lit(since)))
+            held = known.groupBy(key).agg(F.min(order).alias("held"))
+            now = now.join(held, key, "left").where(F.col("held").isNull() | (F.col(order) < F.col("held"))).drop("held")
+        now.write.mode("overwrite").parquet(f"{path}/out/batch={version}")
+        df.unpersist()
+
+    stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return first(spark.read.schema(schema).parquet(f"{path}/out").drop("batch"))
 
 
 def landing_class(delay_days: Column) -> Column:
