@@ -153,6 +153,19 @@ def level_from_pick(level: Column, event_type: Column, qualification: Column) ->
                         ("unknown", t == "")], t)
 
 
+def level_from_scan(level: Column, event_type: Column, qualification: Column) -> Column:
+    """Level of a scan feed: known names, tour names, then words in the level and event text."""
+    t = F.translate(F.lower(F.trim(F.coalesce(level, F.lit("")))), "- ", "__")
+    ev = F.lower(F.trim(F.coalesce(event_type, F.lit(""))))
+    q = F.lower(F.trim(F.coalesce(qualification, F.lit("")))).isin("1", "true", "yes", "y")
+    text = F.concat_ws(" ", t, ev)
+    return first_match([("qualifying", q | has_any(ev, ("qualification", "qualifying"))),
+                        ("atp_wta", t.isin("main_tour", "tour", "atp", "wta", "atp_wta")), ("grand_slam", t.isin("grand_slam", "slam")),
+                        ("challenger", t == "challenger"), ("itf", t == "itf"), ("grand_slam", text.contains("grand slam")),
+                        ("challenger", text.contains("challenger")), ("itf", text.contains("itf")),
+                        ("atp_wta", has_any(text, ("atp", "wta"))), ("unknown", t == "")], t)
+
+
 def is_qualification(c: Column) -> Column:
     """Never true for quarterfinals."""
     t = clean_ws(F.translate(F.lower(F.coalesce(c, F.lit(""))), "-_", "  "))

@@ -35,12 +35,18 @@ def parse_birth_date(c: Column) -> Column:
 
 
 def birth_year(c: Column) -> Column:
-    """Year of DD.MM.YYYY or of a text starting with the year."""
-    dotted = F.regexp_extract(c, r"^\s*\d{1,2}\.\d{1,2}\.(\d{4})", 1)
+    """Year of day, month and year between dots, slashes or dashes, or of a text starting with the year."""
+    dotted = F.regexp_extract(c, r"^\s*\d{1,2}[./-]\d{1,2}[./-](\d{4})\s*$", 1)
     leading = F.regexp_extract(c, r"^\s*(\d{4})", 1)
     return F.coalesce(F.nullif(dotted, F.lit("")), F.nullif(leading, F.lit(""))).cast("int")
 
 
+def country_code(value: Column, code_of_name: Column) -> Column:
+    """Three letters are a code already; other texts go by the name's code; blank is blank."""
+    text = F.upper(F.trim(F.coalesce(value, F.lit(""))))
+    return F.when(text == "", "").when(text.rlike(r"^\p{L}{3}$"), text).otherwise(F.coalesce(code_of_name, F.lit("")))
+
+
 def safe_double(c: Column) -> Column:
     v = F.trim(c.cast("string")).try_cast("double")
     return F.when(F.isnan(v) | (F.abs(v) == float("inf")), None).otherwise(v)

@@ -51,6 +51,8 @@ def resolve_aliases(aliases: DataFrame) -> DataFrame:
         if (n_open, n_targets) == before:
             break
         before = (n_open, n_targets)
+    else:
+        raise ValueError(f"alias chains are still open after {_MAX_ROUNDS} doublings")
     on_cycle = cut_lineage(state.where("open").select(F.col("passed").alias("alias_key")).distinct())
     endless = state.where("open").select("alias_key")
     ended = state.where("NOT open").select("alias_key", F.col("target").alias("canonical_key"), F.lit(False).alias("is_cycle"))
@@ -63,6 +65,8 @@ def resolve_aliases(aliases: DataFrame) -> DataFrame:
         tails, n_open, _ = _double(tails.select("alias_key", "target"))
         if n_open == 0:
             break
+    else:
+        raise ValueError(f"alias chains are still open after {_MAX_ROUNDS} doublings")
     entered = tails.select("alias_key", F.col("target").alias("canonical_key"), F.lit(True).alias("is_cycle"))
     return ended.unionByName(cycle).unionByName(entered)
 

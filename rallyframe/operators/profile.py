@@ -7,34 +7,16 @@ from pyspark.sql import functions as F
 
 from rallyframe import constants as K
 from rallyframe.functions import text as T
+from rallyframe.functions.json_tree import json_leaves
 from rallyframe.functions.values import share
 
 # fixed values: words in a path that put it into a group
 GROUP_HINTS = (("surface_like", ("surface", "sourface", "court", "ground")), ("tournament_like", ("tournament", "league", "event_type")),
                ("status_like", ("status", "live", "winner", "result")), ("player_like", ("player", "first_", "second_")))
+SHOWN = 200   # characters of a value in the report; counting takes whole values
 SURFACE_WORDS = ("hard", "clay", "grass", "carpet", "court", "surface")
 
 
-def _children(e: Column) -> Column:
-    """Entries one level below an entry whose value is an object or a list."""
-    text = F.trim(e["value"])
-    keyed = F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda x: F.struct(
-        F.concat_ws(".", F.nullif(e["path"], F.lit("")), x["key"]).alias("path"), x["value"].alias("value")))
-    listed = F.transform(F.from_json(text, "array<string>"), lambda x, i: F.struct(
-        F.concat(e["path"], F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value")))
-    first = F.substring(text, 1, 1)
-    return F.coalesce(F.when(first == "{", keyed).when(first == "[", listed), F.lit([]).cast("array<struct<path:string,value:string>>"))
-
-
-def json_paths(raw: Column, depth: int = 4) -> Column:
-    """Every (path, scalar value) of a JSON record down to ``depth`` levels, in document order."""
-    level = F.array(F.struct(F.lit("").alias("path"), raw.alias("value")))
-    for _ in range(depth):
-        level = F.flatten(F.transform(level, lambda e: F.when(
-            F.substring(F.trim(e["value"]), 1, 1).isin("{", "["), _children(e)).otherwise(F.array(e))))
-    return level
-
-
 def field_group(path: Column) -> Column:
     out = F.lit("other")
     for name, words in reversed(GROUP_HINTS):
@@ -43,17 +25,17 @@ def field_group(path: Column) -> Column:
 
 
 def shown(value: Column) -> Column:
-    return F.when(value.isNull(), "<null>").when(F.trim(value) == "", "<blank>").otherwise(F.substring(F.trim(value), 1, 200))
+    return F.when(value.isNull(), "<null>").when(F.trim(value) == "", "<blank>").otherwise(F.trim(value))
 
 
 def path_values(records: DataFrame, raw: str = "raw") -> DataFrame:
     """One row per record and path; list positions are folded so that paths stay few."""
-    return records.select("record", F.explode(json_paths(F.col(raw))).alias("e")).select(
+    return records.select("record", F.explode(json_leaves(F.col(raw))).alias("e")).select(
         "record", F.regexp_replace("e.path", r"\[\d+\]", "[]").alias("path"), F.col("e.value").alias("value"))
 
 
 def json_field_profile(records: DataFrame, raw: str = "raw", top: int = 3) -> DataFrame:
-    """Per path: group, presence, coverage, and the most common values with exact counts."""
+    """Per path: group, presence, coverage, and the most common whole values (shown up to SHOWN characters) with exact counts."""
     from pyspark.sql import Window
 
     from rallyframe.workspace import materialise
@@ -64,7 +46,7 @@ def json_field_profile(records: DataFrame, raw: str = "raw", top: int = 3) -> Da
     counts = rows.groupBy("path", "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy("path").orderBy(F.desc("n"), "value")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    texts = F.array_sort(F.collect_list(F.struct("rank", F.concat_ws("=", "value", F.col("n").cast("string")).alias("t"))))
+    texts = F.array_sort(F.collect_list(F.struct("rank", F.concat_ws("=", F.substring("value", 1, SHOWN), F.col("n").cast("string")).alias("t"))))
     tops = best.groupBy("path").agg(F.array_join(F.transform(texts, lambda x: x["t"]), ",").alias("top_values"))
     return (presence.join(tops, "path").crossJoin(F.broadcast(total))  # one row
             .select("path", field_group(F.col("path")).alias("field_group"), "presence", "records",
@@ -73,7 +55,8 @@ def json_field_profile(records: DataFrame, raw: str = "raw", top: int = 3) -> Da
 
 def hint_scan(records: DataFrame, patterns: list[str], raw: str = "raw") -> DataFrame:
     """Per record: paths or values that mention a surface, whether any does, and text pattern hits."""
-    hinted = F.filter(json_paths(F.col(raw)), lambda e: F.lower(e["path"]).rlike("surface|sourface|court")
+    records = records.select("record", raw, json_leaves(F.col(raw)).alias("leaves"))
+    hinted = F.filter("leaves", lambda e: F.lower(e["path"]).rlike("surface|sourface|court")
                       | F.lower(F.coalesce(e["value"], F.lit(""))).rlike("|".join(SURFACE_WORDS)))
     filled = F.filter(hinted, lambda e: F.trim(F.coalesce(e["value"], F.lit(""))) != "")
     return records.select(

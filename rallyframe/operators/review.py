@@ -241,19 +241,22 @@ def apply_review(overrides: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 # --- verification queue ----------------------------------------------------
-def verification_queue(open_players: DataFrame, candidates: DataFrame, feed: DataFrame, mapping: DataFrame, examples: int = 3) -> DataFrame:
+def verification_queue(open_players: DataFrame, candidates: DataFrame, feed: DataFrame, mapping: DataFrame, examples: int = 3,
+                       listed_candidates: int = 5) -> DataFrame:
     """Unresolved players with priority, their latest distinct matches, and a compact candidate list.
 
     ``feed``: feed matches with flat keys; ``candidates``: api_key, rank, cand_key, score, action.
     """
     sides = explode_sides(feed, ["seq", "match_date", "level", "surface", "tourney_name", "round"]).withColumnRenamed("player_key", "api_key")
-    mine = sides.join(open_players.select("api_key"), "api_key", "left_semi")
+    same = ["api_key", "seq", "match_date", "opponent_key"]   # one example, however often the feed has it
+    mine = sides.join(open_players.select("api_key"), "api_key", "left_semi").groupBy(*same).agg(
+        F.max(F.struct("won", "level", "surface", "tourney_name", "round")).alias("m")).select(*same, "m.*")
     counts = mine.groupBy("api_key").agg(F.count("*").alias("matches"), F.count_if(F.col("level").isin("atp_wta", "grand_slam")).alias("high"),
                                          F.count_if(F.col("level") == "challenger").alias("challenger"))
-    listed = candidates.where(F.col("rank") <= 5).groupBy("api_key").agg(
-        F.max(F.when(F.col("rank") == 1, F.col("action"))).alias("action"), F.max("rank").alias("candidate_count"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.concat_ws(" | ", "cand_key", F.col("score").cast("string")).alias("t")))),
-                                 lambda x: x["t"]), " ; ").alias("top_candidates"))
+    top = F.when(F.col("rank") <= listed_candidates, F.struct("rank", F.concat_ws(" | ", "cand_key", F.col("score").cast("string")).alias("t")))
+    listed = candidates.groupBy("api_key").agg(
+        F.max(F.when(F.col("rank") == 1, F.col("action"))).alias("action"), F.count("*").alias("candidate_count"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(top)), lambda x: x["t"]), " ; ").alias("top_candidates"))
     order = Window.partitionBy("api_key").orderBy(F.desc("match_date"), F.desc("level"), F.desc("tourney_name"), F.desc("seq"), F.desc("won"))
     shown = mine.withColumn("example_index", F.row_number().over(order)).where(F.col("example_index") <= examples)
     m = mapping.select(F.col("api_key").alias("opponent_key"), _mapped("status", "target_key").alias("opponent_mapped"))

@@ -155,7 +155,10 @@ SELECT seq, CASE code WHEN 'G' THEN 'grand_slam' WHEN 'D' THEN 'atp_wta' WHEN 'M
   {LEVEL_TEXT} AS from_text, {BASE_LEVEL} AS base_level,
   CASE WHEN lower(event_type_type) LIKE '%qualifi%' THEN 'qualifying'
     WHEN lv IN ('atp_wta', 'main_tour', 'tour') THEN 'atp_wta' WHEN lv IN ('grand_slam', 'slam') THEN 'grand_slam'
-    WHEN lv = '' THEN 'unknown' ELSE lv END AS from_pick
+    WHEN lv = '' THEN 'unknown' ELSE lv END AS from_pick,
+  CASE WHEN lower(event_type_type) LIKE '%qualifi%' THEN 'qualifying' WHEN lv IN ('atp', 'main_tour') THEN 'atp_wta' WHEN lv = 'slam' THEN 'grand_slam'
+    WHEN lv = 'challenger' THEN lv WHEN lv = '' AND lower(event_type_type) LIKE '%challenger%' THEN 'challenger' WHEN lv = '' AND lower(event_type_type) LIKE '%itf%' THEN 'itf'
+    WHEN lv = '' AND regexp_matches(lower(event_type_type), 'atp|wta') THEN 'atp_wta' WHEN lv = '' THEN 'unknown' ELSE lv END AS from_scan
 FROM (SELECT *, {GENDER_TEXT.format('t')} AS g FROM (SELECT *, ' ' || {PIPED} || ' ' AS t, {CONTEXT} AS c,
   ['G', 'D', 'm', 'C', 'Q', 'x', ''][k % 7 + 1] AS raw_code, upper(raw_code) AS code,
   ['Main-Tour', 'Slam', 'challenger', '', 'ATP'][k % 5 + 1] AS raw_level,
@@ -173,7 +176,8 @@ def b8(spark, sf):
                                  F.col("source_file")).alias("from_code"),
         C.level_from_text(piped, C.gender_from_text(piped)).alias("from_text"),
         C.base_level_from_context(context).alias("base_level"),
-        C.level_from_pick(level, F.col("event_type_type"), F.lit("")).alias("from_pick"))
+        C.level_from_pick(level, F.col("event_type_type"), F.lit("")).alias("from_pick"),
+        C.level_from_scan(level, F.col("event_type_type"), F.lit("")).alias("from_scan"))
 
 
 @query("b9_is_qualification", r"""
@@ -304,14 +308,19 @@ def b17(spark, sf):
 
 @query("b18_birth_year_country", r"""
 SELECT c.player_key, CAST(regexp_extract(c.player_bday, '(\d{4})', 1) AS INTEGER) AS birth_year,
-  n.n_nationkey AS country_code
-FROM cache_v c LEFT JOIN nation n ON n.n_name = c.player_country""")
+  CAST(regexp_extract(c.player_bday, '(\d{4})', 1) AS INTEGER) AS slashed_year,
+  CASE WHEN pk % 5 = 0 THEN upper(chr((97 + pk % 26)::INTEGER) || 'uv') WHEN pk % 7 = 0 THEN '' ELSE coalesce('C' || n.n_nationkey, '') END AS country_code
+FROM (SELECT *, CAST(regexp_extract(player_key, '(\d+)$', 1) AS BIGINT) AS pk FROM cache_v) c LEFT JOIN nation n ON n.n_name = c.player_country""")
 def b18(spark, sf):
     nation = views.table(spark, sf, "nation")
+    number = F.regexp_extract("player_key", r"(\d+)$", 1).cast("bigint")
+    code = F.concat(F.char(number % 26 + 97), F.lit("uv"))   # three letters are a code; every seventh is blank
+    country = F.when(number % 5 == 0, code).when(number % 7 == 0, " ").otherwise(F.col("player_country"))
+    slashed = F.translate("player_bday", ".", "/")
     return (views.player_cache(spark, sf)
             .join(F.broadcast(nation), F.col("player_country") == F.col("n_name"), "left")  # fixed: 25 rows
-            .select("player_key", V.birth_year(F.col("player_bday")).alias("birth_year"),
-                    F.col("n_nationkey").alias("country_code")))
+            .select("player_key", V.birth_year(F.col("player_bday")).alias("birth_year"), V.birth_year(slashed).alias("slashed_year"),
+                    V.country_code(country, F.concat(F.lit("C"), "n_nationkey")).alias("country_code")))
 
 
 def score_array(first: str = "w", second: str = "l"):

@@ -16,7 +16,7 @@ GROUPS = """CASE WHEN regexp_matches(path, 'surface|sourface|court|ground') THEN
 PROFILE = f"""
 SELECT path, {GROUPS} AS field_group, sum(n)::BIGINT AS presence, sum(n)::BIGINT AS records,
   floor(sum(n) * 100 * 1e2 / (SELECT count(*) FROM {{0}}) + 0.5) / 1e2 AS coverage_pct,
-  string_agg(value || '=' || n, ',' ORDER BY n DESC, value) FILTER (rn <= 3) AS top_values
+  string_agg(left(value, 200) || '=' || n, ',' ORDER BY n DESC, value) FILTER (rn <= 3) AS top_values
 FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY n DESC, value) AS rn FROM (
   SELECT path, CASE WHEN trim(value) = '' THEN '<blank>' ELSE trim(value) END AS value, count(*) AS n FROM ({{1}}) GROUP BY 1, 2)) GROUP BY path"""
 
@@ -34,14 +34,16 @@ def records(spark, sf):
 @query("j1_fixture_field_profile", PROFILE.format("scan_v", """
 SELECT 'event_key' AS path, event_key AS value FROM scan_v UNION ALL SELECT 'event_type_type', event_type_type FROM scan_v
 UNION ALL SELECT 'tournament_name', tournament_name FROM scan_v UNION ALL SELECT 'event_surface', event_surface FROM scan_v
-UNION ALL SELECT 'venue.court.type', 'Clay' FROM scan_v WHERE seq % 9 = 0 UNION ALL SELECT 'notes[]', 'played on grass' FROM scan_v WHERE seq % 9 = 1"""))
+UNION ALL SELECT 'venue.court.type', 'Clay' FROM scan_v WHERE seq % 9 = 0 UNION ALL SELECT 'notes[]', 'played on grass' FROM scan_v WHERE seq % 9 = 1
+UNION ALL SELECT 'meta.a.b.c.d.e.surface', 'Clay' FROM scan_v WHERE seq % 9 = 2 UNION ALL SELECT 'remark', repeat('x', 200) || seq % 2 FROM scan_v WHERE seq % 9 = 3
+UNION ALL SELECT 'ground.type', 'clay' FROM scan_v WHERE seq % 9 = 4 UNION ALL SELECT 'court_surface', 'Grass Court' FROM scan_v WHERE seq % 9 = 4"""))
 def j1_fixtures(spark, sf):
     return J.json_field_profile(records(spark, sf))
 
 
 @query("j2_hint_scan", """
-SELECT seq AS record, 1 + CAST(seq % 9 IN (0, 1) AS BIGINT) AS hint_hits,
-  event_surface = '' AND seq % 9 NOT IN (0, 1) AS no_surface,
+SELECT seq AS record, 1 + CAST(seq % 9 IN (0, 1, 2) AS BIGINT) + CASE WHEN seq % 9 = 4 THEN 2 ELSE 0 END AS hint_hits,
+  event_surface = '' AND seq % 9 NOT IN (0, 1, 2, 4) AS no_surface,
   lower(tournament_name) LIKE '%wimbledon%' AS mentions_wimbledon, lower(tournament_name) LIKE '%qualification%' AS mentions_qualification FROM scan_v""")
 def j2(spark, sf):
     return J.hint_scan(records(spark, sf), ["wimbledon", "qualification"])

@@ -472,9 +472,10 @@ SELECT *, CASE WHEN qualification THEN 'qualifying' ELSE base_level END AS level
     coalesce(map_name, '')), '-_', '  '), '\s+', ' ', 'g')) AS c FROM scan_v))""",
     "slam_map_v": "SELECT lower(tournament_name) AS map_key, min(true_surface) AS map_value, min(seq) AS position FROM fixtures_v WHERE true_level = 'grand_slam' AND true_surface <> 'unknown' GROUP BY 1",
     "scan_surface_v": """
-SELECT s.*, CASE WHEN event_surface <> '' THEN 'api_field:event_surface' WHEN seq % 9 = 0 THEN 'api_field:venue.court.type' WHEN seq % 9 = 1 THEN 'api_text:notes[0]'
+SELECT s.*, CASE WHEN event_surface <> '' THEN 'api_field:event_surface' WHEN seq % 9 = 4 THEN 'api_field:court_surface' WHEN seq % 9 = 0 THEN 'api_field:venue.court.type'
+    WHEN seq % 9 = 2 THEN 'api_field:meta.a.b.c.d.e.surface' WHEN seq % 9 = 1 THEN 'api_text:notes[0]'
     WHEN map_surface IS NOT NULL THEN 'tournaments_metadata' WHEN h.surface IS NOT NULL THEN 'tournament_surface_map' ELSE 'missing' END AS surface_source,
-  coalesce(CASE WHEN event_surface LIKE 'Hard%' THEN 'hard' ELSE nullif(lower(event_surface), '') END, CASE WHEN seq % 9 = 0 THEN 'clay' WHEN seq % 9 = 1 THEN 'grass' END,
+  coalesce(CASE WHEN event_surface LIKE 'Hard%' THEN 'hard' ELSE nullif(lower(event_surface), '') END, CASE WHEN seq % 9 IN (0, 2) THEN 'clay' WHEN seq % 9 IN (1, 4) THEN 'grass' END,
     map_surface, h.surface, 'unknown') AS surface
 FROM scan_context_v s LEFT JOIN (SELECT t.c, arg_min(map_value, {'l': -length(map_key), 'k': map_key}) AS surface
   FROM (SELECT DISTINCT c FROM scan_context_v) t JOIN slam_map_v m ON contains(t.c, m.map_key) GROUP BY t.c) h ON h.c = s.c""",
@@ -483,8 +484,9 @@ SELECT *, CASE WHEN event_status <> '' THEN 'status_' || lower(event_status) WHE
   WHEN lower(event_type_type) LIKE '%double%' THEN 'doubles_or_team' WHEN event_key = '' THEN 'missing_event_key'
   WHEN event_first_player = '' THEN 'missing_player_name' END AS scan_skip FROM scan_surface_v""",
     "odds_v": """
-WITH m AS (SELECT event_key, side, median(odds) AS mid, count(*) AS raw_n FROM quotes_v WHERE odds > 1 GROUP BY 1, 2 HAVING count(*) >= 3),
-j AS (SELECT q.*, m.mid, m.raw_n, abs(q.odds - mid) / mid <= 0.12 AS near FROM quotes_v q JOIN m USING (event_key, side) WHERE odds > 1),
+WITH own AS (SELECT event_key, side, bookmaker, max(odds) AS odds FROM quotes_v WHERE odds > 1 GROUP BY 1, 2, 3),
+m AS (SELECT event_key, side, median(odds) AS mid, count(*) AS raw_n FROM own GROUP BY 1, 2 HAVING count(*) >= 3),
+j AS (SELECT q.*, m.mid, m.raw_n, abs(q.odds - mid) / mid <= 0.12 AS near FROM own q JOIN m USING (event_key, side)),
 n AS (SELECT event_key, side, count(*) FILTER (near) AS near_n FROM j GROUP BY 1, 2),
 u AS (SELECT j.* FROM j JOIN n USING (event_key, side) WHERE near_n < 3 OR near),
 o AS (SELECT event_key, side, floor(sum(CAST(odds AS DECIMAL(18,6)))::DOUBLE / count(*) * 1e4 + 0.5) / 1e4 AS avg_odds, floor(median(odds) * 1e4 + 0.5) / 1e4 AS median_odds,
@@ -533,7 +535,7 @@ SELECT s.*, own.player_key IS NOT NULL AND oth.player_key IS NOT NULL AS rated,
   CASE s.surface WHEN 'hard' THEN oth.hard_n WHEN 'clay' THEN oth.clay_n WHEN 'grass' THEN oth.grass_n WHEN 'carpet' THEN oth.carpet_n ELSE 0 END AS oth_surf_n
 FROM scan_sides_v s LEFT JOIN profile_v own ON own.player_key = s.own_key LEFT JOIN profile_v oth ON oth.player_key = s.other_key""",
     "scan_prob_v": """
-SELECT *, CASE WHEN rated AND lw IS NOT NULL THEN floor(1e8 / (1 + pow(10, ((oth_r * lw + oth_surf_r * sw) / (lw + sw) - (own_r * lw + own_surf_r * sw) / (lw + sw)) / 400)) + 0.5) / 1e8 END AS side_prob,
+SELECT *, CASE WHEN rated AND lw IS NOT NULL THEN 1 / (1 + pow(10, ((oth_r * lw + oth_surf_r * sw) / (lw + sw) - (own_r * lw + own_surf_r * sw) / (lw + sw)) / 400)) END AS side_prob,
   CASE WHEN rated THEN least(own_n, oth_n) END AS min_level_n, CASE WHEN rated AND level = 'qualifying' THEN least(own_overall_n, oth_overall_n) END AS min_overall_n,
   CASE WHEN rated THEN least(own_surf_n, oth_surf_n) END AS min_surface_n
 FROM (SELECT *, CASE WHEN level = 'qualifying' THEN own_qual_r ELSE own_plain_r END AS own_r, CASE WHEN level = 'qualifying' THEN oth_qual_r ELSE oth_plain_r END AS oth_r,
@@ -541,7 +543,7 @@ FROM (SELECT *, CASE WHEN level = 'qualifying' THEN own_qual_r ELSE own_plain_r
     CASE level WHEN 'atp_wta' THEN 0.7::DOUBLE WHEN 'grand_slam' THEN 0.7 WHEN 'challenger' THEN 0.6 WHEN 'itf' THEN 1.0 WHEN 'qualifying' THEN 1.0 END AS lw,
     CASE level WHEN 'atp_wta' THEN 0.3::DOUBLE WHEN 'grand_slam' THEN 0.3 WHEN 'challenger' THEN 0.4 ELSE 0.0 END AS sw FROM scan_components_v)""",
     "scan_strict_v": """
-SELECT * REPLACE (CASE WHEN level = 'qualifying' THEN CASE WHEN rated THEN floor(1e8 / (1 + pow(10, (oth_plain_r - own_plain_r) / 400)) + 0.5) / 1e8 END ELSE side_prob END AS side_prob,
+SELECT * REPLACE (CASE WHEN level = 'qualifying' THEN CASE WHEN rated THEN 1 / (1 + pow(10, (oth_plain_r - own_plain_r) / 400)) END ELSE side_prob END AS side_prob,
   CASE WHEN level = 'qualifying' AND rated THEN least(own_plain_n, oth_plain_n) ELSE min_level_n END AS min_level_n, NULL AS min_overall_n) FROM scan_prob_v""",
     "feed_blocks_v": """
 SELECT DISTINCT gender, norm, x.kind, x.key FROM (SELECT *, list_filter(string_split(norm, ' '), lambda x: x <> '') AS t FROM (SELECT DISTINCT gender, trim(regexp_replace(lower(strip_accents(feed_name)), '[^a-z0-9]+', ' ', 'g')) AS norm FROM names_v) WHERE norm <> ''),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import importlib.util
 import re
@@ -10,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rallyframe.plans.check_views import CHECK_VIEWS
+from rallyframe.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +21,20 @@ _CATALOG = ("functions", "sources", "imports", "identity", "merging", "ratings",
             "picks", "ledgers", "profiles", "streams")
 
 
+def _shipped(fn: Query) -> Query:
+    """Workers get the package before a query runs."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf)
+    return run
+
+
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in _QUERIES:
             raise ValueError(f"query {name} registered twice")
-        _QUERIES[name] = fn
+        _QUERIES[name] = _shipped(fn)
         if check is not None:
             _CHECKS[name] = check
         return fn

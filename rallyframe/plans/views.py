@@ -374,6 +374,13 @@ def scan_fixtures(spark: SparkSession, sf: str) -> DataFrame:
         "event_live": F.when(seq % 23 == 0, "1").otherwise("0"), "event_date": F.date_format("match_date", "yyyy-MM-dd"),
         "event_qualification": F.when(k % 10 == 0, "1").otherwise("0")})
     court = F.struct(F.struct(F.lit("Clay").alias("type")).alias("court"))
+    deep = F.lit("Clay").alias("surface")
+    for name in ("e", "d", "c", "b", "a"):
+        deep = F.struct(deep).alias(name)
+    deep = F.struct(deep)
     raw = F.struct("event_key", "event_type_type", "tournament_name", "event_surface",
-                   F.when(seq % 9 == 0, court).alias("venue"), F.when(seq % 9 == 1, F.array(F.lit("played on grass"))).alias("notes"))
+                   F.when(seq % 9 == 0, court).alias("venue"), F.when(seq % 9 == 1, F.array(F.lit("played on grass"))).alias("notes"),
+                   F.when(seq % 9 == 2, deep).alias("meta"), F.when(seq % 9 == 3, F.concat(F.repeat(F.lit("x"), 200), seq % 2)).alias("remark"),
+                   F.when(seq % 9 == 4, F.struct(F.lit("clay").alias("type"))).alias("ground"),
+                   F.when(seq % 9 == 4, "Grass Court").alias("court_surface"))
     return f.withColumn("raw", F.to_json(raw))
