@@ -26,8 +26,11 @@ from pyspark.sql import types as T
 
 from .common import with_text_columns
 
-REMEMBERED = 200_000   # fragments and words that a worker remembers
+REMEMBERED = 250_000   # words and fragments of a generation; a worker remembers two generations
 REMEMBERED_CHARS = 40  # longer ones are encoded anew
+SHORT = 200            # symbols of a fragment that is merged by looking for the least rank
+_NEVER = 1 << 60
+_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
@@ -62,14 +65,24 @@ class Vocabulary:
         return {i: t for t, i in (self.ids | self.special).items()}
 
     @cached_property
-    def joined(self) -> set[str]:
+    def joined(self) -> set[tuple[str, str]]:
         """Neighbours inside some token: two letters, the second with the word end where it closes one."""
         pairs = set()
         for token in self.ids:
-            symbols = self.symbols(token.removesuffix(self.end) if self.end else token, bool(self.end) and token.endswith(self.end))
-            pairs.update(a + b for a, b in zip(symbols, symbols[1:]))
+            symbols = self.cut(token)
+            pairs.update(zip(symbols, symbols[1:]))
         return pairs
 
+    def cut(self, token: str) -> list[str]:
+        """The letters of a token or fragment, the last with its word end if there is one."""
+        closed = bool(self.end) and token.endswith(self.end)
+        return self.symbols(token[:-len(self.end)] if closed else token, closed)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        """Kept with the vocabulary, so that a worker's next tasks go on with what it remembers."""
+        return Encoder(self)
+
     def symbols(self, letters: str, closed: bool) -> list[str]:
         return [*letters[:-1], letters[-1] + self.end] if closed and letters else list(letters)
 
@@ -78,6 +91,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.strings = {i: str(i) for i in vocabulary.tokens}
 
@@ -88,33 +102,59 @@ class Encoder:
             if part in special:
                 ids.append(special[part])
                 continue
-            known = self.known
-            lowered = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()  # letter by letter: no final sigma
-            for word in _WORD.findall(lowered):
-                found = known.get(word)
-                ids.extend(self._word(word) if found is None else found)
+            if part.isascii():
+                words = _ASCII_WORD.findall(part.lower())
+            else:
+                words = _WORD.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())  # letter by letter: no final sigma
+            for word in words:
+                found = self.known.get(word)
+                ids.extend(self._recall(word, False) if found is None else found)
         return ids
 
-    def _remember(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+    def _recall(self, key: str, fragment: bool) -> tuple[int, ...]:
+        """The ids of a word (or of a fragment, marked by a leading NUL) that is not in the younger generation."""
+        found = self.older.get(key)
+        if found is None:
+            found = self._merge(self.vocabulary.cut(key[1:])) if fragment else self._word(key)
         if len(key) <= REMEMBERED_CHARS:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[key] = ids
-        return ids
+                self.older, self.known = self.known, {}
+            self.known[key] = found
+        return found
 
     def _word(self, word: str) -> tuple[int, ...]:
         v = self.vocabulary
-        symbols = v.symbols("".join(v.letters[b] for b in word.encode()), True)
-        cuts = [i for i in range(1, len(symbols)) if symbols[i - 1] + symbols[i] not in v.joined]
+        symbols = v.symbols("".join([v.letters[b] for b in word.encode()]), True)
+        joined = v.joined
+        cuts = [i for i, pair in enumerate(zip(symbols, symbols[1:]), 1) if pair not in joined]
+        if not cuts:
+            return self._merge(symbols)
         ids: list[int] = []
         for a, b in zip([0, *cuts], [*cuts, len(symbols)]):
-            key = "\0" + "".join(symbols[a:b])  # a fragment, not a word
-            found = self.known.get(key)
-            ids.extend(self._remember(key, self._merge(symbols[a:b])) if found is None else found)
-        return self._remember(word, tuple(ids))
+            key = "\0" + "".join(symbols[a:b])
+            ids.extend(self.known.get(key) or self._recall(key, True))
+        return tuple(ids)
 
     def _merge(self, symbols: list[str]) -> tuple[int, ...]:
         """Merge the pair of lowest rank, leftmost first, until none is left."""
+        if len(symbols) > SHORT:
+            symbols = self._merge_long(symbols)
+        else:
+            rank = self.vocabulary.ranks.get
+            ranks = [rank(pair, _NEVER) for pair in zip(symbols, symbols[1:])]
+            while ranks and (least := min(ranks)) < _NEVER:
+                i = ranks.index(least)
+                symbols[i] += symbols.pop(i + 1)
+                ranks.pop(i)
+                if i:
+                    ranks[i - 1] = rank((symbols[i - 1], symbols[i]), _NEVER)
+                if i < len(ranks):
+                    ranks[i] = rank((symbols[i], symbols[i + 1]), _NEVER)
+        ids = self.vocabulary.ids
+        return tuple([ids[s] for s in symbols])
+
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """The same with a heap of pairs: n log n."""
         ranks, n = self.vocabulary.ranks, len(symbols)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
@@ -131,7 +171,7 @@ class Encoder:
             for x, y in ((left[i], i), (i, right[i])):
                 if x >= 0 and y < n and (r := ranks.get((symbols[x], symbols[y]))) is not None:
                     heapq.heappush(heap, (r, x, symbols[x], symbols[y]))
-        return tuple(self.vocabulary.ids[s] for s in symbols if s)
+        return [s for s in symbols if s]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens joined by spaces, as a tokenizer file without a decoder asks."""
@@ -150,7 +190,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep
     def make():
         from hashlib import sha256
 
-        encoder = Encoder(shared.value)
+        encoder = shared.value.encoder
 
         def work(texts: pa.Array) -> list:
             counts, ids_sha, decoded_sha, kept = [], [], [], []
@@ -173,7 +213,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ke
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = shared.value.encoder
         return lambda texts: [[len(encoder.encode(t.as_py())) for t in texts]]
 
     return with_text_columns(docs, text, [(name, T.LongType())], make, keep)
