@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.workspace import materialise
 
-CELLS = 32               # per dimension
+CELLS = 64               # per dimension
 CELL_SAMPLE = 20_000     # vectors that the cells' borders are fitted on, at most
 QUERY_ROWS, VECTOR_ROWS = 2048, 16_384
 AT_ONCE = 128            # queries bounded at once
