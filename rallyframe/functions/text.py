@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 
@@ -9,32 +10,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _accent_table() -> tuple[str, str]:
-    """Characters whose NFKD base is one ASCII character, then marks to drop."""
-    source, target, marks = [], [], []
-    for code in range(0x80, min(0x10000, sys.maxunicode)):
+def _accent_tables() -> tuple[str, str, dict[str, str]]:
+    """From the NFKD rules: characters with a one-letter ASCII base, then marks to drop; and those with a longer base."""
+    source, target, marks, longer = [], [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
         ch = chr(code)
         if unicodedata.combining(ch):
             marks.append(ch)
             continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != ch:
+        full = unicodedata.normalize("NFKD", ch)
+        base = "".join(c for c in full if not unicodedata.combining(c))
+        if not base:
+            marks.append(ch)
+            continue
+        if base == ch or not any(c.isascii() for c in base):
+            continue
+        if len(base) == 1:
             source.append(ch)
             target.append(base)
-    return "".join(source + marks), "".join(target)
-
+        else:
+            longer[ch] = base
+    return "".join(source + marks), "".join(target), longer
 
-_FROM, _TO = _accent_table()
 
-# fixed values: the ligatures names do hold; other characters with several-letter bases count as separators
-_LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ĳ": "ij"}
+_FROM, _TO, _LONGER = _accent_tables()
+_LONGER_JSON = json.dumps(_LONGER)
 
 
 def strip_accents(c: Column) -> Column:
-    out = F.translate(c, _FROM, _TO)
-    for ligature, letters in _LIGATURES.items():
-        out = F.replace(out, F.lit(ligature), F.lit(letters))
-    return out
+    """NFKD without combining marks, as far as letters, digits and signs of ASCII come out of it."""
+    plain = F.translate(c, _FROM, _TO)
+    table = F.from_json(F.lit(_LONGER_JSON), "map<string,string>")
+    spelt = F.array_join(F.transform(F.split(plain, ""), lambda ch: F.coalesce(table[ch], ch)), "")
+    has_longer = F.length(F.translate(plain, "".join(_LONGER), "")) < F.length(plain)
+    return F.when(F.octet_length(c) == F.length(c), c).when(has_longer, spelt).otherwise(plain)  # ASCII texts stay as they are
 
 
 def clean_ws(c: Column) -> Column:

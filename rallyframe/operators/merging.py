@@ -207,12 +207,31 @@ def surface_text_lookup(texts: DataFrame, surface_map: DataFrame, longest: bool
             .select("text", F.col("b.map_key").alias("map_key"), F.col("b.map_value").alias("surface")))
 
 
-def trace_ids(sides: DataFrame, queries: DataFrame) -> DataFrame:
-    """Appearances of queried keys or exact names, counted per key and source."""
-    q = queries.select("query", F.explode(F.array(
+def _traced(queries: DataFrame) -> DataFrame:
+    """(query, kind, value) of the keys and exact names that are looked for."""
+    return queries.select("query", F.explode(F.array(
         F.struct(F.lit("key").alias("kind"), F.col("player_key").alias("value")),
         F.struct(F.lit("name").alias("kind"), T.normalize_name(F.col("name")).alias("value")))).alias("q")).select(
         "query", "q.kind", "q.value").where("value <> ''")
+
+
+def trace_rows(sides: DataFrame, queries: DataFrame) -> DataFrame:
+    """Every appearance (all columns of ``sides``) of a queried key or name, once per query.
+
+    A side is matched by its key, else by its name; adaptive execution splits a player with many rows.
+    """
+    q = _traced(queries)
+    by = lambda kind, value: sides.withColumn("value", value).join(
+        q.where(F.col("kind") == kind).select("query", "value").distinct(), "value").drop("value")
+    keyed = by("key", F.col("player_key")).withColumn("matched_by", F.lit("key"))
+    named = by("name", T.normalize_name(F.col("name"))).withColumn("matched_by", F.lit("name"))
+    own_keys = q.where(F.col("kind") == "key").select("query", F.col("value").alias("player_key")).distinct()
+    return keyed.unionByName(named.join(own_keys, ["query", "player_key"], "left_anti"))
+
+
+def trace_ids(sides: DataFrame, queries: DataFrame) -> DataFrame:
+    """Appearances of queried keys or exact names, counted per key and source."""
+    q = _traced(queries)
     wanted = sides.select("source", "player_key", F.explode(F.array(
         F.struct(F.lit("key").alias("kind"), F.col("player_key").alias("value")),
         F.struct(F.lit("name").alias("kind"), T.normalize_name(F.col("name")).alias("value")))).alias("s")).select(

@@ -28,7 +28,7 @@ def c1(spark, sf):
 
 
 def fixtures(spark, sf):
-    cache = views.player_cache(spark, sf).where("NOT no_row")
+    cache = views.player_cache(spark, sf)
     return I.import_fixtures(views.fixtures(spark, sf), views.tournaments(spark, sf), cache)
 
 
@@ -67,7 +67,7 @@ def c5(spark, sf):
 
 @query("c6_name_enrichment", "SELECT seq, first_name, second_name, first_name_source FROM fixture_steps_v")
 def c6(spark, sf):
-    cache = views.player_cache(spark, sf).where("NOT no_row")
+    cache = views.player_cache(spark, sf)
     return I.enrich_names(views.fixtures(spark, sf), cache).select("seq", "first_name", "second_name", "first_name_source")
 
 

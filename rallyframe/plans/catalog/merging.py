@@ -172,6 +172,19 @@ def d12(spark, sf):
     return M.trace_ids(own.unionByName(feed), queries)
 
 
+@query("d12_trace_rows", """
+WITH s AS (SELECT seq, match_date, level, surface, winner_key AS player_key, winner_name AS name, loser_key AS opponent_key, loser_name AS opponent_name, true AS won FROM matches_v
+  UNION ALL SELECT seq, match_date, level, surface, loser_key, loser_name, winner_key, winner_name, false FROM matches_v),
+q AS (SELECT c_custkey AS query, 'men:history:' || c_custkey AS k, 'Player ' || (c_custkey + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END) AS name FROM customer)
+SELECT q.query, s.*, CASE WHEN player_key = k THEN 'key' ELSE 'name' END AS matched_by FROM q JOIN s ON s.player_key = q.k OR s.name = q.name""")
+def d12_rows(spark, sf):
+    sides = explode_sides(views.matches(spark, sf), ["seq", "match_date", "level", "surface"])
+    c = F.col("c_custkey")
+    queries = views.table(spark, sf, "customer").select(
+        c.alias("query"), F.concat(F.lit("men:history:"), c).alias("player_key"), F.concat(F.lit("Player "), c + F.when(c % 2 == 0, 1).otherwise(0)).alias("name"))
+    return M.trace_rows(sides, queries)
+
+
 @query("d13_many_to_one_check", """
 SELECT gender || ':history:' || (user_id // 5) AS target_key, count(DISTINCT api_key) AS feed_keys, min(api_key) AS first_key, max(api_key) AS last_key
 FROM mapping_v WHERE target_key IS NOT NULL GROUP BY 1 HAVING count(DISTINCT api_key) > 3""")

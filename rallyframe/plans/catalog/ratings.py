@@ -21,6 +21,15 @@ def r1(spark, sf):
     return ladders.ladder_ratings(steps(spark, sf)).withColumn("rating", rounded(F.col("rating"), 3))
 
 
+@query("r1_elo_ladders_sliced", """
+SELECT gender, layer, value, player_key, floor(rating * 1000 + 0.5) / 1000 AS rating, n FROM ladder_state_v""")
+def r1_sliced(spark, sf):
+    """The same in time slices, as a large table is folded; about six at any size."""
+    m = views.valid_matches(spark, sf)
+    sliced = ladders.fold_ladders(m, slice_rows=max(1, m.count() // 6))
+    return ladders.ladder_ratings(sliced).withColumn("rating", rounded(F.col("rating"), 3))
+
+
 @query("r2_prematch_state", """
 SELECT gender, layer, value, seq, probe, floor(winner_rating * 1000 + 0.5) / 1000 AS winner_rating,
   floor(loser_rating * 1000 + 0.5) / 1000 AS loser_rating, winner_n, loser_n FROM ladder_steps_v""")

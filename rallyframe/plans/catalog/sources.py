@@ -136,9 +136,9 @@ def a7(spark, sf):
 @query("a8_ids_to_refresh", """
 SELECT DISTINCT player_key FROM (SELECT unnest([first_player_key, second_player_key]) AS player_key FROM fixtures_v
   WHERE lower(event_type_type) NOT LIKE '%double%')
-WHERE player_key NOT IN (SELECT player_key FROM cache_v WHERE player_full_name <> '' AND NOT no_row)""")
+WHERE player_key NOT IN (SELECT player_key FROM cache_v WHERE player_full_name <> '')""")
 def a8(spark, sf):
-    return X.ids_to_refresh(views.fixtures(spark, sf), views.player_cache(spark, sf).where("NOT no_row"))
+    return X.ids_to_refresh(views.fixtures(spark, sf), views.player_cache(spark, sf))
 
 
 @query("a9_landing_coverage", """

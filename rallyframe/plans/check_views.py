@@ -116,8 +116,8 @@ SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'men' ELSE 'women' END AS gender, l
     WHEN 3 THEN substr(given, 1, 1) || '. ' || substr(middle, 1, 1) || '. ' || surname
     ELSE trim(given || ' ' || surname) END AS feed_name,
   1980 + n_chars % 30 AS birth_year, n_chars % 50 AS matches
-FROM (SELECT doc_id, lang, n_chars, r[1].w AS surname, coalesce(r[2].w, '') AS given,
-  coalesce(r[3].w, '') AS middle FROM ranked_words_v) WHERE surname IS NOT NULL""",
+FROM (SELECT doc_id, lang, n_chars, coalesce(r[1].w, '') AS surname, coalesce(r[2].w, '') AS given,
+  coalesce(r[3].w, '') AS middle FROM ranked_words_v)""",
     "ladder_rows_v": """
 SELECT gender || '~' || layer || '~' || value AS ladder, probe, seq, winner_key AS w, loser_key AS l,
   row_number() OVER (PARTITION BY gender, layer, value ORDER BY seq) AS pos
@@ -206,9 +206,9 @@ SELECT CAST(p_partkey AS VARCHAR) AS tournament_key,
   p_type AS event_type_type
 FROM part""",
     "cache_v": """
-SELECT CAST(c_custkey + 100000 AS VARCHAR) AS player_key, 'P. ' || c_custkey AS player_name,
+SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'other-' ELSE '' END || (c_custkey + 100000) AS player_key, 'P. ' || c_custkey AS player_name,
   CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE 'Player ' || c_custkey END AS player_full_name,
-  c_mktsegment = 'HOUSEHOLD' AS no_row, 'NATION_' || c_nationkey AS player_country,
+  'NATION_' || c_nationkey AS player_country,
   lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || '.' || lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0')
     || '.' || (1980 + c_custkey % 25) AS player_bday
 FROM customer""",
@@ -299,8 +299,8 @@ SELECT f.*, CASE WHEN regexp_full_match(raw_date, '\d{4}-\d{2}-\d{2}') THEN raw_
     AS meta_surface, t.tournament_sourface
 FROM (SELECT *, CASE WHEN event_date = '' THEN regexp_extract(source_file, '\d{4}-\d{2}-\d{2}') ELSE event_date END AS raw_date
   FROM fixtures_v) f
-LEFT JOIN (SELECT * FROM cache_v WHERE NOT no_row) c1 ON c1.player_key = f.first_player_key
-LEFT JOIN (SELECT * FROM cache_v WHERE NOT no_row) c2 ON c2.player_key = f.second_player_key
+LEFT JOIN cache_v c1 ON c1.player_key = f.first_player_key
+LEFT JOIN cache_v c2 ON c2.player_key = f.second_player_key
 LEFT JOIN tournaments_v t USING (tournament_key)""",
     "fixture_import_v": r"""
 SELECT *, CASE WHEN date IS NULL THEN 'missing_or_invalid_date' WHEN lower(event_type_type) LIKE '%double%' THEN 'doubles_or_team_match'

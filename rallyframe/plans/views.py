@@ -1,6 +1,7 @@
 """The engine's input shapes, derived from the given tables.
 
-No row of a table is left out: feeds differ by rewriting columns, never by filtering.
+No row of a table is left out: feeds differ by rewriting columns, never by filtering. (An event without
+its partner alone makes no match.)
 """
 
 from __future__ import annotations
@@ -189,7 +190,7 @@ def names(spark: SparkSession, sf: str) -> DataFrame:
     d = (texts(spark, sf)
          .select("doc_id", "lang", "n_chars", ranked.alias("r"))
          .select("doc_id", "lang", "n_chars",
-                 F.try_element_at("r", F.lit(1))["w"].alias("surname"),
+                 F.coalesce(F.try_element_at("r", F.lit(1))["w"], F.lit("")).alias("surname"),
                  F.coalesce(F.try_element_at("r", F.lit(2))["w"], F.lit("")).alias("given"),
                  F.coalesce(F.try_element_at("r", F.lit(3))["w"], F.lit("")).alias("middle")))
     full = F.trim(F.concat_ws(" ", "given", "surname"))
@@ -201,7 +202,7 @@ def names(spark: SparkSession, sf: str) -> DataFrame:
                                            F.substring("middle", 1, 1), F.lit(". "), "surname"))
                  .otherwise(full))
     gender = F.when(F.col("doc_id") % 2 == 0, "men").otherwise("women")
-    return d.where(F.col("surname").isNotNull()).select(
+    return d.select(
         "doc_id", gender.alias("gender"), F.col("lang").alias("country"),
         F.when(form == 3, F.concat_ws(" ", "given", "middle", "surname")).otherwise(full).alias("name"),
         feed_name.alias("feed_name"),
@@ -270,10 +271,10 @@ def player_cache(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("c_custkey")
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
     return table(spark, sf, "customer").select(
-        (c + 100000).cast("string").alias("player_key"), F.concat(F.lit("P. "), c).alias("player_name"),
+        F.concat(F.when(F.col("c_mktsegment") == "HOUSEHOLD", "other-").otherwise(""), c + 100000).alias("player_key"),  # rows of players nobody asks for
+        F.concat(F.lit("P. "), c).alias("player_name"),
         F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.concat(F.lit("Player "), c))
         .alias("player_full_name"),
-        (F.col("c_mktsegment") == "HOUSEHOLD").alias("no_row"),
         F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("player_country"),
         F.concat_ws(".", two(1 + c % 28), two(1 + c % 12), (1980 + c % 25).cast("string")).alias("player_bday"))
 
