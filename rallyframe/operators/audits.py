@@ -34,7 +34,10 @@ def rating_summary(matches: DataFrame) -> DataFrame:
 
 
 def rating_findings(players: DataFrame, low: float = K.RATING_MIN, high: float = K.RATING_MAX) -> DataFrame:
-    """Per player: domain, prefix, name, finite and plausible ratings, keys and sums that must agree."""
+    """Per player: domain, prefix, name, counts, finite and plausible ratings, keys and sums that must agree.
+
+    ``severity`` is a warning where sums of counts differ (matches without a surface do that), else fatal.
+    """
     total = lambda c: F.aggregate(F.map_values(c), F.lit(0).cast("bigint"), lambda a, x: a + x)
     all_values = F.concat(F.array("overall"), *[F.map_values(c) for c in ("level", "surface", "level_surface")])
     key_sets_differ = reduce(lambda a, b: a | b, [
@@ -42,16 +45,24 @@ def rating_findings(players: DataFrame, low: float = K.RATING_MIN, high: float =
         for c in ("level", "surface", "level_surface")])
     bad_key = lambda c, allowed: F.exists(F.map_keys(c), lambda k: ~k.isin(*allowed))
     sums = {c: total(f"{c}_matches") for c in ("level", "surface", "level_surface")}
-    return findings(players, ["player_key"], {
+    pair = lambda i: F.transform(F.filter(F.map_keys("level_surface"), lambda k: k.contains("|")), lambda k: F.split_part(k, F.lit("|"), F.lit(i)))
+    counts = F.concat(F.array("matches"), *[F.map_values(f"{c}_matches") for c in ("level", "surface", "level_surface")])
+    found = findings(players, ["player_key"], {
         "invalid_gender": ~F.col("gender").isin(*K.GENDERS),
         "key_prefix_differs": ~F.col("player_key").startswith(F.concat("gender", F.lit(":"))),
         "missing_name": F.coalesce(F.trim("name"), F.lit("")) == "",
         "rating_not_finite": F.exists(all_values, lambda v: F.isnan(v) | (F.abs(v) == float("inf"))),
         "rating_out_of_range": F.exists(all_values, lambda v: (v < low) | (v > high)),
         "invalid_level": bad_key("level", K.LEVELS), "invalid_surface": bad_key("surface", K.SURFACES),
+        "zero_matches": F.col("matches") == 0, "negative_count": F.exists(counts, lambda n: n < 0),
+        "invalid_level_surface_key": F.exists(F.map_keys("level_surface"), lambda k: ~k.contains("|")),
+        "invalid_level_surface_level": F.exists(pair(1), lambda k: ~k.isin(*K.LEVELS)),
+        "invalid_level_surface_surface": F.exists(pair(2), lambda k: ~k.isin(*K.SURFACES)),
         "count_keys_differ": key_sets_differ,
         "level_sum_differs": sums["level"] != F.col("matches"),
         "surface_sum_above_matches": sums["surface"] > F.col("matches"),
         "surface_sum_below_matches": sums["surface"] < F.col("matches"),
         "level_surface_sum_differs": sums["level_surface"] != sums["surface"],
+        "level_surface_sum_not_matches": sums["level_surface"] != F.col("matches"),
     })
+    return found.withColumn("severity", F.when(F.col("issue").contains("_sum_"), "warning").otherwise("fatal"))

@@ -75,21 +75,28 @@ def r4(spark, sf):
 
 
 @query("r5_rating_audit", """
-SELECT issue, count(*) AS players FROM (
+SELECT issue, CASE WHEN issue LIKE '%\\_sum\\_%' ESCAPE '\\' THEN 'warning' ELSE 'fatal' END AS severity, count(*) AS players FROM (
   SELECT player_key, unnest(list_filter([
-    CASE WHEN lv IS DISTINCT FROM total THEN 'level_sum_differs' END,
-    CASE WHEN coalesce(sf, 0) > total THEN 'surface_sum_above_matches' END,
-    CASE WHEN coalesce(sf, 0) < total THEN 'surface_sum_below_matches' END,
-    CASE WHEN low < 1450 OR high > 1550 THEN 'rating_out_of_range' END,
-    CASE WHEN coalesce(sf, 0) <> coalesce(ls, 0) THEN 'level_surface_sum_differs' END], lambda x: x IS NOT NULL)) AS issue
-  FROM (SELECT player_key, max(n) FILTER (layer = 'overall') AS total, sum(n) FILTER (layer = 'level') AS lv,
-      sum(n) FILTER (layer = 'surface') AS sf, sum(n) FILTER (layer = 'level_surface') AS ls,
-      min(rating) AS low, max(rating) AS high FROM ladder_state_v GROUP BY player_key)) GROUP BY issue""")
+    CASE WHEN lv <> m THEN 'level_sum_differs' END, CASE WHEN sf > m THEN 'surface_sum_above_matches' END,
+    CASE WHEN sf < m THEN 'surface_sum_below_matches' END, CASE WHEN low < 700 OR high > 2800 OR d = 1 THEN 'rating_out_of_range' END,
+    CASE WHEN m = 0 THEN 'zero_matches' END, CASE WHEN m < 0 THEN 'negative_count' END, CASE WHEN d = 4 THEN 'invalid_level_surface_key' END,
+    CASE WHEN d = 5 THEN 'invalid_level_surface_level' END, CASE WHEN d = 6 THEN 'invalid_level_surface_surface' END, CASE WHEN d = 7 THEN 'missing_name' END,
+    CASE WHEN sf <> ls THEN 'level_surface_sum_differs' END, CASE WHEN ls <> m THEN 'level_surface_sum_not_matches' END], lambda x: x IS NOT NULL)) AS issue
+  FROM (SELECT *, CASE d WHEN 2 THEN 0 WHEN 3 THEN -1 ELSE total END AS m FROM (
+    SELECT player_key, CAST(split_part(player_key, ':', 3) AS BIGINT) % 31 AS d, max(n) FILTER (layer = 'overall') AS total, sum(n) FILTER (layer = 'level') AS lv,
+      coalesce(sum(n) FILTER (layer = 'surface'), 0) AS sf, coalesce(sum(n) FILTER (layer = 'level_surface'), 0) AS ls,
+      min(rating) AS low, max(rating) AS high FROM ladder_state_v GROUP BY player_key))) GROUP BY 1, 2""")
 def r5(spark, sf):
     m = views.valid_matches(spark, sf)
     players = ladders.player_ratings(ladders.ladder_ratings(ladders.fold_ladders(m)), ladders.first_names(m))
-    findings = audits.rating_findings(players, low=1450.0, high=1550.0)
-    return findings.groupBy("issue").agg(F.countDistinct("player_key").alias("players"))
+    damage = F.split_part("player_key", F.lit(":"), F.lit(3)).cast("bigint") % 31   # a few players with each kind of damage
+    odd = F.when(damage == 4, "odd").when(damage == 5, "junior|hard").when(damage == 6, "itf|mud")
+    more = lambda c, v: F.when(odd.isNotNull(), F.map_concat(c, F.map_from_arrays(F.array(F.coalesce(odd, F.lit(""))), F.array(v)))).otherwise(F.col(c))
+    damaged = players.withColumns({
+        "overall": F.when(damage == 1, 3000.0).otherwise(F.col("overall")), "name": F.when(damage == 7, " ").otherwise(F.col("name")),
+        "matches": F.when(damage == 2, 0).when(damage == 3, -1).otherwise(F.col("matches")),
+        "level_surface": more("level_surface", F.lit(1500.0)), "level_surface_matches": more("level_surface_matches", F.lit(0).cast("bigint"))})
+    return audits.rating_findings(damaged).groupBy("issue", "severity").agg(F.countDistinct("player_key").alias("players"))
 
 
 @query("r8_overall_support_component", """
