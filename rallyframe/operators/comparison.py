@@ -21,7 +21,7 @@ def mapping_status() -> Column:
 
 def enrich_picks(picks: DataFrame, predictions: DataFrame, min_level: int = K.MIN_LEVEL_MATCHES,
                  min_surface: int = K.MIN_SURFACE_MATCHES, probability: str = "prob_blend_80_20") -> DataFrame:
-    """Pick side, our probability and edge, agreement, and why we would not bet."""
+    """Pick side, our probability and edge, agreement, and why we would not bet. The pick's own profit and edge come first."""
     pred = predictions.select(
         F.col("seq").alias("prediction_seq"), F.col("winner_key").alias("w_key"), F.col("loser_key").alias("l_key"),
         "level", "surface", F.col(probability).alias("p"),
@@ -38,21 +38,21 @@ def enrich_picks(picks: DataFrame, predictions: DataFrame, min_level: int = K.MI
     h2h = (number("h2h", "$.first_wins").cast("bigint"), number("h2h", "$.second_wins").cast("bigint"))
     j = j.withColumns({"picked_side": side, "elo_prob_pick": rounded(own_p, 8), "implied": implied})
     reason = (
-        F.when(~found, "no_prediction_match").when(F.col("mapping_status") != "mapped", "unmapped_player")
+        F.when(F.coalesce("date", F.lit("")) == "", "missing_date").when(~found, "no_prediction_match").when(F.col("mapping_status") != "mapped", "unmapped_player")
         .when(F.col("picked_side").isNull(), "picked_player_not_in_prediction")
         .when(F.col("p").isNull(), "missing_elo_probability")
         .when(F.col("surface") == "unknown", "unknown_surface")
         .when(F.col("min_level_n") < min_level, "min_level_not_met")
         .when(F.col("min_surface_n") < min_surface, "min_surface_not_met").otherwise(""))
     return j.select(
-        "pick_id", "date", "gender", C.level_from_pick(F.col("tour_level"), F.lit(""), F.lit("")).alias("tour_level"),
+        "pick_id", "date", "gender", C.level_from_pick(F.col("tour_level"), F.col("event_type"), F.col("qualification")).alias("tour_level"),
         "level", "surface", "tournament", "match_name", "player_api_key", "opponent_api_key", "player_name", "opponent_name",
         "mapping_status", "match_status", "result", "stake", "odds", "picked_side", "elo_prob_pick",
-        F.col("model_prob").alias("old_model_prob"), rounded(F.col("model_prob") - F.col("implied"), 8).alias("old_edge"),
+        F.col("model_prob").alias("old_model_prob"), F.coalesce("edge", rounded(F.col("model_prob") - F.col("implied"), 8)).alias("old_edge"),
         rounded(F.col("elo_prob_pick") - F.col("implied"), 8).alias("elo_edge"),
         (F.col("elo_prob_pick") >= 0.5).alias("agrees"), (reason == "").alias("eligible"), reason.alias("no_bet_reason"),
         rounded(rates[0] - rates[1], 6).alias("last10_win_rate_diff"), (h2h[0] - h2h[1]).alias("h2h_diff"),
-        profit(F.col("result"), F.col("stake"), F.col("odds")).alias("profit"))
+        F.coalesce(F.col("profit").cast(MONEY), profit(F.col("result"), F.col("stake"), F.col("odds"))).alias("profit"))
 
 
 def scenarios() -> list[tuple[str, Column]]:

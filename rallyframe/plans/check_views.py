@@ -387,7 +387,9 @@ SELECT 'x' || f.seq AS pick_id, f.seq, CAST(f.match_date AS VARCHAR) AS date, f.
   CASE WHEN m.k % 5 = 0 THEN 1.25 ELSE 1.0 END::DOUBLE AS stake, (130 + m.k * 7 % 320)::DOUBLE / 100 AS odds,
   (300 + f.seq * 37 % 500)::DOUBLE / 1000 AS model_prob, CASE WHEN f.seq % 2 = 0 THEN (200 + f.seq * 13 % 600)::DOUBLE / 1000 END AS implied_prob,
   (m.k % 11)::DOUBLE / 10 AS player_win_rate, CASE WHEN m.loser_k % 7 = 0 THEN NULL ELSE (m.loser_k % 11)::DOUBLE / 10 END AS opponent_win_rate,
-  m.k % 4 AS h2h_player, m.loser_k % 4 AS h2h_opponent
+  m.k % 4 AS h2h_player, m.loser_k % 4 AS h2h_opponent,
+  CASE WHEN f.seq % 12 = 1 THEN (f.seq % 7)::DOUBLE / 4 END AS own_profit, CASE WHEN f.seq % 9 = 2 THEN (f.seq % 11)::DOUBLE / 100 END AS own_edge,
+  f.seq % 14 = 3 OR f.seq % 28 = 4 AS qualifies
 FROM feed_v f JOIN matches_v m USING (seq)""",
     "pred_keys_v": """
 SELECT seq, CAST(match_date AS VARCHAR) AS date, gender, CAST(CASE WHEN seq % 10 < 5 THEN seq ELSE 1000000 + seq // 4 END AS VARCHAR) AS digits,
@@ -430,9 +432,9 @@ SELECT *, CASE WHEN w_key IS NULL THEN 'no_prediction_match' WHEN mapping_status
   no_bet_reason = '' AS eligible, elo_prob_full >= 0.5 AS agrees, floor(elo_prob_full * 1e6 + 0.5) / 1e6 AS elo_prob_pick,
   floor(old_edge_full * 1e6 + 0.5) / 1e6 AS old_edge, floor(elo_edge_full * 1e6 + 0.5) / 1e6 AS elo_edge
 FROM (
-  SELECT *, floor((model_prob - implied) * 1e8 + 0.5) / 1e8 AS old_edge_full, floor((elo_prob_full - implied) * 1e8 + 0.5) / 1e8 AS elo_edge_full
+  SELECT *, coalesce(own_edge, floor((model_prob - implied) * 1e8 + 0.5) / 1e8) AS old_edge_full, floor((elo_prob_full - implied) * 1e8 + 0.5) / 1e8 AS elo_edge_full
   FROM (
-    SELECT p.* EXCLUDE (tour_level), CASE p.tour_level WHEN 'main-tour' THEN 'atp_wta' WHEN 'Slam' THEN 'grand_slam' ELSE lower(p.tour_level) END AS tour_level,
+    SELECT p.* EXCLUDE (tour_level), CASE WHEN p.qualifies THEN 'qualifying' ELSE CASE p.tour_level WHEN 'main-tour' THEN 'atp_wta' WHEN 'Slam' THEN 'grand_slam' ELSE lower(p.tour_level) END END AS tour_level,
       r.winner_key AS w_key, r.level, r.surface, least(r.w_comp_n, r.l_comp_n) AS min_level_n, least(r.w_surf_n, r.l_surf_n) AS min_surface_n,
       CASE WHEN p_key IS NULL AND o_key IS NULL THEN 'both_unmapped:' || p_status || '|' || o_status WHEN p_key IS NULL THEN 'player_unmapped:' || p_status
         WHEN o_key IS NULL THEN 'opponent_unmapped:' || o_status ELSE 'mapped' END AS mapping_status,
@@ -442,8 +444,8 @@ FROM (
       coalesce(p.implied_prob, 1.0 / p.odds) AS implied,
       floor((player_win_rate - opponent_win_rate) * 1e6 + 0.5) / 1e6 AS last10_win_rate_diff, h2h_player - h2h_opponent AS h2h_diff,
       h2h_player + h2h_opponent AS h2h_sum,
-      CAST(CASE result WHEN 'win' THEN CAST(p.stake AS DECIMAL(18,6)) * (CAST(p.odds AS DECIMAL(18,6)) - 1)
-        WHEN 'loss' THEN -CAST(p.stake AS DECIMAL(18,6)) ELSE 0 END AS DECIMAL(18,6)) AS profit
+      CAST(CASE WHEN own_profit IS NOT NULL THEN own_profit WHEN result = 'win' THEN CAST(p.stake AS DECIMAL(18,6)) * (CAST(p.odds AS DECIMAL(18,6)) - 1)
+        WHEN result = 'loss' THEN -CAST(p.stake AS DECIMAL(18,6)) ELSE 0 END AS DECIMAL(18,6)) AS profit
     FROM pick_match_v p LEFT JOIN predictions_v r ON r.seq = p.prediction_seq))""",
     "played_v": """
 SELECT seq, match_date, winner_key AS player_key, 1 AS won, sign(w1 - l1) + sign(w2 - l2) AS set_diff, w1 + w2 - l1 - l2 AS game_diff

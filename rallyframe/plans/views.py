@@ -331,6 +331,8 @@ def external_picks(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 5 == 0, 1.25).otherwise(1.0).alias("stake"), ((130 + k * 7 % 320).cast("double") / 100).alias("odds"),
         ((300 + seq * 37 % 500).cast("double") / 1000).alias("model_prob"),
         F.when(seq % 2 == 0, (200 + seq * 13 % 600).cast("double") / 1000).alias("implied_prob"),
+        F.when(seq % 12 == 1, (seq % 7).cast("double") / 4).alias("profit"), F.when(seq % 9 == 2, (seq % 11).cast("double") / 100).alias("edge"),
+        F.when(seq % 14 == 3, "Wta Qualification").otherwise("Singles").alias("event_type"), F.when(seq % 28 == 4, "True").alias("qualification"),
         F.to_json(F.struct(F.struct(((k % 11).cast("double") / 10).alias("win_rate")).alias("last_10"))).alias("player_form"),
         F.to_json(F.struct(F.struct(F.when(lk % 7 != 0, (lk % 11).cast("double") / 10).alias("win_rate")).alias("last_10")))
         .alias("opponent_form"),
