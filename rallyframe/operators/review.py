@@ -65,10 +65,11 @@ def player_metadata(history: DataFrame, master: DataFrame) -> DataFrame:
         out = out.join(most_common(known, ["player_key"], value), "player_key", "left").join(
             top_values(known, "player_key", value, 5), "player_key", "left")
     m = master.select("player_key", F.col("name").alias("m_name"), F.col("country").alias("m_country"), F.col("hand").alias("m_hand"),
-                      F.col("birth_date").alias("birth_date"))
+                      F.col("height").alias("m_height"), "first_name", "last_name", "birth_date")
     return out.join(m, "player_key", "full_outer").select(
         "player_key", F.coalesce("m_name", "name").alias("name"), F.coalesce("m_country", "country").alias("country"),
-        F.coalesce("m_hand", "hand").alias("hand"), "height", "approx_birth_year", "birth_date", "top_country", "top_hand",
+        F.coalesce("m_hand", "hand").alias("hand"), F.coalesce("m_height", "height").alias("height"), "approx_birth_year", "birth_date",
+        "first_name", "last_name", "top_country", "top_hand", "top_height", "top_approx_birth_year",
         F.coalesce("sides", F.lit(0)).alias("sides"))
 
 

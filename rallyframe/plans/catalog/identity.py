@@ -40,13 +40,18 @@ def b16(spark, sf):
 
 
 @query("e1_canonical_player_profiles", """
+WITH r AS (SELECT s.*, coalesce(a.canonical_key, player_key) AS key FROM ladder_state_v s LEFT JOIN alias_closure_v a ON a.alias_key = player_key),
+c AS (SELECT key, string_agg(value || '=' || n, ',' ORDER BY value) FILTER (layer = 'level') AS levels, string_agg(value || '=' || n, ',' ORDER BY value) FILTER (layer = 'surface') AS surfaces
+  FROM (SELECT key, layer, value, sum(n)::BIGINT AS n FROM r WHERE layer IN ('level', 'surface') GROUP BY 1, 2, 3) GROUP BY 1)
 SELECT key, split_part(key, ':', 1) AS gender, arg_min(f.name, player_key) AS name, sum(total)::BIGINT AS matches, sum(sf)::BIGINT AS surface_matches,
-  count(*) AS merged_keys
-FROM (SELECT player_key, coalesce(a.canonical_key, player_key) AS key, sum(n) FILTER (layer = 'overall') AS total, coalesce(sum(n) FILTER (layer = 'surface'), 0) AS sf
-  FROM ladder_state_v LEFT JOIN alias_closure_v a ON a.alias_key = player_key GROUP BY 1, 2) JOIN first_names_v f USING (player_key) GROUP BY key""")
+  count(*) AS merged_keys, any_value(levels) AS levels, coalesce(any_value(surfaces), '') AS surfaces
+FROM (SELECT player_key, key, sum(n) FILTER (layer = 'overall') AS total, coalesce(sum(n) FILTER (layer = 'surface'), 0) AS sf FROM r GROUP BY 1, 2)
+JOIN first_names_v f USING (player_key) JOIN c USING (key) GROUP BY key""")
 def e1(spark, sf):
     m = views.valid_matches(spark, sf)
-    return E.canonical_profiles(ladders.ladder_ratings(ladders.fold_ladders(m)), ladders.first_names(m), closure(spark, sf))
+    profiles = E.canonical_profiles(ladders.ladder_ratings(ladders.fold_ladders(m)), ladders.first_names(m), closure(spark, sf))
+    shown = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias(c)
+    return profiles.select(*[c for c in profiles.columns if c not in ("levels", "surfaces")], shown("levels"), shown("surfaces"))
 
 
 def flat_feed(spark, sf):
@@ -58,14 +63,16 @@ TOP = """SELECT player_key, string_agg({0} || '=' || n, ',' ORDER BY n DESC, {0}
 
 
 @query("e2_source_player_profiles", f"""
-WITH s AS (SELECT winner_api_key AS player_key, winner_name AS name, loser_api_key AS opponent_key, loser_name AS opponent_name, gender, level, surface, tourney_name FROM feed_v
-  UNION ALL SELECT loser_api_key, loser_name, winner_api_key, winner_name, gender, level, surface, tourney_name FROM feed_v)
-SELECT b.*, n.name, l.top_level, f.top_surface, o.top_opponent_name FROM (SELECT player_key, min(gender) AS gender, count(*) AS matches, count(DISTINCT opponent_key) AS opponents,
-  count(DISTINCT tourney_name) AS tournaments FROM s GROUP BY 1) b
+WITH raw AS (SELECT winner_api_key AS player_key, winner_name AS name, loser_api_key AS opponent_key, loser_name AS opponent_name, gender, level, surface, tourney_name FROM feed_v
+  UNION ALL SELECT loser_api_key, loser_name, winner_api_key, winner_name, gender, level, surface, tourney_name FROM feed_v),
+s AS (SELECT raw.* REPLACE (coalesce(nullif(a.player_full_name, ''), a.player_name, raw.name) AS name, coalesce(nullif(b.player_full_name, ''), b.player_name, raw.opponent_name) AS opponent_name)
+  FROM raw LEFT JOIN cache_v a ON a.player_key = split_part(raw.player_key, ':', 3) LEFT JOIN cache_v b ON b.player_key = split_part(raw.opponent_key, ':', 3))
+SELECT b.*, n.name, l.top_level, f.top_surface, o.top_opponent_name, t.top_tourney_name FROM (SELECT player_key, min(gender) AS gender, count(*) AS matches,
+  count(DISTINCT opponent_key) AS opponents, count(DISTINCT tourney_name) AS tournaments FROM s GROUP BY 1) b
 JOIN (SELECT player_key, min(name) AS name FROM s GROUP BY 1) n USING (player_key) JOIN ({TOP.format('level', 5)}) l USING (player_key)
-JOIN ({TOP.format('surface', 5)}) f USING (player_key) JOIN ({TOP.format('opponent_name', 3)}) o USING (player_key)""")
+JOIN ({TOP.format('surface', 5)}) f USING (player_key) JOIN ({TOP.format('opponent_name', 3)}) o USING (player_key) JOIN ({TOP.format('tourney_name', 5)}) t USING (player_key)""")
 def e2(spark, sf):
-    return E.source_profiles(flat_feed(spark, sf))
+    return E.source_profiles(flat_feed(spark, sf), views.player_cache(spark, sf))
 
 
 @query("e3_blocking", """
@@ -205,6 +212,7 @@ def master(spark, sf):
     return (views.table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.explode(F.array(F.lit("men"), F.lit("women"))).alias("gender"))
             .select(F.concat_ws(":", "gender", F.lit("history"), c).alias("player_key"), F.concat(F.lit("Player "), c).alias("name"),
                     F.when(F.col("c_nationkey") < 12, F.concat(F.lit("N"), "c_nationkey")).alias("country"),
+                    F.lit("Player").alias("first_name"), c.cast("string").alias("last_name"), F.when(c % 4 == 0, (c % 40 + 160).cast("string")).alias("height"),
                     F.when(F.col("c_mktsegment") == "BUILDING", "A").alias("hand"), F.concat(F.lit("19"), F.lpad((c % 90 + 10).cast("string"), 2, "0"), F.lit("-01-01")).alias("birth_date")))
 
 
@@ -218,11 +226,12 @@ WITH s AS (SELECT gender || ':history:' || x.player_id AS player_key, x.name, nu
   FROM (SELECT *, CASE WHEN source_file LIKE 'atp%' THEN 'men' ELSE 'women' END AS gender FROM history_v), LATERAL (VALUES (winner_id, winner_name, winner_ioc, winner_hand, winner_ht, winner_age),
     (loser_id, loser_name, loser_ioc, loser_hand, loser_ht, loser_age)) x(player_id, name, ioc, hand, ht, age) WHERE x.player_id <> '' AND x.name <> ''),
 m AS (SELECT g.gender || ':history:' || c_custkey AS player_key, 'Player ' || c_custkey AS name, CASE WHEN c_nationkey < 12 THEN 'N' || c_nationkey END AS country,
+  'Player' AS first_name, CAST(c_custkey AS VARCHAR) AS last_name, CASE WHEN c_custkey % 4 = 0 THEN CAST(c_custkey % 40 + 160 AS VARCHAR) END AS height,
   CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' END AS hand, '19' || lpad(CAST(c_custkey % 90 + 10 AS VARCHAR), 2, '0') || '-01-01' AS birth_date
   FROM customer, (VALUES ('men'), ('women')) g(gender)),
 b AS (SELECT player_key, min(name) AS name, count(*) AS sides FROM s GROUP BY 1)
-SELECT player_key, coalesce(m.name, b.name) AS name, coalesce(m.country, c.country) AS country, coalesce(m.hand, h.hand) AS hand, t.height, y.approx_birth_year, m.birth_date,
-  c.top_country, h.top_hand, coalesce(b.sides, 0) AS sides
+SELECT player_key, coalesce(m.name, b.name) AS name, coalesce(m.country, c.country) AS country, coalesce(m.hand, h.hand) AS hand, coalesce(m.height, t.height) AS height, y.approx_birth_year, m.birth_date,
+  m.first_name, m.last_name, c.top_country, h.top_hand, t.top_height, y.top_approx_birth_year, coalesce(b.sides, 0) AS sides
 FROM b FULL JOIN m USING (player_key) LEFT JOIN ({META_TOP.format('country')}) c USING (player_key) LEFT JOIN ({META_TOP.format('hand')}) h USING (player_key)
 LEFT JOIN ({META_TOP.format('height')}) t USING (player_key) LEFT JOIN ({META_TOP.format('approx_birth_year')}) y USING (player_key)""")
 def e11(spark, sf):
