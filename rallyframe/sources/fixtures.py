@@ -13,8 +13,8 @@ FIXTURE_FIELDS = (
     "event_qualification", "event_winner", "event_final_result", "event_first_player", "event_second_player",
     "first_player_key", "second_player_key", "tournament_key", "tournament_name", "tournament_round",
     "event_surface")
-FIXTURE_SCHEMA = ", ".join(f"{f} string" for f in FIXTURE_FIELDS) + (
-    ", scores array<struct<score_set: string, score_first: string, score_second: string>>")
+FIXTURE_TYPE = "struct<" + ", ".join(f"{f}: string" for f in FIXTURE_FIELDS) + (
+    ", scores: array<struct<score_set: string, score_first: string, score_second: string>>>")
 # fixed values: keys a list of fixtures may stand under, and status words
 LIST_KEYS = ("result", "fixtures", "events", "data", "matches")
 FINAL_WORDS = ("finished", "finish", "ended", "complete", "completed", "closed", "cancelled", "canceled",
@@ -23,36 +23,46 @@ NOT_FINAL_WORDS = ("not started", "scheduled", "pending", "postponed", "suspende
                    "in progress", "set", "rain", "delayed", "unknown")
 
 
-def _is_list(c: Column) -> Column:
-    return F.substring(F.trim(c), 1, 1) == "["
-
-
 def _is_object(c: Column) -> Column:
     return F.substring(F.trim(c), 1, 1) == "{"
 
 
-def payload_items(payload: Column) -> Column:
-    """Array of JSON objects of a document of unknown shape.
+def _as(kind: str, v: Column, path: str = "$") -> Column:
+    """Part of a variant, NULL where it is missing, JSON null or of another kind."""
+    part = F.try_variant_get(v, path, kind)
+    return F.when(~F.is_variant_null(part), part) if kind == "variant" else part
+
+
+def _listed(v: Column) -> Column:
+    return _as("array<variant>", v)
+
+
+def _keyed(v: Column) -> Column:
+    return _as("map<string,variant>", v)
+
+
+def payload_items(payloads: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """(*keep, items): the objects of a document of unknown shape, as variants.
 
     A document is a list, an object of rows, an object of lists, or any of them below
-    ``response`` or one of the list keys.
+    ``response`` or one of the list keys. It is parsed once; every later step walks the result.
     """
-    inner = F.get_json_object(payload, "$.response")
-    body = F.when(_is_object(payload) & _is_object(inner), inner).otherwise(payload)
-    below = F.coalesce(*[F.get_json_object(body, f"$.{k}") for k in LIST_KEYS])
-    deeper = F.coalesce(*[F.get_json_object(below, f"$.{k}") for k in LIST_KEYS])
-    rows = F.when(_is_list(body), body).otherwise(F.coalesce(deeper, below))
-    values = F.map_values(F.from_json(rows, "map<string,string>"))
-    spread = F.flatten(F.transform(values, lambda v: F.when(
-        _is_list(v), F.from_json(v, "array<string>")).otherwise(F.array(v))))
-    items = F.when(_is_list(rows), F.from_json(rows, "array<string>")).otherwise(spread)
-    return F.filter(items, lambda x: _is_object(x))
+    below = lambda c: F.coalesce(*[_as("variant", F.col(c), f"$.{k}") for k in LIST_KEYS])
+    inner = _as("variant", F.col("doc"), "$.response")
+    steps = payloads.select(*keep, F.try_parse_json("payload").alias("doc"))
+    steps = steps.select(*keep, F.when(_keyed(inner).isNotNull(), inner).otherwise(F.col("doc")).alias("body"))
+    steps = steps.select(*keep, "body", _listed(F.col("body")).alias("top"), below("body").alias("below"))
+    steps = steps.select(*keep, "top", F.when(F.col("top").isNull(), F.coalesce(below("below"), "below", "body")).alias("rows"))
+    listed, values = _listed(F.col("rows")), F.map_values(_keyed(F.col("rows")))
+    spread = F.flatten(F.transform(values, lambda v: F.coalesce(_listed(v), F.array(v))))
+    return steps.select(*keep, F.coalesce("top", listed, spread).alias("items"))
 
 
 def explode_fixtures(payloads: DataFrame, keep: tuple[str, ...] = ("source_file",)) -> DataFrame:
     """One row per fixture of each document."""
-    return (payloads.select(*keep, F.posexplode(payload_items(F.col("payload"))).alias("raw_index", "item"))
-            .select(*keep, "raw_index", F.from_json("item", FIXTURE_SCHEMA).alias("f"))
+    objects = F.filter("items", lambda x: _keyed(x).isNotNull())
+    return (payload_items(payloads, keep).select(*keep, F.posexplode(objects).alias("raw_index", "item"))
+            .select(*keep, "raw_index", F.try_variant_get("item", "$", FIXTURE_TYPE).alias("f"))
             .select(*keep, "raw_index", "f.*"))
 
 
