@@ -69,10 +69,13 @@ CHECKS["op3_secret_scans"] = r"""
     FROM documents LEFT JOIN said USING (doc_id)"""
 
 
-def vocabulary() -> bpe.Vocabulary:
-    import public_tokenizers
+def vocabulary(path: str | None = None) -> bpe.Vocabulary:
+    """The vocabulary file that the contract names, or another one."""
+    if path is None:
+        import public_tokenizers
 
-    return bpe.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.Vocabulary.read(path)
 
 
 @query

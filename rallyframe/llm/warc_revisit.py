@@ -55,7 +55,7 @@ def write_archive(records: DataFrame, path: str, record_id: str, uri: str, paylo
         F.lit(opening(archive)),
         _header("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         _header("WARC-Record-ID", F.concat(F.lit(f"<{_URN}"), F.col("id").cast("string"), F.lit(">"))),
-        _header("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _header("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         _header("WARC-Target-URI", F.regexp_replace("uri", r"[\r\n]", "")),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         F.when(revisit, F.concat(_header("WARC-Refers-To", F.concat(F.lit(f"<{_URN}"), F.col("original").cast("string"), F.lit(">"))),
