@@ -22,8 +22,8 @@ def d1(spark, sf):
     return closure(spark, sf)
 
 
-def aliased(spark, sf):
-    return A.apply_aliases(views.matches(spark, sf), closure(spark, sf))
+def aliased(spark, sf, ends=None):
+    return A.apply_aliases(views.matches(spark, sf), ends or closure(spark, sf))
 
 
 @query("d2_apply_aliases", """
@@ -41,8 +41,8 @@ def d3(spark, sf):
     return M.canonical_dedupe(m.select("seq", *M.DEDUPE_KEY)).select("seq", "match_date", "winner_key", "loser_key", "round")
 
 
-def mapped(spark, sf):
-    return M.map_sides(views.fixture_matches(spark, sf), views.mapping(spark, sf), closure(spark, sf))
+def mapped(spark, sf, ends=None):
+    return M.map_sides(views.fixture_matches(spark, sf), views.mapping(spark, sf), ends or closure(spark, sf))
 
 
 @query("d4_map_sides", """
@@ -53,8 +53,9 @@ def d4(spark, sf):
 
 
 def decisions(spark, sf):
-    primary = aliased(spark, sf).where("winner_key <> loser_key")
-    return primary, M.cross_source_merge(primary, mapped(spark, sf))
+    ends = closure(spark, sf)   # once for both feeds
+    primary = aliased(spark, sf, ends).where("winner_key <> loser_key")
+    return primary, M.cross_source_merge(primary, mapped(spark, sf, ends))
 
 
 @query("d5_cross_source_merge", """
