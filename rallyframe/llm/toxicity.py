@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,12 +84,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     place[chosen] = np.arange(len(chosen), dtype=np.int32)
     machine = Machine(place, w0, np.zeros(len(chosen), np.float32),
                       np.random.default_rng(7).normal(0, START, (len(chosen), FACTORS)).astype(np.float32))
-    rows = sample.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+    rows = materialise(_placed(sample, place), "places")
     for turn in range(ROUNDS):
         machine = _average(rows, machine, turn)
     return machine
 
 
+def _placed(sample: DataFrame, place: np.ndarray) -> DataFrame:
+    """(part, doc_id, label, places): the chosen terms of each document; of little size, so the rounds move little."""
+    shared = sample.sparkSession.sparkContext.broadcast(place)
+
+    def run(batches):
+        for batch in batches:
+            terms = batch.column("terms")
+            at = shared.value[terms.flatten().to_numpy(zero_copy_only=False)]
+            row = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))[at >= 0]
+            ends = np.searchsorted(row, np.arange(len(terms) + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(ends), pa.array(at[at >= 0].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), places], names=["doc_id", "label", "places"])
+
+    kept = sample.select("doc_id", "label", "terms").mapInArrow(run, T.StructType([
+        sample.schema["doc_id"], sample.schema["label"], T.StructField("places", T.ArrayType(T.IntegerType()))]))
+    return kept.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+
+
 def _average(rows: DataFrame, machine: Machine, turn: int) -> Machine:
     """Each part goes on learning from the same machine; the results are averaged by their rows."""
     shared = rows.sparkSession.sparkContext.broadcast(machine)
@@ -96,9 +115,7 @@ def _average(rows: DataFrame, machine: Machine, turn: int) -> Machine:
     def learn(part: pa.Table) -> pa.Table:
         now = shared.value
         order = np.argsort(part.column("doc_id").to_numpy(), kind="stable")
-        terms = part.column("terms").to_pylist()
-        places = [now.place[np.array(t, np.int64)] for t in terms]
-        places = [p[p >= 0] for p in places]
+        places = [np.array(p, np.int64) for p in part.column("places").to_pylist()]
         w0, w, v = _descend(places, part.column("label").to_numpy(), order, now, turn)
         flat = np.concatenate([[w0], w, v.ravel()]).astype(np.float32)
         return pa.table({"rows": pa.array([len(places)], pa.int64()), "flat": pa.array([flat.tobytes()], pa.binary())})
