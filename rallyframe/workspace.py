@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -13,17 +16,18 @@ _LOCAL_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a session of one local process without that setting gets a folder of its own, which goes when the process ends.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # local-cluster has several processes
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="rallyframe-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
     return _LOCAL_DIRS[app]
 
 
