@@ -10,6 +10,7 @@ from rallyframe.functions import classify as C
 from rallyframe.functions import text as T
 from rallyframe.functions import values as V
 from rallyframe.operators.cuts import grouped_cuts
+from rallyframe.sources.fixtures import OTHER_SURFACE_FIELDS
 
 
 def _no_surface() -> Column:
@@ -45,19 +46,20 @@ def import_history(raw: DataFrame) -> DataFrame:
 
 # --- fixtures --------------------------------------------------------------
 def resolve_surface(fixtures: DataFrame, tournaments: DataFrame) -> DataFrame:
-    """Own field, tournament metadata, then a guess from the names; with its provenance."""
+    """Own fields in order, tournament metadata, then a guess from the names; with its provenance."""
+    raw = F.coalesce(T.first_nonempty(*[F.col(c) for c in ("event_surface", *OTHER_SURFACE_FIELDS) if c in fixtures.columns]), F.lit(""))
     meta = tournaments.select(
         "tournament_key", F.col("tournament_sourface").alias("meta_raw"),
         F.nullif(C.surface_substring(F.col("tournament_sourface")), F.lit("unknown")).alias("meta_surface"))
-    own = F.nullif(C.surface_substring(F.col("event_surface")), F.lit("unknown"))
+    own = F.nullif(C.surface_substring(raw), F.lit("unknown"))
     names = C.piped_text(F.col("tournament_name"))
     guess = F.nullif(C.surface_substring(names), F.lit("unknown"))
     return fixtures.join(meta, "tournament_key", "left").select(
         *fixtures.columns, F.coalesce(own, "meta_surface", guess, F.lit("unknown")).alias("surface"),
-        F.when(own.isNotNull(), F.col("event_surface"))
+        F.when(own.isNotNull(), raw)
         .when(F.col("meta_surface").isNotNull(), F.concat(F.lit("tournament_metadata:"), "meta_raw"))
         .when(guess.isNotNull(), F.concat(F.lit("name_guess:"), names))
-        .otherwise(F.col("event_surface")).alias("surface_source"))
+        .otherwise(raw).alias("surface_source"))
 
 
 def enrich_names(fixtures: DataFrame, cache: DataFrame) -> DataFrame:

@@ -196,6 +196,7 @@ SELECT seq, k, level AS true_level, surface AS true_surface, match_date,
   CAST(CASE WHEN k % 2 = 0 THEN loser_id ELSE winner_id END + 100000 AS VARCHAR) AS second_player_key,
   CASE WHEN k % 3 = 0 THEN '' ELSE CASE surface WHEN 'hard' THEN 'Hard (Indoor)' WHEN 'unknown' THEN ''
     ELSE upper(surface[1]) || surface[2:] END END AS event_surface,
+  CASE WHEN (k % 3 = 0 OR surface = 'unknown') AND seq % 7 = 5 THEN 'Clay Court' ELSE '' END AS court_type,
   'day_' || tourney_id || '.json' AS source_file, w1, l1, w2, l2, gender AS true_gender
 FROM matches_v""",
     "tournaments_v": """
@@ -297,7 +298,8 @@ SELECT f.*, CASE WHEN regexp_full_match(raw_date, '\d{4}-\d{2}-\d{2}') THEN raw_
   CASE WHEN lower(tournament_sourface) LIKE '%hard%' THEN 'hard' WHEN lower(tournament_sourface) LIKE '%clay%' THEN 'clay'
     WHEN lower(tournament_sourface) LIKE '%grass%' THEN 'grass' WHEN lower(tournament_sourface) LIKE '%carpet%' THEN 'carpet' END
     AS meta_surface, t.tournament_sourface
-FROM (SELECT *, CASE WHEN event_date = '' THEN regexp_extract(source_file, '\d{4}-\d{2}-\d{2}') ELSE event_date END AS raw_date
+FROM (SELECT * REPLACE (CASE WHEN event_surface <> '' THEN event_surface ELSE court_type END AS event_surface),
+    CASE WHEN event_date = '' THEN regexp_extract(source_file, '\d{4}-\d{2}-\d{2}') ELSE event_date END AS raw_date
   FROM fixtures_v) f
 LEFT JOIN cache_v c1 ON c1.player_key = f.first_player_key
 LEFT JOIN cache_v c2 ON c2.player_key = f.second_player_key

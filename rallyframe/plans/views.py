@@ -240,6 +240,7 @@ def fixtures(spark: SparkSession, sf: str) -> DataFrame:
         (second_id + 100000).cast("string").alias("second_player_key"),
         F.when((k % 3 == 0) | (F.col("surface") == "unknown"), "")
         .when(F.col("surface") == "hard", "Hard (Indoor)").otherwise(F.initcap("surface")).alias("event_surface"),
+        F.when(((k % 3 == 0) | (F.col("surface") == "unknown")) & (seq % 7 == 5), "Clay Court").otherwise("").alias("court_type"),
         F.concat(F.lit("day_"), "tourney_id", F.lit(".json")).alias("source_file"),
         "w1", "l1", "w2", "l2", F.col("gender").alias("true_gender"),
     )

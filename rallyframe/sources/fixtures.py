@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from rallyframe.functions.classify import has_any, is_doubles, is_qualification, piped_text, surface_words
 from rallyframe.functions.text import blank_to_null, clean_ws, first_nonempty
 
+# fixed values: fields that hold a surface where event_surface is blank, in their order
+OTHER_SURFACE_FIELDS = ("surface", "tournament_surface", "tournament_sourface", "league_surface", "court_surface", "court_type")
 FIXTURE_FIELDS = (
     "event_key", "event_date", "event_time", "event_type_type", "event_status", "event_live",
     "event_qualification", "event_winner", "event_final_result", "event_first_player", "event_second_player",
     "first_player_key", "second_player_key", "tournament_key", "tournament_name", "tournament_round",
-    "event_surface")
+    "event_surface", *OTHER_SURFACE_FIELDS)
 FIXTURE_TYPE = "struct<" + ", ".join(f"{f}: string" for f in FIXTURE_FIELDS) + (
     ", scores: array<struct<score_set: string, score_first: string, score_second: string>>>")
 # fixed values: keys a list of fixtures may stand under, and status words
