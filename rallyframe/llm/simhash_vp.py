@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -255,9 +255,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Of each component the document of smallest id (nulls last), columns unchanged; among equal ids one text stays."""
-    content, row = F.xxhash64(F.col(text)), [fresh(docs.columns, n) for n in ("kept_id", "kept_text")]
+    place, row_id, content = fresh(docs.columns, "place"), F.col(doc_id), F.xxhash64(F.col(text))
+
+    def spot(own: Column, hashed: Column) -> Column:
+        """One exact text for id and text hash: joining and dropping repeats by it takes one exchange."""
+        return F.concat(F.lpad(F.hex(hashed), 16, "0"), F.when(own.isNull(), "-").otherwise(F.concat(F.lit("="), own.cast("string"))))
+
     found = near_duplicates(docs, text, doc_id, [content])
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "x0")).alias("first")
-    kept = found.groupBy("root").agg(first).select(F.col("first.id").alias(row[0]), F.col("first.x0").alias(row[1]))
-    stays = docs.join(kept, F.col(doc_id).eqNullSafe(kept[row[0]]) & (content == kept[row[1]]), "left_semi")
-    return stays.withColumn(row[1], content).dropDuplicates([doc_id, row[1]]).select(*docs.columns)
+    kept = found.groupBy("root").agg(first).select(spot(F.col("first.id"), F.col("first.x0")).alias(place))
+    return docs.withColumn(place, spot(row_id, content)).join(kept, place, "left_semi").dropDuplicates([place]).select(*docs.columns)
