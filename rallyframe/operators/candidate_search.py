@@ -84,10 +84,10 @@ def near_names(a: DataFrame, b: DataFrame, min_ratio: float, same_initial: bool)
     on = ["gender", "gram"] + (["initial"] if same_initial else [])
     side = lambda s, n: rare.where(F.col("side") == s).select(*on, F.col("norm").alias(n))
     la, lb = F.length("feed_norm"), F.length("cand_norm")
-    pairs = (side("a", "feed_norm").join(side("b", "cand_norm"), on)
-             .where((2 * F.least(la, lb) >= min_ratio * (la + lb) - 1e-9)
-                    # M letters in common order leave at most L - 2M edits; tested before pairs are shuffled
-                    & (F.levenshtein("feed_norm", "cand_norm") <= (1.0 - min_ratio) * (la + lb) + 1e-9)))
+    # M letters in common order leave at most L - 2M edits; the bounded distance is tested before pairs are shuffled
+    edits = f"CAST(floor({1.0 - min_ratio!r}D * (length(feed_norm) + length(cand_norm)) + 1e-9D) AS INT)"
+    pairs = (side("a", "feed_norm").join(side("b", "cand_norm"), on).where(2 * F.least(la, lb) >= min_ratio * (la + lb) - 1e-9)
+             .where(F.expr(f"levenshtein(feed_norm, cand_norm, {edits}) >= 0")))
     return pairs.select(*PAIR).distinct()
 
 
