@@ -3,14 +3,18 @@
 Script ranges narrow the languages a word can belong to; the word's letter triples score the rest;
 Viterbi over the words, with a penalty for each switch, labels spans of mixed-language text.
 
-Cases: a null, empty or letterless text is ``und`` with score 0 and no spans; a text whose letters
-are in no known script takes the most frequent language; equal scores take the language first in
+Every letter has a script, the last one for all letters that no other holds; letters that any language
+writes beside numbers (ordinal signs, micro, modifier letters) have none and take the language around.
+
+Cases: a null, empty or letterless text is ``und`` with score 0 and no spans; a text with letters, but
+none of a script, takes the most frequent language with score 0; equal scores take the language first in
 alphabetical order; without training rows every text is ``und``. Rows are labelled one by one, so
 repeated rows repeat and extra columns pass through.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,33 +33,40 @@ EXCLUDED = 30.0          # cost of a word in a language that does not use its sc
 SCRIPT_SHARE = 0.01      # a language uses the scripts with this share of its words
 STEPS = 32               # words of a block that Viterbi walks at once
 
-# Blocks of Unicode by script, first and last code point.
+# Blocks of Unicode by script, first and last code point. Letters outside them are of the script "other".
 SCRIPTS = {
-    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)],
+    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x2AF), (0x1D00, 0x1DBF), (0x1E00, 0x1EFF), (0x2100, 0x214F), (0x2C60, 0x2C7F), (0xA720, 0xA7FF),
+              (0xAB30, 0xAB6F), (0xFB00, 0xFB06), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A), (0x1D400, 0x1D7FF)],
     "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
-    "cyrillic": [(0x400, 0x52F)],
-    "armenian": [(0x530, 0x58F)],
-    "hebrew": [(0x590, 0x5FF)],
-    "arabic": [(0x600, 0x6FF), (0x750, 0x77F)],
-    "indic": [(0x900, 0xDFF)],
+    "cyrillic": [(0x400, 0x52F), (0x1C80, 0x1C8F), (0xA640, 0xA69F)],
+    "armenian": [(0x530, 0x58F), (0xFB13, 0xFB17)],
+    "hebrew": [(0x590, 0x5FF), (0xFB1D, 0xFB4F)],
+    "arabic": [(0x600, 0x6FF), (0x750, 0x77F), (0x870, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF), (0x1EE00, 0x1EEFF)],
+    "indic": [(0x900, 0xDFF), (0x1CD0, 0x1CFF), (0xA8E0, 0xA8FF)],
     "thai": [(0xE00, 0xE7F)],
-    "hangul": [(0x1100, 0x11FF), (0xAC00, 0xD7AF)],
-    "kana": [(0x3040, 0x30FF)],
-    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF)],
+    "hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7FF), (0xFFA0, 0xFFDC)],
+    "kana": [(0x3040, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F)],
+    "han": [(0x3005, 0x3007), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)],
+    "georgian": [(0x10A0, 0x10FF), (0x1C90, 0x1CBF), (0x2D00, 0x2D2F)],
+    "ethiopic": [(0x1200, 0x139F), (0x2D80, 0x2DDF), (0xAB00, 0xAB2F), (0x1E7E0, 0x1E7FF)],
+    "myanmar": [(0x1000, 0x109F), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F)],
+    "khmer": [(0x1780, 0x17FF)],
 }
+SIGNS = "\u00aa\u00b5\u00ba"   # letters used as signs
 
 
 def _script_bits() -> np.ndarray:
-    """Script bit by the first two bytes of a character (64 code points share them beyond two-byte characters)."""
-    bits = np.zeros(1 << 16, np.uint16)
+    """Script bit by code point; only letters have one."""
+    bits = np.zeros(sys.maxunicode + 1, np.uint16)
+    letters = np.array([p for p in range(sys.maxunicode + 1) if chr(p).isalpha()])
+    bits[letters] = 1 << len(SCRIPTS)
     for bit, ranges in enumerate(SCRIPTS.values()):
         for first, last in ranges:
-            for point in range(first, last + 1, 1 if last < 0x800 else 64):
-                code = chr(point).encode()
-                if len(code) == 1:
-                    bits[code[0] << 8:(code[0] + 1) << 8] |= 1 << bit
-                else:
-                    bits[(code[0] << 8) | code[1]] |= 1 << bit
+            own = bits[first:last + 1]
+            own[own > 0] = 1 << bit
+    # modifier letters outside the blocks go with any script
+    loose = letters[bits[letters] == 1 << len(SCRIPTS)]
+    bits[[p for p in loose.tolist() if chr(p) in SIGNS or 0x2B0 <= p <= 0x2FF]] = 0
     return bits
 
 
@@ -84,13 +95,22 @@ def _triples(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return key.astype(np.intp), np.cumsum(lengths) - lengths
 
 
+def _code_points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Code points of the characters of two to four bytes that begin at ``lead``."""
+    a, b, c, d = (data[np.minimum(lead + i, len(data) - 1)].astype(np.int32) & 0x3F for i in range(4))
+    first = data[lead]
+    two, three = (a & 0x1F) << 6 | b, (a & 0x0F) << 12 | b << 6 | c
+    return np.where(first < 0xE0, two, np.where(first < 0xF0, three, np.minimum((a & 0x07) << 18 | b << 12 | c << 6 | d, sys.maxunicode)))
+
+
 def _word_scripts(words: Words) -> np.ndarray:
-    """Bits of the scripts of each word's characters; none for words without a known letter."""
+    """Bits of the scripts of each word's letters; none for words without a letter."""
     if not len(words.starts):
         return np.zeros(0, np.uint16)
-    pair = (words.data.astype(np.uint16) << np.uint16(8)) | np.append(words.data[1:], 32).astype(np.uint16)
-    bits = SCRIPT_BITS[pair]
-    bits[(words.data >= 0x80) & (words.data < 0xC0)] = 0  # inside a character
+    bits = SCRIPT_BITS[words.data]
+    bits[words.data >= 0x80] = 0
+    lead = np.flatnonzero(words.data >= 0xC0)  # each other character by its first byte
+    bits[lead] = SCRIPT_BITS[_code_points(words.data, lead)]
     bounds = np.column_stack([words.starts, words.ends]).ravel()
     return np.bitwise_or.reduceat(bits, bounds)[0::2]
 
@@ -224,7 +244,7 @@ def _labeller(model: Model, switch: float):
         total = held.sum(1)
         langs = np.array([*model.languages, None], object)[held.argmax(1)]
         share = held.max(1) / np.maximum(1, total)
-        for i in np.flatnonzero(total == 0):  # no word of a known script: is there any letter?
+        for i in np.flatnonzero(total == 0):  # no word of a script: is there any letter?
             some = k and any(ch.isalpha() for ch in texts[int(i)].as_py() or "")
             langs[i], share[i] = (model.languages[model.first], 0.0) if some else ("und", 0.0)
         known = np.flatnonzero(scripts) if k else np.zeros(0, np.int64)
