@@ -274,11 +274,11 @@ def label_languages(docs: DataFrame, model: Model, text: str = "text", switch: f
     return with_text_columns(docs, text, list(zip(names, kinds)), lambda: _labeller(shared.value, switch), keep)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The documents that have a language with at least ``least`` of their letters, columns unchanged."""
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+    """The documents with a labelled span, columns unchanged; ``least`` is the share of letters that the leading language must have."""
     names = tuple(fresh(docs.columns, n) for n in ("lang_pred", "score", "spans"))
     marked = label_languages(docs, model, names=names)
-    return marked.where((F.col(names[0]) != "und") & (F.col(names[1]) >= least)).select(*docs.columns)
+    return marked.where((F.col(names[0]) != "und") & (F.size(names[2]) > 0) & (F.col(names[1]) >= least)).select(*docs.columns)
 
 
 __all__ = ["Model", "fit", "label_languages", "keep_identified", "viterbi"]

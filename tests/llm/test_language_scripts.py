@@ -43,3 +43,12 @@ def test_languages_of_further_scripts(spark, model, lang, words):
     for r in lid.label_languages(rows, model).collect():
         assert r.lang_pred == lang and r.score > 0.9 and r.spans[-1].lang == lang
     assert lid.keep_identified(rows, model).count() == 2
+
+
+def test_texts_of_three_languages_stay(spark, model):
+    """No language has half of the letters, but every span has one."""
+    mixed = " ".join([prose(1, 26), prose(2, 18, GEORGIAN), prose(3, 18, LAO)])
+    rows = spark.createDataFrame([(1, mixed), (2, "12 ª 34"), (3, "12 34")], "doc_id long, text string")
+    marked = lid.label_languages(rows, model).where("doc_id = 1").first()
+    assert marked.score < 0.5 and len(marked.spans) == 3
+    assert [r.doc_id for r in lid.keep_identified(rows, model).collect()] == [1]
