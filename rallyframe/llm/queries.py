@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.workspace import materialise, new_path
 
-from . import bpe, decontaminate, language_id, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
+from . import bpe, decontaminate, language_id, mixing, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
 from .common import bounded_labels, prepare, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,35 @@ CHECKS["op9_decontamination"] = f"""
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = bpe.count_tokens(table(prepare(spark), sf_dir, "documents"), vocabulary(), keep=["doc_id"])
     return token_counts.running_sums(materialise(token_counts.histogram(counted), "histogram"))
+
+
+@query
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, (key, size, where) = mixing.measure(table(prepare(spark), sf_dir, "documents"))
+    rows = materialise(rows.select("doc_id", F.col(key).alias("key"), F.col(size).alias("size"), F.col(where).alias("place")), "mix-rows")
+    found = rows.join(mixing.plan(rows.drop("doc_id")), "key")
+    goal = F.col("goals")[0]
+    return found.select("doc_id", "size", F.col("words").alias("source_size"), goal["target"].alias("target"),
+                        (F.col("size") * mixing.copies(goal, F.col("place"))).alias("taken"))
+
+
+CHECKS["op13_source_mix"] = r"""
+    WITH docs AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+               ('0x' || md5(concat_ws(' ', doc_id::VARCHAR, text))[1:15])::BIGINT AS place FROM documents),
+    sources AS (SELECT source, sum(size)::BIGINT AS words, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM docs GROUP BY source),
+    levels AS (
+        SELECT *, sum(3 * words) OVER w AS most_upto, sum(weight) OVER w AS weight_upto, sum(weight) OVER () AS all_weight, sum(words) OVER () AS total
+        FROM sources WINDOW w AS (ORDER BY words / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+    full_ones AS (SELECT *, most_upto::DOUBLE + 3.0 * words / weight * (all_weight - weight_upto) <= total AS is_full FROM levels),
+    rise AS (SELECT (any_value(total) - coalesce(sum(3 * words) FILTER (is_full), 0))::DOUBLE / nullif(any_value(all_weight) - coalesce(sum(weight) FILTER (is_full), 0), 0) AS rise FROM full_ones),
+    dealt AS (SELECT source, words, least(3.0 * words, coalesce(rise * weight, 3.0 * words))::DOUBLE AS target FROM sources, rise),
+    goals AS (SELECT *, CASE WHEN words > 0 THEN least(3, floor(target / words)) ELSE 0 END::BIGINT AS whole FROM dealt),
+    places AS (SELECT source, place, sum(size)::BIGINT AS here FROM docs GROUP BY source, place),
+    sums AS (SELECT *, sum(here) OVER (PARTITION BY source ORDER BY place) AS upto FROM places),
+    ends AS (
+        SELECT g.source, CASE WHEN 2 * (target - whole * words - (upto - here)) > here THEN place + 1 ELSE place END AS until
+        FROM goals g JOIN sums s ON g.source IS NOT DISTINCT FROM s.source
+        WHERE whole < 3 AND upto - here < target - whole * words AND target - whole * words <= upto)
+    SELECT doc_id, size, words AS source_size, target, (size * (whole + CASE WHEN place < coalesce(until, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM docs JOIN goals g ON docs.source IS NOT DISTINCT FROM g.source LEFT JOIN ends e ON e.source IS NOT DISTINCT FROM g.source"""
