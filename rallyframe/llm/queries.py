@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.workspace import materialise, new_path
 
-from . import bpe, decontaminate, language_id, mixing, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
+from . import bpe, decontaminate, language_id, mask_search, mixing, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
 from .common import bounded_labels, prepare, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,6 +162,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.running_sums(materialise(token_counts.histogram(counted), "histogram"))
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.search(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+_TERMS = _WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+CHECKS["op11_ranked_search"] = f"""
+    WITH docs AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+    items AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
+    facts AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+    asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+    held AS (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM docs),
+    post AS (SELECT doc_id, n, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM post, facts GROUP BY term),
+    scored AS (
+        SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM asked JOIN weights USING (term) JOIN post USING (term), facts GROUP BY item_id, doc_id)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 20"""
+
+
 @query
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, (key, size, where) = mixing.measure(table(prepare(spark), sf_dir, "documents"))
