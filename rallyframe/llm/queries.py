@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.workspace import materialise, new_path
 
-from . import bpe, decontaminate, language_id, mask_search, mixing, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit
+from . import bpe, decontaminate, language_id, mask_search, mixing, quality_rules, secret_ledger, simhash_vp, token_counts, toxicity, va_topk, warc_revisit, whitening
 from .common import bounded_labels, prepare, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,6 +183,12 @@ CHECKS["op11_ranked_search"] = f"""
     FROM scored WHERE score > 0 QUALIFY rank <= 20"""
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(spark), sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(whitening.distinct_vectors(vectors, "embedding")))
+
+
 @query
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, (key, size, where) = mixing.measure(table(prepare(spark), sf_dir, "documents"))
