@@ -2,77 +2,167 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from rallyframe.operators.ledgers import last_results, settle_outcome
 
+from .state import DAY_MS, follow, keyed_state, run_to_parquet
+
 RECENT_DAYS = 3
+SETTLE_DAYS = 7      # a result counts so many days after its pick
+LATE_DAYS = 7        # rows may come so many days behind the newest
+
+
+# --- settlement ---------------------------------------------------------------
+def settle_stream(picks: DataFrame, results: DataFrame, days: int = SETTLE_DAYS, late_days: int = LATE_DAYS) -> DataFrame:
+    """Picks left outer joined with the results of their event within ``days`` of their date.
+
+    Both watermarks lag by the whole window and ``late_days``. When they have passed a pick's window, a pick
+    without a result comes out once with ``found`` false, and its state goes.
+    """
+    lag = f"{days + late_days} days"
+    p = picks.select("pick_id", F.col("event_key").alias("pick_event"), F.col("pick_date").cast("timestamp").alias("pick_at")).withWatermark("pick_at", lag)
+    r = (results.withColumn("result_at", F.col("event_date").cast("timestamp")).withColumn("found", F.lit(True))
+         .withWatermark("result_at", lag))
+    near = F.expr(f"pick_event = event_key AND result_at >= pick_at AND result_at <= pick_at + INTERVAL {days} DAYS")
+    joined = p.join(r, near, "leftOuter")
+    return joined.select("pick_id", *[c for c in results.columns if c != "event_key"], F.coalesce("found", F.lit(False)).alias("found"))
+
 
+def run_late_rows(stream: DataFrame, path: str, day: str, lag_days: int) -> DataFrame:
+    """The side table of rows that came more than ``lag_days`` behind the newest day of the batches before.
 
-def run_to_parquet(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Process everything available and read the result back."""
-    stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").option(
-        "path", f"{path}/out").trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
+    Run with the finest batches it holds every row that a join over the same files drops, whatever its own
+    batches are. A repeated batch overwrites itself; a batch reads only the newest day of the last one.
+    """
+    spark = stream.sparkSession
 
+    def keep(df: DataFrame, version: int) -> None:
+        df = df.persist()
+        mark = spark.read.schema("newest date").parquet(f"{path}/marks/{version - 1}").first()["newest"] if version else None
+        behind = F.lit(False) if mark is None else F.col(day) < F.date_sub(F.lit(mark), lag_days)
+        df.where(behind).write.mode("overwrite").parquet(f"{path}/late/batch={version}")
+        df.agg(F.greatest(F.max(day), F.lit(mark).cast("date")).alias("newest")).write.mode("overwrite").parquet(f"{path}/marks/{version}")
+        df.unpersist()
 
-def settle_stream(picks: DataFrame, results: DataFrame, days: int = 7) -> DataFrame:
-    """Every result row that comes for a pick within ``days`` of its date.
+    run = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{path}/late")
 
-    Watermarks on both sides and the interval bound the state. Picks without such a row stay open:
-    ``settled_and_open`` adds them, so that nothing waits for the watermark to pass.
+
+@dataclass
+class Settlement:
+    """Two landing streams, the same rows as tables, and a folder that outlives a restart.
+
+    What the join drops because it came too late is joined again from the side tables, so the outcome does not
+    depend on how files are dealt to batches.
     """
-    p = picks.withColumn("pick_time_at", F.col("pick_date").cast("timestamp")).withWatermark("pick_time_at", "1 day").alias("p")
-    r = (results.withColumn("result_at", F.col("event_date").cast("timestamp")).withWatermark("result_at", "1 day")
-         .withColumnRenamed("event_key", "result_event_key").alias("r"))
-    near = F.expr(f"result_at >= pick_time_at AND result_at <= pick_time_at + INTERVAL {days} DAYS")
-    return p.join(r, (F.col("p.event_key") == F.col("r.result_event_key")) & near).select("p.pick_id", *[f"r.{c}" for c in results.columns if c != "event_key"],
-                                                                                          F.col("r.result_event_key").alias("event_key"))
+
+    picks: DataFrame
+    results: DataFrame
+    landed_picks: DataFrame
+    landed_results: DataFrame
+    path: str
+    days: int = SETTLE_DAYS
+    late_days: int = LATE_DAYS
+
+    def _near(self, picks: DataFrame, results: DataFrame) -> DataFrame:
+        gap = F.date_diff("event_date", "pick_date")
+        held = picks.select("pick_id", F.col("event_key").alias("pick_event"), "pick_date")
+        joined = held.join(results, F.col("pick_event") == F.col("event_key")).where((gap >= 0) & (gap <= self.days))
+        return joined.select("pick_id", *[c for c in results.columns if c != "event_key"])
+
+    def run(self, order: list[str]) -> DataFrame:
+        """Outcome of every landed pick, and whether its window has closed without a result."""
+        lag = self.days + self.late_days
+        with keyed_state(self.picks.sparkSession):
+            joined = run_to_parquet(settle_stream(self.picks, self.results, self.days, self.late_days), f"{self.path}/join")
+        late_picks = run_late_rows(self.picks, f"{self.path}/picks", "pick_date", lag)
+        late_results = run_late_rows(self.results, f"{self.path}/results", "event_date", lag)
+        again = self._near(late_picks, self.landed_results).unionByName(self._near(self.landed_picks, late_results))
+        seen = joined.where("found").drop("found").unionByName(again)
+        closed = joined.where(~F.col("found")).select("pick_id", F.lit(True).alias("closed")).distinct()
+        settled = settled_and_open(self.landed_picks, seen, order).join(closed, "pick_id", "left")
+        return settled.withColumn("closed", F.coalesce("closed", F.lit(False)) & ~F.col("found"))
 
 
 def settled_and_open(picks: DataFrame, seen: DataFrame, order: list[str]) -> DataFrame:
     """Outcome of every landed pick: by the last result seen for it, or open as its fixture was not found."""
-    by_pick = seen.drop("event_key").withColumnRenamed("pick_id", "event_key")
+    by_pick = seen.withColumnRenamed("pick_id", "event_key")
     last = last_results(by_pick, order).withColumnRenamed("event_key", "pick_id")
     return settle_outcome(picks.join(last, "pick_id", "left").withColumn("found", F.coalesce("found", F.lit(False))))
 
 
-def run_first_rows(stream: DataFrame, path: str, key: str, order: str, day: str, days: int = 3) -> DataFrame:
-    """First row per key by ``order``, whatever the order in which files and rows come.
+# --- first rows -----------------------------------------------------------------
+class FirstRow(StatefulProcessor):
+    """Per key the least order seen, for ``days`` after the key was last seen; each improvement is handed on."""
 
-    Each micro-batch appends, per key, its first row if that is earlier than what the batches of the
-    last ``days`` hold; the result is the first of the appended rows. A repeated batch overwrites itself.
-    """
-    spark, rest = stream.sparkSession, [c for c in stream.columns if c not in (key, order)]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields) + ", batch int"
-    first = lambda df: df.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("f")).select(key, f"f.{order}", *[f"f.{c}" for c in rest])
+    def __init__(self, order: str, day: str, days: int):
+        self.order, self.day, self.days = order, day, days
 
-    def keep(df: DataFrame, version: int) -> None:
-        df = df.persist()
-        since = df.agg(F.date_sub(F.min(day), days)).first()[0]
-        now = first(df)
-        if version:
-            known = spark.read.schema(schema).parquet(f"{path}/out").where((F.col("batch") < version) & (F.col(day) >= F.lit(since)))
-            held = known.groupBy(key).agg(F.min(order).alias("held"))
-            now = now.join(held, key, "left").where(F.col("held").isNull() | (F.col(order) < F.col("held"))).drop("held")
-        now.write.mode("overwrite").parquet(f"{path}/out/batch={version}")
-        df.unpersist()
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.least = handle.getValueState("least", "value bigint, until bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))
+        first = batch.nsmallest(1, self.order)
+        until = (pd.Timestamp(batch[self.day].max()) - pd.Timestamp(0)).days * DAY_MS + (self.days + 1) * DAY_MS
+        value, held = int(first[self.order].iloc[0]), self.least.get() if self.least.exists() else None
+        if held is not None:
+            if until > held[1]:
+                self.handle.deleteTimer(held[1])
+            until = max(until, held[1])
+        if held is None or value < held[0] or until > held[1]:
+            self.least.update((value if held is None else min(value, held[0]), until))
+            self.handle.registerTimer(until)
+        if held is None or value < held[0]:
+            yield first
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.least.exists() and self.least.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.least.clear()
+        return iter(())
 
-    stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return first(spark.read.schema(schema).parquet(f"{path}/out").drop("batch"))
+    def close(self) -> None:
+        pass
 
 
+def run_first_rows(stream: DataFrame, path: str, key: str, order: str, day: str, days: int = RECENT_DAYS) -> DataFrame:
+    """First row per key by ``order`` (a whole number), whatever the order in which files and rows come.
+
+    The state store holds the least order of each key and drops it ``days`` after the key was last seen; only
+    rows that come before what it holds are appended. A key that comes back after that appends once
+    more, so the result is the first of a key's few appended rows.
+    """
+    spark, rest = stream.sparkSession, [c for c in stream.columns if c not in (key, order)]
+    with keyed_state(spark):
+        first = follow(stream, day, days).groupBy(key).transformWithStateInPandas(FirstRow(order, day, days), stream.schema, "append", "eventTime")
+        rows = run_to_parquet(first, path)
+    return rows.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("f")).select(key, f"f.{order}", *[f"f.{c}" for c in rest])
+
+
+# --- landing classes -------------------------------------------------------------
 def landing_class(delay_days: Column) -> Column:
     return F.when(delay_days <= 0, "on_time").when(delay_days <= RECENT_DAYS, "refreshed").otherwise("late")
 
 
 def landing_windows(fixtures: DataFrame) -> DataFrame:
-    """Daily counts of on-time, refreshed and late rows; ``landed_date`` is when a row came in."""
+    """Counts of on-time, refreshed and late rows by the day they landed and the day they are about.
+
+    Lateness is judged before any watermark, and the watermark follows the landing time, which files
+    arrive in, so the late rows are counted and not dropped.
+    """
     cls = landing_class(F.date_diff("landed_date", "match_date"))
-    return (fixtures.withColumn("day_at", F.col("match_date").cast("timestamp")).withWatermark("day_at", f"{RECENT_DAYS} days")
-            .groupBy(F.window("day_at", "1 day").alias("w"), cls.alias("class")).agg(F.count("*").alias("rows"))
-            .select(F.to_date("w.start").alias("day"), "class", "rows"))
+    return (fixtures.withColumn("landed_at", F.col("landed_date").cast("timestamp")).withWatermark("landed_at", f"{RECENT_DAYS} days")
+            .groupBy(F.window("landed_at", "1 day").alias("w"), F.col("match_date").alias("day"), cls.alias("class")).agg(F.count("*").alias("rows"))
+            .select(F.to_date("w.start").alias("landed"), "day", "class", "rows"))
 
 
 def run_updates(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
@@ -80,8 +170,9 @@ def run_updates(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
     def keep(df: DataFrame, version: int) -> None:
         df.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{path}/out/batch={version}")
 
-    stream.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{path}/checkpoint").trigger(
-        availableNow=True).start().awaitTermination()
+    with keyed_state(stream.sparkSession):
+        run = stream.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
     values = [c for c in stream.columns if c not in keys]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields) + ", version int"
     rows = stream.sparkSession.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/out")

@@ -1,5 +1,4 @@
 import math
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +6,6 @@ from pyspark.sql import functions as F
 from rallyframe.operators import ladders as L
 from rallyframe.operators import predictions as P
 from rallyframe.plans import views
-from rallyframe.streaming.ratings import LadderStream
-from rallyframe.workspace import new_path
 
 
 def plain_fold(rows):
@@ -68,23 +65,3 @@ def test_match_index_is_a_total_order(spark, sf):
     rows = P.match_index(m.repartition(5)).orderBy("match_index").collect()
     assert [r["match_index"] for r in rows] == list(range(1, len(rows) + 1))
     assert [r["seq"] for r in rows] == sorted(r["seq"] for r in rows)
-
-
-def test_stream_puts_waiting_rows_in_place_and_sets_late_rows_aside(spark, matches):
-    cols = ["match_date", "seq", "gender", "level", "surface", "winner_key", "loser_key"]
-    rows = sorted(matches.select(*cols).collect(), key=lambda r: (r["match_date"], r["seq"]))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in matches.select(*cols).schema.fields)
-    third = len(rows) // 3
-    first, second, third_part = rows[:third], rows[third:2 * third], rows[2 * third:]
-    late = rows[0]
-    moved = [first.pop(), *second]  # one row of the first part comes with the second
-    first = [r for r in first if r is not late]
-    random.Random(1).shuffle(moved)
-    stream = LadderStream(new_path(spark, "stream-test"), schema, delay_days=4)
-    for version, batch in enumerate((first, moved, [*third_part, late])):
-        stream.advance(spark.createDataFrame(batch, schema), version)
-    got = as_dict(stream.finish(spark, 3))
-    assert got == plain_fold([r.asDict() for r in rows if r is not late])
-    assert spark.read.parquet(f"{stream.path}/late/2").count() == 1
-    stream.advance(spark.createDataFrame(moved, schema), 1)  # a replayed batch writes the same version
-    assert spark.read.parquet(f"{stream.path}/state/1").count() > 0

@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from rallyframe.operators import ledgers as L
 from rallyframe.operators import merging as M
-from rallyframe.streaming import events as X
-from rallyframe.workspace import new_path
 
 PICK = "pick_id long, event_key string, side string, stake decimal(18,6), odds decimal(18,6), avg_odds decimal(18,6), pick_date date"
 
@@ -79,32 +77,3 @@ def test_source_rows_without_a_final_result_are_not_looked_at(spark):
         f"{columns}, row_no int, result string, profit double")
     got = {r["pick_id"]: (r["source_result"], r["source_profit"]) for r in M.settle_by_key_variants(active, source, "row_no", ["result", "profit"]).collect()}
     assert got == {"p1": ("win", 1.5), "p2": ("void", 0.0)}
-
-
-def landed(spark, df, name):
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
-
-
-def test_open_picks_of_the_stream_come_out(spark):
-    day = lambda d: F.to_date(F.lit(f"2024-01-{d:02d}"))
-    picks = spark.range(1, 5).select(F.col("id").alias("pick_id"), F.concat(F.lit("e"), "id").alias("event_key"), F.lit("home").alias("side"),
-                                     F.lit(1).cast("decimal(18,6)").alias("stake"), F.lit(2).cast("decimal(18,6)").alias("odds"), day(10).alias("pick_date"))
-    result = lambda n, order, status, winner, d: picks.limit(1).select(
-        F.lit(f"e{n}").alias("event_key"), F.lit(order).alias("row_order"), F.lit(status).alias("event_status"), F.lit(winner).alias("event_winner"), day(d).alias("event_date"))
-    results = result(1, 0, "Not started", "", 10).union(result(1, 1, "Finished", "1", 11)).union(result(2, 0, "Finished", "2", 12)).union(result(3, 0, "Finished", "1", 25))
-    seen = X.run_to_parquet(X.settle_stream(landed(spark, picks, "p"), landed(spark, results, "r")), new_path(spark, "settle-test"))
-    got = {r["pick_id"]: r["settle_reason"] for r in X.settled_and_open(picks, seen, ["row_order"]).collect()}
-    assert got == {1: "settled_win", 2: "settled_loss", 3: "fixture_not_found", 4: "fixture_not_found"}   # 3 came too late
-
-
-def test_first_rows_whatever_the_arrival(spark):
-    rows = spark.createDataFrame([("a", 5, "2024-01-02", "late"), ("a", 2, "2024-01-02", "first"), ("b", 9, "2024-01-03", "only"), ("a", 3, "2024-01-02", "x")],
-                                 "k string, seq int, day string, v string").withColumn("day", F.to_date("day"))
-    path = new_path(spark, "first-test")
-    for i in range(4):
-        rows.where(F.col("seq") == [5, 2, 9, 3][i]).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = {r["k"]: (r["seq"], r["v"]) for r in X.run_first_rows(stream, new_path(spark, "first-out"), "k", "seq", "day").collect()}
-    assert got == {"a": (2, "first"), "b": (9, "only")}
