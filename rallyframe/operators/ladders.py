@@ -1,11 +1,13 @@
-"""Elo ladders: an ordered fold, run in time slices of bounded size.
+"""Elo ladders: an ordered fold, run in time slices and independent groups of bounded size.
 
 A match belongs to up to four ladders of its gender: overall, its level, its surface and
-its level on that surface. Inside a ladder the order of matches decides the result, so the
-fold is serial there; ladders run side by side. No task ever sees more than one time slice
-of one ladder: the matches are range partitioned on their full order key (which ends in a
-unique id, so a hot day or a hot player splits like any other data), and the players' state
-goes from slice to slice through a table in the shared folder.
+its level on that surface. Inside a ladder the order of matches decides the result. The matches are
+range partitioned on their full order key (which ends in a unique id, so a hot day or a hot
+player splits like any other data) into time slices, which are played one after the other. Players
+who are not linked by matches of a slice do not touch each other in it, so the connected components
+of a slice are played side by side. What a slice changes, the last row of each player in it, is written as a
+run; runs of the same rank are merged two by two, so a row is written again a logarithmic
+number of times and no slice rewrites the players it has not touched.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from pyspark.sql import functions as F
 
 from rallyframe import constants as K
 from rallyframe.functions.values import rounded
+from rallyframe.operators.components import components
 from rallyframe.workspace import materialise, new_path
 
 ORDER = ("match_date", "seq")
 LADDER = ("gender", "layer", "value")
-SLICE_ROWS = 1_000_000
+SLICE_ROWS = 1_000_000   # matches of one time slice
+TASK_ROWS = 200_000      # matches of a slice that are played in one task, about, unless they hang together
 
 STEP_SCHEMA = (
     "gender string, layer string, value string, seq bigint, probe boolean, "
@@ -52,7 +56,7 @@ def ladder_rows(matches: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame
     )
     return (
         matches.where("winner_key <> loser_key")
-        .select(*dict.fromkeys((*order, "seq")), "gender", "winner_key", "loser_key",
+        .select(*dict.fromkeys((*order, "seq")), "gender", "winner_key", "loser_key", *[c for c in matches.columns if c == "part"],
                 F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
         .select("*", "e.layer", "e.value", "e.probe").drop("e")
     )
@@ -78,9 +82,10 @@ def _walk(rows: pd.DataFrame, order: tuple[str, ...], start: dict[str, tuple[flo
 
 
 def fold_slice(rows: DataFrame, order: tuple[str, ...], state: DataFrame | None) -> DataFrame:
-    """Steps of one time slice, starting from the given state."""
+    """Steps of one time slice, starting from the given state (of several rows of a player the one with most matches counts)."""
+    groups = [*LADDER, *[c for c in rows.columns if c == "part"]]
     if state is None:
-        return rows.groupBy(*LADDER).applyInPandas(lambda pdf: _walk(pdf, order, {}), STEP_SCHEMA)
+        return rows.groupBy(*groups).applyInPandas(lambda pdf: _walk(pdf, order, {}), STEP_SCHEMA)
 
     def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
@@ -89,10 +94,15 @@ def fold_slice(rows: DataFrame, order: tuple[str, ...], state: DataFrame | None)
         return _walk(left, order, start)
 
     # only the players of this slice travel with it
-    present = rows.select(*LADDER, F.explode(F.array("winner_key", "loser_key")).alias("player_key")).distinct()
-    needed = state.join(present, [*LADDER, "player_key"], "left_semi")
-    return (rows.groupBy(*LADDER).cogroup(needed.groupBy(*LADDER))
-            .applyInPandas(fold, STEP_SCHEMA))
+    present = rows.select(*groups, F.explode(F.array("winner_key", "loser_key")).alias("player_key")).distinct()
+    needed = newest(state.join(present, [*LADDER, "player_key"]), [*groups, "player_key"])
+    needed = needed.toDF(*needed.columns)  # columns of its own, for the cogroup
+    return rows.groupBy(*groups).cogroup(needed.groupBy(*groups)).applyInPandas(fold, STEP_SCHEMA)
+
+
+def newest(state: DataFrame, keys: list[str]) -> DataFrame:
+    """Of several states of a player the one after most matches."""
+    return state.groupBy(*keys).agg(F.max(F.struct("n", "rating")).alias("last")).select(*keys, "last.rating", "last.n")
 
 
 def final_state(steps: DataFrame) -> DataFrame:
@@ -118,39 +128,60 @@ def advance_state(state: DataFrame | None, steps: DataFrame) -> DataFrame:
     return state.join(moved, [*LADDER, "player_key"], "left_anti").unionByName(moved)
 
 
-def time_slices(matches: DataFrame, order: tuple[str, ...], slice_rows: int) -> tuple[DataFrame, int]:
-    """Matches with a ``slice`` number that grows with the order key, and the slice count."""
-    count = math.ceil(matches.count() / slice_rows)
-    if count <= 1:
-        return matches, 1
-    sliced = matches.repartitionByRange(count, *order).withColumn("slice", F.spark_partition_id())
-    return materialise(sliced, "slices", "slice"), count
+class PlayerRuns:
+    """What the slices so far have changed, as written runs of (ladder, player) rows."""
 
+    def __init__(self):
+        self.runs: list[tuple[int, DataFrame]] = []   # rank and rows, oldest first
 
-def fold_ladders(matches: DataFrame, order: tuple[str, ...] = ORDER, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """State of both sides before and after every match, on every ladder."""
-    sliced, count = time_slices(matches, order, slice_rows)
-    if count == 1:
-        return fold_slice(ladder_rows(sliced, order), order, None)
-    return _fold_slices(sliced, count, order, None)[0]
+    def add(self, moved: DataFrame) -> None:
+        self.runs.append((0, materialise(moved, "ladder-run")))
+        while len(self.runs) > 1 and self.runs[-1][0] == self.runs[-2][0]:
+            (rank, new), (_, old) = self.runs.pop(), self.runs.pop()
+            self.runs.append((rank + 1, materialise(newest(old.unionByName(new), [*LADDER, "player_key"]), "ladder-run")))
 
+    def state(self) -> DataFrame | None:
+        """All runs; of a player who is in several the one after most matches counts."""
+        out = None
+        for _, run in self.runs:
+            out = run if out is None else out.unionByName(run)
+        return out
 
-def fold_from(matches: DataFrame, state: DataFrame, order: tuple[str, ...] = ORDER,
-              slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Steps and new state after folding more matches onto a state."""
-    return _fold_slices(*time_slices(matches, order, slice_rows), order, state)
 
+def time_slices(matches: DataFrame, order: tuple[str, ...], slice_rows: int, task_rows: int) -> tuple[DataFrame, int]:
+    """Matches with a ``slice`` that grows with the order key and a ``part`` of the slice, and the number of slices.
 
-def _fold_slices(sliced: DataFrame, count: int, order: tuple[str, ...],
-                 state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    spark = sliced.sparkSession
-    out = new_path(spark, "ladder-steps")
+    Matches of one component of a slice are in the same part. The components of all slices are found at once.
+    """
+    rows = matches.count()
+    count = max(1, math.ceil(rows / slice_rows))
+    sliced = matches.withColumn("slice", F.lit(0))
+    if count > 1:
+        sliced = materialise(matches.repartitionByRange(count, *order).withColumn("slice", F.spark_partition_id()), "slices", "slice")
+    parts = math.ceil(min(rows, slice_rows) / task_rows)
+    if parts <= 1:
+        return sliced.withColumn("part", F.lit(0)), count
+    node = lambda side: F.xxhash64("slice", f"{side}_key")  # noqa: E731  two players of one hash are played together
+    roots = components(sliced.select(node("winner").alias("w"), node("loser").alias("l")), "w", "l")
+    sliced = sliced.withColumn("node", node("winner")).join(roots, "node", "left")
+    part = F.pmod(F.xxhash64(F.coalesce("root", "node")), F.lit(parts)).cast("int")
+    return materialise(sliced.withColumn("part", part).drop("node", "root"), "slices", "slice"), count
+
+
+def fold_ladders(matches: DataFrame, order: tuple[str, ...] = ORDER, slice_rows: int = SLICE_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """State of both sides before and after every match, on every ladder."""
+    sliced, count = time_slices(matches, order, slice_rows, task_rows)
+    runs, out, spark = PlayerRuns(), new_path(matches.sparkSession, "ladder-steps"), matches.sparkSession
     for number in range(count):
-        part = sliced if count == 1 else sliced.where(F.col("slice") == number)
-        fold_slice(ladder_rows(part, order), order, state).write.mode("overwrite").parquet(f"{out}/slice={number}")
-        steps = spark.read.schema(STEP_SCHEMA).parquet(f"{out}/slice={number}")
-        state = materialise(advance_state(state, steps), f"ladder-state-{number}")
-    return spark.read.schema(STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count)]), state
+        rows = ladder_rows(sliced.where(F.col("slice") == number), order)
+        steps = fold_slice(rows, order, runs.state())
+        if number == count - 1:  # nothing waits for the last slice
+            break
+        steps.write.mode("overwrite").parquet(f"{out}/slice={number}")
+        runs.add(final_state(spark.read.schema(STEP_SCHEMA).parquet(f"{out}/slice={number}")))
+    if count == 1:
+        return steps
+    return spark.read.schema(STEP_SCHEMA).parquet(*[f"{out}/slice={n}" for n in range(count - 1)]).unionByName(steps)
 
 
 # --- products of the fold --------------------------------------------------

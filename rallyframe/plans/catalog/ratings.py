@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rallyframe import constants as K
 from rallyframe.functions.values import rounded
 from rallyframe.operators import audits, ladders, predictions
+from rallyframe.operators.asof import as_of
 from rallyframe.plans import views
 from rallyframe.plans.registry import query
 
@@ -24,9 +26,10 @@ def r1(spark, sf):
 @query("r1_elo_ladders_sliced", """
 SELECT gender, layer, value, player_key, floor(rating * 1000 + 0.5) / 1000 AS rating, n FROM ladder_state_v""")
 def r1_sliced(spark, sf):
-    """The same in time slices, as a large table is folded; about six at any size."""
+    """The same in six time slices and up to four parts of each, as a large table is folded."""
     m = views.valid_matches(spark, sf)
-    sliced = ladders.fold_ladders(m, slice_rows=max(1, m.count() // 6))
+    rows = m.count()
+    sliced = ladders.fold_ladders(m, slice_rows=max(1, rows // 6), task_rows=max(1, rows // 24))
     return ladders.ladder_ratings(sliced).withColumn("rating", rounded(F.col("rating"), 3))
 
 
@@ -146,7 +149,15 @@ SELECT seq, winner_key, loser_key, floor(winner_rating * 1000 + 0.5) / 1000 AS w
   floor(loser_rating * 1000 + 0.5) / 1000 AS loser_tour_rating, winner_n AS winner_tour_n, loser_n AS loser_tour_n
 FROM ladder_steps_v WHERE probe""")
 def d11(spark, sf):
-    return steps(spark, sf).where("probe").select(
-        "seq", "winner_key", "loser_key", rounded(F.col("winner_rating"), 3).alias("winner_tour_rating"),
-        rounded(F.col("loser_rating"), 3).alias("loser_tour_rating"),
-        F.col("winner_n").alias("winner_tour_n"), F.col("loser_n").alias("loser_tour_n"))
+    """The tour ladder as of each slam match, from the ladder's own matches alone."""
+    m = views.valid_matches(spark, sf)
+    played = steps(spark, sf).where("layer = 'level' AND value = 'atp_wta' AND NOT probe").join(m.select("seq", "match_date"), "seq")
+    side = lambda name: F.struct(F.col(f"{name}_key").alias("player_key"), F.col(f"{name}_after").alias("tour_rating"), (F.col(f"{name}_n") + 1).alias("tour_n"))
+    after = played.select("gender", "match_date", "seq", F.explode(F.array(side("winner"), side("loser"))).alias("s")).select("gender", "match_date", "seq", "s.*")
+    slams = m.where("level = 'grand_slam' AND winner_key <> loser_key").select("gender", "match_date", "seq", "winner_key", "loser_key")
+    sides = slams.select("*", F.posexplode(F.array("winner_key", "loser_key")).alias("at", "player_key"))
+    found = as_of(sides, after, ["gender", "player_key"], ["match_date", "seq"], ["tour_rating", "tour_n"])
+    of = lambda at, name: F.max(F.when(F.col("at") == at, F.col(name)))
+    both = found.groupBy("seq", "winner_key", "loser_key").agg(*[
+        F.coalesce(of(at, name), F.lit(first)).alias(f"{who}_{name}") for at, who in enumerate(("winner", "loser")) for name, first in (("tour_rating", K.RATING_INITIAL), ("tour_n", 0))])
+    return both.withColumns({f"{who}_tour_rating": rounded(F.col(f"{who}_tour_rating"), 3) for who in ("winner", "loser")})

@@ -42,9 +42,29 @@ def test_fold_equals_plain_loop(matches, truth):
     assert as_dict(L.ladder_ratings(L.fold_ladders(matches))) == truth
 
 
-def test_slices_and_shuffled_input_change_nothing(matches, truth):
+@pytest.mark.parametrize(("slice_rows", "task_rows"), [(150, 1000), (60, 15), (10_000, 100)])
+def test_slices_parts_and_shuffled_input_change_nothing(matches, truth, slice_rows, task_rows):
     shuffled = matches.repartition(7, F.rand(seed=3))
-    assert as_dict(L.ladder_ratings(L.fold_ladders(shuffled, slice_rows=150))) == truth
+    assert as_dict(L.ladder_ratings(L.fold_ladders(shuffled, slice_rows=slice_rows, task_rows=task_rows))) == truth
+
+
+def test_parts_share_no_player(matches):
+    """And the part of a match does not depend on the order of rows."""
+    sliced, count = L.time_slices(matches, L.ORDER, 60, 10)
+    sides = sliced.select("slice", "part", F.explode(F.array("winner_key", "loser_key")).alias("player"))
+    assert count > 3 and sides.groupBy("slice", "player").agg(F.count_distinct("part").alias("n")).where("n > 1").count() == 0
+    assert sliced.select("slice", "part").distinct().count() > count
+
+
+def test_runs_hold_what_was_touched(spark):
+    """Every run is written once and merged with runs of its rank: no player is rewritten by a slice that leaves them alone."""
+    runs = L.PlayerRuns()
+    row = lambda player, n: ("men", "overall", "all", player, 1500.0 + n, n)
+    for n in range(1, 8):
+        runs.add(spark.createDataFrame([row("a", n), row(f"p{n}", 1)], L.STATE_SCHEMA))
+    assert [(rank, run.count()) for rank, run in runs.runs] == [(2, 5), (1, 3), (0, 2)]
+    state = {r.player_key: r.n for r in L.newest(runs.state(), [*L.LADDER, "player_key"]).collect()}
+    assert state == {"a": 7} | {f"p{n}": 1 for n in range(1, 8)}
 
 
 def test_ratings_are_zero_sum(matches):
