@@ -9,9 +9,11 @@ the k-th exact score so far does not rule out, so the answer is certain.
 Equal vectors are one class, searched once; of a class only its k + 1 smallest ids can be in an
 answer. Query classes meet the classes in blocks (QUERY_ROWS x VECTOR_ROWS), one task each.
 
-Cases: vectors that are null, of another length than the first by id, or hold null or non-finite
-components take no part, nor do null ids; of several vectors under one id the greatest counts; ties
-go to the smaller id; a query with fewer candidates returns all; an id never finds itself.
+Cases: vectors that are null or hold null or non-finite components take no part, nor do null ids; vectors
+of different lengths have no inner product, so each length, the empty one included, is searched by
+itself; of several vectors under one id the greatest counts; ties go to the smaller id; a query with fewer
+candidates returns all; an id never finds itself. Scores are exact decimals of 38 digits; bounds are
+doubles, widened by what rounding can do to them. Components of 10**18 and more are an error.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from rallyframe.workspace import materialise
 
 CELLS = 64               # per dimension
+LARGEST = 1e18           # components are smaller, so that products and their sums fit a decimal
+SCORE = "decimal(38,0)"
 CELL_SAMPLE = 20_000     # vectors that the cells' borders are fitted on, at most
 QUERY_ROWS, VECTOR_ROWS = 2048, 16_384
 AT_ONCE = 128            # queries bounded at once
@@ -41,12 +45,20 @@ class Cells:
 
 
 def clean_vectors(vectors: DataFrame, vec_id: str, vector: str, value) -> DataFrame:
-    """(vec_id, v): finite vectors of one length with ``value`` applied to each component."""
+    """(vec_id, v): finite vectors with ``value`` applied to each component, whole numbers as doubles."""
     sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = (vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & F.coalesce(sound, F.lit(False)))
-            .select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(vector, value).alias("v")))
-    first = rows.orderBy("vec_id").limit(1).select(F.size("v").alias("size"))  # one row
-    return rows.join(F.broadcast(first), F.size("v") == F.col("size")).drop("size")
+
+    def whole(x: Column) -> Column:
+        y = value(x).cast("double")
+        return F.when(F.abs(y) < LARGEST, y).otherwise(F.raise_error(F.lit(f"a component is not below {LARGEST:g}")).cast("double"))
+
+    return (vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & F.coalesce(sound, F.lit(False)))
+            .select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(vector, whole).alias("v")))
+
+
+def whole_part(x: Column) -> Column:
+    """The greatest whole number up to a double, as a double of any size."""
+    return x - F.pmod(x, F.lit(1.0))
 
 
 def fit_cells(vectors: DataFrame) -> Cells | None:
@@ -106,15 +118,18 @@ def candidates(queries: DataFrame, approximations: DataFrame, cells: Cells, k: i
             for i in range(0, len(q), AT_ONCE):
                 up, down = np.maximum(q[i:i + AT_ONCE], 0), np.minimum(q[i:i + AT_ONCE], 0)
                 least, most = up @ low.T + down @ high.T, up @ high.T + down @ low.T
+                slack = (len(dims) + 4) * np.finfo(float).eps * ((up - down) @ np.maximum(np.abs(low), np.abs(high)).T)
+                least, most = least - slack, most + slack
                 sure = np.partition(least, -k, axis=1)[:, -k] if least.shape[1] > k else np.full(len(least), -np.inf)
                 row, col = np.nonzero(most >= sure[:, None])
                 for x, y in zip(at, (own[i + row], ids[col], least[row, col], most[row, col])):
                     x.append(y)
         names = ("query_id", "vec_id", "low", "high")
-        return pa.table({n: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for n, x in zip(names, at)})
+        kinds = (np.int64, np.int64, np.float64, np.float64)
+        return pa.table({n: np.concatenate([np.zeros(0, kind), *x]).astype(kind) for n, x, kind in zip(names, at, kinds)})
 
     grouped = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb"))
-    return grouped.applyInArrow(bound, "query_id long, vec_id long, low long, high long")
+    return grouped.applyInArrow(bound, "query_id long, vec_id long, low double, high double")
 
 
 def _kth(rows: DataFrame, score: str, k: int) -> DataFrame:
@@ -137,7 +152,8 @@ def best_classes(classes: DataFrame, queries: DataFrame, cells: Cells, k: int) -
 
     def exact(pairs: DataFrame) -> DataFrame:
         """Read the exact vectors of these pairs."""
-        product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+        number = lambda x: x.cast("decimal(18,0)")
+        product = F.aggregate(F.zip_with("q", "v", lambda a, b: number(a) * number(b)), F.lit(0).cast(SCORE), lambda s, x: (s + x).cast(SCORE))
         return pairs.join(classes, "vec_id").join(query, "query_id").select("query_id", "vec_id", product.alias("score"))
 
     early = materialise(exact(found.where("first")), "read")
@@ -151,18 +167,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id",
 
     ``value`` turns a component into a whole number; ``is_query`` is a condition on ``vec_id``.
     """
-    spark = vectors.sparkSession
-    rows = materialise(clean_vectors(vectors, vec_id, vector, value).groupBy("vec_id").agg(F.max("v").alias("v")), "vectors")
+    clean = clean_vectors(vectors, vec_id, vector, value).withColumn("size", F.size("v"))
+    rows = materialise(clean.groupBy("vec_id").agg(F.max(F.struct("size", "v")).alias("most")).select("vec_id", "most.*"), "vectors")
+    answer = vectors.sparkSession.createDataFrame([], f"query_id long, rank int, vec_id long, score {SCORE}")
+    for r in rows.select("size").distinct().orderBy("size").collect():  # one row per length
+        answer = answer.unionByName(_of_one_length(rows.where(F.col("size") == r["size"]).drop("size"), is_query, k))
+    return answer
+
+
+def _of_one_length(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
     cells = fit_cells(rows)
-    if cells is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     classes = materialise(rows.groupBy("v").agg(F.min("vec_id").alias("vec_id")), "classes")
     member_of = materialise(rows.join(classes.withColumnRenamed("vec_id", "class"), "v").select("vec_id", "class"), "members")
     place = F.row_number().over(Window.partitionBy("class").orderBy("vec_id"))
     members = member_of.withColumn("place", place).where(F.col("place") <= k + 1).select("vec_id", F.col("class").alias("found"))
     asking = member_of.where(is_query).select(F.col("vec_id").alias("query_id"), "class")
     queries = classes.join(asking.select(F.col("class").alias("vec_id")).distinct(), "vec_id")
-    best = best_classes(classes, queries, cells, k + 1).select(F.col("query_id").alias("class"), F.col("vec_id").alias("found"), "score")
+    if cells is None:  # empty vectors are one class, and all its products are zero
+        best = queries.select(F.col("vec_id").alias("class"), F.col("vec_id").alias("found"), F.lit(0).cast(SCORE).alias("score"))
+    else:
+        best = best_classes(classes, queries, cells, k + 1).select(F.col("query_id").alias("class"), F.col("vec_id").alias("found"), "score")
     pairs = best.join(members, "found").join(asking, "class").where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,19 +10,16 @@ INF, NAN = float("inf"), float("nan")
 
 
 def plain(rows, k, every=20):
-    """Brute force: greatest vector per id, scores to all others."""
+    """Brute force: longest and greatest vector per id, scores to all others of its length."""
     sound = {}
-    first = None
     for i, v in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         if v is not None and all(x is not None and x - x == 0 for x in v):
-            w = [int(64 * x // 1) for x in v]
-            first = len(w) if first is None else first
-            if len(w) == first:
-                sound[i] = max(w, sound.get(i, w))
+            w = [int(64 * float(__import__("numpy").float32(x)) // 1) for x in v]
+            sound[i] = max(w, sound.get(i, w), key=lambda x: (len(x), x))
     out = []
     for q in sound:
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(sound[q], v)), i) for i, v in sound.items() if i != q)
+            scored = sorted((-sum(a * b for a, b in zip(sound[q], v)), i) for i, v in sound.items() if i != q and len(v) == len(sound[q]))
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -30,8 +27,8 @@ def plain(rows, k, every=20):
 def found(spark, rows, k=20):
     prepare(spark)
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("own")).withColumn("v", F.lit(1))
-    got = T.top_k(frame, F.col("vec_id") % 20 == 0, k, value=lambda x: F.floor(x.cast("double") * 64))
-    return sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect())
+    got = T.top_k(frame, F.col("vec_id") % 20 == 0, k, value=lambda x: T.whole_part(x.cast("double") * 64))
+    return sorted((r.query_id, r["rank"], r.vec_id, int(r.score)) for r in got.collect())
 
 
 def vectors(seed, n, size):
@@ -63,9 +60,18 @@ def test_odd_vectors(spark):
     assert found(spark, []) == [] and found(spark, [(0, None)]) == []
 
 
+def test_every_finite_vector_takes_part(spark):
+    """Several lengths, the empty one first, and components whose products no long or double holds."""
+    rows = [(0, []), (1, []), (20, []), (40, [1.0]), (41, [0.5])] + [(i + 60, v) for i, v in vectors(1, 60, 3)] + [(i + 200, v) for i, v in vectors(2, 40, 5)]
+    rows += [(300, [1e10, -1e10, 3.0]), (301, [1e10, 1e10, 0.25]), (302, [-1e10, 2.0, 1e-3]), (303, [1.5e10, 1.5e10, 0.5])]
+    assert found(spark, rows) == plain(rows, 20)
+    with pytest.raises(Exception, match="not below"):
+        found(spark, [(0, [1e30]), (1, [1.0])])
+
+
 def test_bounds_hold_and_rule_out(spark):
     prepare(spark)
-    rows = spark.createDataFrame([(i, [int(64 * x) for x in v]) for i, v in vectors(5, 400, 16)], "vec_id long, v array<long>")
+    rows = spark.createDataFrame([(i, [float(int(64 * x)) for x in v]) for i, v in vectors(5, 400, 16)], "vec_id long, v array<double>")
     cells = T.fit_cells(rows)
     held = T.candidates(rows.where("vec_id % 50 = 0"), T.approximate(rows, cells), cells, 5).collect()
     values = {r.vec_id: r.v for r in rows.collect()}
