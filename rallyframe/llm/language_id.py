@@ -32,6 +32,7 @@ SWITCH = 12.0            # cost of changing the language between two words, in n
 EXCLUDED = 30.0          # cost of a word in a language that does not use its script
 SCRIPT_SHARE = 0.01      # a language uses the scripts with this share of its words
 STEPS = 32               # words of a block that Viterbi walks at once
+TABLE = 1 << 24           # entries of the table of blocks by languages by languages, at most
 
 # Blocks of Unicode by script, first and last code point. Letters outside them are of the script "other".
 SCRIPTS = {
@@ -179,7 +180,8 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float) ->
     """Best language of every word: the sum of scores less ``switch`` per change, for each text alone.
 
     Blocks of STEPS words run side by side: first each block's best sum from any language before it
-    to any at its end, then the chain of blocks of a text, then the words inside each block.
+    to any at its end, then the chain of blocks of a text, then the words inside each block. Where so
+    many languages make that table larger than TABLE, the words of a text follow one another, texts side by side.
     """
     n, k = scores.shape
     if not n:
@@ -188,6 +190,8 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float) ->
     blocks = -(-words // STEPS)
     first_word, first_block = np.cumsum(words) - words, np.cumsum(blocks) - blocks
     c = int(blocks.sum())
+    if c * k * k > TABLE:
+        return _word_by_word(scores, words, first_word, switch)
     place = np.arange(n) - first_word[doc]
     block, step = first_block[doc] + place // STEPS, place % STEPS
     x = np.zeros((STEPS, c, k), np.float32)
@@ -213,7 +217,7 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float) ->
         before[at] = entry[at, state[who]]
         state[who] = before[at]
     value = x[0] - change[before]
-    back = np.zeros((STEPS, c, k), np.uint8)
+    back = np.zeros((STEPS, c, k), np.min_scalar_type(k))
     stay = np.arange(k)[None, :]
     for t in range(1, STEPS):
         top = value.argmax(1)
@@ -227,6 +231,31 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float) ->
     return path[step, block]
 
 
+def _word_by_word(scores: np.ndarray, words: np.ndarray, first_word: np.ndarray, switch: float) -> np.ndarray:
+    n, k = scores.shape
+    back, stay = np.zeros((n, k), np.min_scalar_type(k)), np.arange(k)[None, :]
+    order = np.argsort(-words, kind="stable")            # longest texts first: those still open come first
+    still = len(words) - np.searchsorted(words[order][::-1], np.arange(int(words.max()) + 1), "right")
+    value = np.zeros((len(words), k))
+    for t in range(int(words.max())):
+        who = order[:still[t]]
+        at, now = first_word[who] + t, value[who]
+        if t:
+            top = now.argmax(1)
+            moved = now[np.arange(len(who)), top][:, None] - switch
+            back[at] = np.where(now >= moved, stay, top[:, None])
+            now = np.maximum(now, moved)
+        now = now + scores[at]
+        value[who] = now - now.max(1, keepdims=True)
+    path, state = np.zeros(n, np.int64), value.argmax(1)
+    for t in range(int(words.max()) - 1, -1, -1):
+        who = order[:still[t]]
+        at = first_word[who] + t
+        path[at] = state[who]
+        state[who] = back[at, state[who]]
+    return path
+
+
 def _labeller(model: Model, switch: float):
     """Texts to (lang_pred, score, spans)."""
     k, span_type = len(model.languages), pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])

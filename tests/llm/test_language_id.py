@@ -33,11 +33,14 @@ def test_viterbi_is_the_best_path(n):
     assert got == pytest.approx(best_by_trying(scores, 2.0), abs=1e-4)
 
 
-def test_viterbi_over_blocks_and_texts_equals_word_by_word():
+@pytest.mark.parametrize(("languages", "table"), [(4, lid.TABLE), (4, 0), (300, lid.TABLE), (300, 0)])
+def test_viterbi_over_blocks_and_texts_equals_word_by_word(monkeypatch, languages, table):
+    """Both ways, and with more languages than a byte numbers."""
+    monkeypatch.setattr(lid, "TABLE", table)
     rng = np.random.default_rng(3)
     sizes = [0, 1, 31, 32, 33, 200, 0, 5]
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    scores = rng.normal(0, 2, (len(doc), 4)).astype(np.float32)
+    scores = rng.normal(0, 2, (len(doc), languages)).astype(np.float32)
     path = lid.viterbi(scores, doc, len(sizes), 3.0)
     for d in range(len(sizes)):
         own, got = scores[doc == d].astype(float), path[doc == d]

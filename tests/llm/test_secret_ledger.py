@@ -83,3 +83,29 @@ def test_redaction_merges_overlaps(spark, ledger):
     frame = spark.createDataFrame([(f"é token={key} and {key}.",), ("clean",), (None,)], "text string")
     found = S.scan_texts(frame, ledger).select(S.redacted(F.col("text"), F.col("found")).alias("t")).collect()
     assert {r.t for r in found} == {"é [SECRET] and [SECRET].", "clean", None}
+
+
+def test_many_hits_are_masked_in_one_join(spark):
+    """Overlapping spans of different kinds are one mask; characters beyond the basic plane keep their places; 20,000 hits take seconds."""
+    import random
+    import time
+
+    draw = random.Random(1)
+    rows = []
+    for i in range(40):
+        text = "".join(draw.choice("aé語😀 x") for _ in range(draw.randrange(0, 80)))
+        spans = sorted((a, 0, a + draw.randrange(1, 9), "k") for a in (draw.randrange(max(1, len(text))) for _ in range(draw.randrange(0, 7))) if text)
+        rows.append((i, text, [(a, r, min(b, len(text)), k) for a, r, b, k in spans]))
+    rows.append((99, None, []))
+    rows.append((100, "😀 token=abcdefgh1234, " * 20_000, [(22 * j + 2, 0, 22 * j + 20, "k") for j in range(20_000)]))
+    frame = spark.createDataFrame(rows, "id int, text string, found array<struct<start: long, rank: int, end: long, kind: string>>")
+    begun = time.time()
+    got = {r.id: r.t for r in frame.select("id", S.redacted(F.col("text"), F.col("found")).alias("t")).collect()}
+    assert time.time() - begun < 60
+    for i, text, spans in rows:
+        out, at = [], 0
+        for a, _, b, _ in spans:
+            if a >= at:
+                out += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert got[i] == (None if text is None else "".join(out) + text[at:]), i
