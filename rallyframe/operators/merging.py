@@ -188,22 +188,35 @@ def settle_by_key_variants(active: DataFrame, source: DataFrame, order: str, pay
         *[F.col(f"b.src.{c}").alias(f"source_{c}") for c in payload])
 
 
+ANCHOR = 4   # characters of the piece that stands for a map key
+
+
 def surface_text_lookup(texts: DataFrame, surface_map: DataFrame, longest: bool = True) -> DataFrame:
     """Surface of the map key contained in a text: the longest key, or the first of the map.
 
-    A substring test against every key would be a cross join. Instead each distinct text is
-    cut into its pieces of the lengths that occur among the keys, and pieces join keys by
-    equality. ``texts``: text. ``surface_map``: map_key, map_value, position.
+    A substring test against every key would be a cross join. Instead each distinct text is cut into
+    pieces of one length (``ANCHOR``, or the shortest key's), and each key is represented by the one of its pieces that the
+    fewest texts have. Texts and keys meet on that piece, and ``contains`` confirms the hit. A key
+    with a piece that no text has meets nothing. ``texts``: text. ``surface_map``: map_key, map_value, position;
+    an empty key is none.
     """
-    lengths = surface_map.agg(F.collect_set(F.length("map_key")).alias("lengths"))  # one row, at most one entry per length
-    pieces = (
-        texts.select("text").distinct().join(F.broadcast(lengths))
-        .select("text", F.explode("lengths").alias("n")).where(F.length("text") >= F.col("n"))
-        .select("text", "n", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("n") + 1)).alias("i"))
-        .select("text", F.expr("substring(text, i, n)").alias("map_key")))
+    keys = surface_map.where("map_key <> ''")
+    shortest = keys.agg(F.min(F.length("map_key"))).first()[0]
+    size = min(ANCHOR, shortest or ANCHOR)
+
+    def pieces(column: str) -> Column:
+        starts = F.sequence(F.lit(1), F.length(column) - (size - 1))
+        return F.when(F.length(column) >= size, F.array_distinct(F.transform(starts, lambda i: F.substr(F.col(column), i, F.lit(size)))))
+
+    cut = materialise(texts.select("text").distinct().select("text", F.explode(pieces("text")).alias("piece")), "pieces")
+    common = cut.groupBy("piece").agg(F.count("*").alias("texts"))
+    own = keys.select("map_key").distinct().select("map_key", F.explode(pieces("map_key")).alias("piece"))
+    rarest = F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "piece")).alias("best")
+    anchors = own.join(common, "piece", "left").groupBy("map_key").agg(rarest).where("best.texts > 0").select("map_key", "best.piece")
+    hits = cut.join(anchors, "piece").where(F.contains("text", "map_key")).select("text", "map_key")
     rank = F.struct((-F.length("map_key")).alias("len"), "map_key", "map_value") if longest else F.struct(
         "position", "map_key", "map_value")
-    return (pieces.join(surface_map, "map_key").groupBy("text").agg(F.min(rank).alias("b"))
+    return (hits.join(keys, "map_key").groupBy("text").agg(F.min(rank).alias("b"))
             .select("text", F.col("b.map_key").alias("map_key"), F.col("b.map_value").alias("surface")))
 
 
@@ -229,6 +242,47 @@ def trace_rows(sides: DataFrame, queries: DataFrame) -> DataFrame:
     return keyed.unionByName(named.join(own_keys, ["query", "player_key"], "left_anti"))
 
 
+FEW_IDS = 50           # so many ids are looked up in the files of the index; more are joined
+ROW_GROUP = 1 << 20    # bytes of a row group of the index: what one lookup reads at least
+INDEX_KEYS = {"by_key": "player_key", "by_name": "name_norm"}
+
+
+def index_sides(sides: DataFrame, path: str, order: list[str]) -> None:
+    """Write the side table twice, sorted by key and by normalised name, with a Bloom filter of that column in each row group.
+
+    ``order`` ends in a unique column, so that a player with many rows is spread over files like any other.
+    """
+    named = sides.withColumn("name_norm", T.normalize_name(F.col("name")))
+    for table, column in INDEX_KEYS.items():
+        keyed = named.repartitionByRange(column, *order).sortWithinPartitions(column, *order)
+        (keyed.write.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.block.size", str(ROW_GROUP))
+         .parquet(f"{path}/{table}"))
+
+
+def trace_few(spark, path: str, queries: DataFrame) -> DataFrame:
+    """``trace_rows`` over an index: with few ids only row groups that may hold one are read.
+
+    The ids reach the scan as equality tests, which smallest and largest values and Bloom filters answer
+    without reading rows.
+    """
+    def held(table: str, kind: str, q: DataFrame) -> DataFrame:
+        column, rows = INDEX_KEYS[table], spark.read.parquet(f"{path}/{table}")
+        asked = q.where(F.col("kind") == kind).select("query", F.col("value").alias(column)).distinct()
+        values = [r[0] for r in asked.select(column).distinct().limit(FEW_IDS + 1).collect()]  # FEW_IDS values and one
+        if len(values) <= FEW_IDS:
+            test = F.lit(False)
+            for value in sorted(values):
+                test = test | (F.col(column) == value)
+            rows = rows.where(test)
+        return rows.join(asked, column)
+
+    q = _traced(queries)
+    own_keys = q.where("kind = 'key'").select("query", F.col("value").alias("player_key")).distinct()
+    keyed = held("by_key", "key", q).withColumn("matched_by", F.lit("key"))
+    named = held("by_name", "name", q).withColumn("matched_by", F.lit("name"))
+    return keyed.unionByName(named.join(own_keys, ["query", "player_key"], "left_anti")).drop("name_norm")
+
+
 def trace_ids(sides: DataFrame, queries: DataFrame) -> DataFrame:
     """Appearances of queried keys or exact names, counted per key and source."""
     q = _traced(queries)

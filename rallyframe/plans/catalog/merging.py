@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import classify as C
@@ -11,6 +12,7 @@ from rallyframe.operators import merging as M
 from rallyframe.operators.sides import explode_sides
 from rallyframe.plans import views
 from rallyframe.plans.registry import query
+from rallyframe.workspace import new_path
 
 
 def closure(spark, sf):
@@ -186,6 +188,22 @@ def d12_rows(spark, sf):
     return M.trace_rows(sides, queries)
 
 
+@query("d12_trace_few", """
+WITH s AS (SELECT seq, match_date, level, surface, winner_key AS player_key, winner_name AS name, loser_key AS opponent_key, loser_name AS opponent_name, true AS won FROM matches_v
+  UNION ALL SELECT seq, match_date, level, surface, loser_key, loser_name, winner_key, winner_name, false FROM matches_v),
+q AS (SELECT row_number() OVER (ORDER BY count(*) DESC, player_key) AS query, player_key AS k, min(name) AS name FROM s GROUP BY player_key QUALIFY query <= 20)
+SELECT q.query, s.*, CASE WHEN player_key = k THEN 'key' ELSE 'name' END AS matched_by FROM q JOIN s ON s.player_key = q.k OR s.name = q.name""")
+def d12_few(spark, sf):
+    """All rows of the twenty players with most matches, and of others of their name, read from an index."""
+    sides = explode_sides(views.matches(spark, sf), ["seq", "match_date", "level", "surface"])
+    path = new_path(spark, "side-index")
+    M.index_sides(sides, path, ["match_date", "seq"])
+    most = spark.read.parquet(f"{path}/by_key").groupBy("player_key").agg(F.count("*").alias("n"), F.min("name").alias("name"))
+    top = most.orderBy(F.desc("n"), "player_key").limit(20)
+    queries = top.select(F.row_number().over(Window.orderBy(F.desc("n"), "player_key")).alias("query"), "player_key", "name")  # twenty rows
+    return M.trace_few(spark, path, queries)
+
+
 @query("d13_many_to_one_check", """
 SELECT gender || ':history:' || (user_id // 5) AS target_key, count(DISTINCT api_key) AS feed_keys, min(api_key) AS first_key, max(api_key) AS last_key
 FROM mapping_v WHERE target_key IS NOT NULL GROUP BY 1 HAVING count(DISTINCT api_key) > 3""")

@@ -80,3 +80,61 @@ def test_surface_lookup_prefers_the_longest_key_or_the_first(spark):
     smap = spark.createDataFrame([("london", "hard", 1), ("london queens", "grass", 2), ("paris", "clay", 0)], "map_key string, map_value string, position int")
     assert [tuple(r) for r in M.surface_text_lookup(texts, smap).collect()] == [("atp london queens club", "london queens", "grass")]
     assert [tuple(r) for r in M.surface_text_lookup(texts, smap, longest=False).collect()] == [("atp london queens club", "london", "hard")]
+
+
+def test_surface_lookup_equals_contains(spark):
+    """Keys shorter than the piece, without a hit, twice in a text, and an empty one."""
+    import random
+
+    draw = random.Random(2)
+    letters = lambda n: "".join(draw.choice("abc ") for _ in range(n))
+    keys = sorted({letters(draw.randrange(1, 9)) for _ in range(40)} - {""}) + ["zzzzzz"]
+    texts = [letters(draw.randrange(0, 40)) for _ in range(60)]
+    for own in (keys, [k for k in keys if len(k) > 5]):
+        smap = spark.createDataFrame([(k, f"s{i}", i) for i, k in enumerate(own)] + [("", "none", 99)], "map_key string, map_value string, position int")
+        for longest in (True, False):
+            want = {}
+            for t in set(texts):
+                held = [(-len(k) if longest else i, k, f"s{i}") for i, k in enumerate(own) if k in t]
+                if held:
+                    want[t] = min(held)[1:]
+            found = M.surface_text_lookup(spark.createDataFrame([(t,) for t in texts], "text string"), smap, longest)
+            assert {r.text: (r.map_key, r.surface) for r in found.collect()} == want
+
+
+def test_few_ids_read_few_rows(spark):
+    """The same rows as the join, and far fewer of them read by the scan."""
+    from rallyframe.workspace import new_path
+
+    sides = spark.range(60_000).select(
+        F.concat(F.lit("k"), F.col("id") % 3000).alias("player_key"), F.concat(F.lit("Player No. "), F.col("id") % 2999).alias("name"), F.col("id").alias("seq"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    queries = spark.createDataFrame([(1, "k17", "Player No. 5"), (2, "k2999", ""), (3, "none", "nobody")], "query int, player_key string, name string")
+    path = new_path(spark, "index")
+    M.index_sides(sides, path, ["seq"])
+    found = M.trace_few(spark, path, queries)
+    columns = ["query", "player_key", "name", "seq", "payload", "matched_by"]
+    want = sorted(tuple(r[c] for c in columns) for r in M.trace_rows(sides, queries).collect())
+    assert sorted(tuple(r[c] for c in columns) for r in found.collect()) == want and len(want) > 50
+    many = queries.unionByName(spark.range(10, 80).select(F.col("id").cast("int").alias("query"), F.concat(F.lit("k"), "id").alias("player_key"), F.lit("").alias("name")))
+    assert M.trace_few(spark, path, many).count() == M.trace_rows(sides, many).count()  # beyond FEW_IDS
+
+    def scanned(frame):
+        frame.collect()
+        todo, rows = [frame._jdf.queryExecution().executedPlan()], 0
+        while todo:
+            node = todo.pop()
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                todo.append(node.executedPlan())
+                continue
+            if "QueryStage" in name:
+                todo.append(node.plan())
+                continue
+            if name.startswith("Scan parquet"):
+                rows += node.metrics().get("numOutputRows").get().value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        return rows
+
+    rows = spark.read.parquet(f"{path}/by_key")
+    assert scanned(rows.where("player_key = 'k17'")) < 0.2 * scanned(rows)
