@@ -1,10 +1,12 @@
 """Toxicity: a factorization machine over hashed terms.
 
-Score = w0 + sum of w[i] + sum over pairs of <v[i], v[j]>, over the distinct terms of a text, through
-the logistic function. The pairs let two terms that are harmless alone count together.
+Score = w0 + sum of w[i] x[i] + sum over pairs of <v[i], v[j]> x[i] x[j], over the distinct terms of a text,
+through the logistic function. The pairs let two terms that are harmless alone count together.
 
-Terms are whole words and word beginnings of 4, 5 and 6 bytes. A null or empty text has no terms and
-scores by w0 alone. Repeated rows and words change nothing; extra columns pass through; without
+Terms are whole words and word beginnings of 4, 5 and 6 bytes, hashed. Every term in at least LEAST_DOCS documents of
+the sample has a weight and factors. A term that goes with the label by itself has x = 1; the others,
+of which a text may have thousands, share x = 1 / root of their number, so that what only their pairs tell
+is learnt and their noise stays small. A null or empty text has no terms and scores by w0 alone; long texts are one row. Repeated rows and words change nothing; extra columns pass through; without
 labelled rows every score is 0.
 """
 
@@ -25,9 +27,8 @@ from .common import Words, with_text_columns
 
 TRAIN_DOCS = 20_000   # at most so many labelled documents are fitted on
 BITS = 20             # hashed terms
-TERMS = 4096          # the terms most associated with the label are kept
 LEAST_DOCS = 5        # a term needs so many of the sample's documents
-SURPRISE = 12.0       # and so large a chi-square against the label
+SURPRISE = 12.0       # a term of so large a chi-square against the label counts in full
 FACTORS = 4
 PARTS = 8             # machines that learn side by side and are averaged
 ROUNDS = 4
@@ -38,12 +39,19 @@ BEGINNINGS = (4, 5, 6)
 
 @dataclass
 class Machine:
-    place: np.ndarray    # bucket -> row of w and v, or -1
+    place: np.ndarray    # bucket -> row of the arrays below, or -1
+    full: np.ndarray     # whether a term counts in full
     w0: float
     w: np.ndarray
     v: np.ndarray
 
 
+def amounts(full: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """x of each term of some documents: 1, or the root of one part of the document's other terms."""
+    others = np.bincount(doc[~full], minlength=n_docs)
+    return np.where(full, 1.0, 1.0 / np.sqrt(np.maximum(others, 1)[doc]))
+
+
 def _terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Document and bucket of every term occurrence."""
     size = words.ends - words.starts
@@ -73,17 +81,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     taken = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")  # at most TRAIN_DOCS rows of 16 bytes
     sample = materialise(with_text_columns(taken, "text", [("terms", T.ArrayType(T.IntegerType()))], terms, ["doc_id", "label"]), "terms")
     n, positive = sample.agg(F.count("*"), F.sum("label")).first()
+    place = np.full(1 << BITS, -1, np.int32)
     if not n:
-        return Machine(np.full(1 << BITS, -1, np.int32), -50.0, np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
+        return Machine(place, np.zeros(0, bool), -50.0, np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
     rate = min(max(positive / n, 0.5 / n), 1 - 0.5 / n)
     w0 = float(np.log(rate / (1 - rate)))
     counts = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
     surprise = F.pow(F.col("p") - F.col("n") * rate, 2) / (F.col("n") * rate * (1 - rate))
-    chosen = [r.term for r in counts.where((F.col("n") >= LEAST_DOCS) & (surprise >= SURPRISE)).orderBy(surprise.desc(), "term").limit(TERMS).select("term").collect()]
-    place = np.full(1 << BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen), dtype=np.int32)
-    machine = Machine(place, w0, np.zeros(len(chosen), np.float32),
-                      np.random.default_rng(7).normal(0, START, (len(chosen), FACTORS)).astype(np.float32))
+    chosen = counts.where(F.col("n") >= LEAST_DOCS).select("term", (surprise >= SURPRISE).alias("full")).toArrow().sort_by("term")  # 2**BITS rows at most
+    m = chosen.num_rows
+    place[chosen.column("term").to_numpy()] = np.arange(m, dtype=np.int32)
+    machine = Machine(place, chosen.column("full").to_numpy(), w0, np.zeros(m, np.float32),
+                      np.random.default_rng(7).normal(0, START, (m, FACTORS)).astype(np.float32))
     rows = materialise(_placed(sample, place), "places")
     for turn in range(ROUNDS):
         machine = _average(rows, machine, turn)
@@ -124,22 +133,24 @@ def _average(rows: DataFrame, machine: Machine, turn: int) -> Machine:
     weights = np.array([r.rows for r in learnt], float)
     flat = sum(np.frombuffer(r.flat, np.float32) * (w / weights.sum()) for r, w in sorted(zip(learnt, weights), key=lambda x: bytes(x[0].flat)))
     m = len(machine.w)
-    return Machine(machine.place, float(flat[0]), flat[1:m + 1].astype(np.float32), flat[m + 1:].reshape(m, FACTORS).astype(np.float32))
+    return Machine(machine.place, machine.full, float(flat[0]), flat[1:m + 1].astype(np.float32), flat[m + 1:].reshape(m, FACTORS).astype(np.float32))
 
 
 def _descend(places, labels, order, now: Machine, turn: int):
     """Adagrad over the documents of a part, in a shuffled order."""
     w0, w, v = now.w0, now.w.astype(float), now.v.astype(float)
     g0, gw, gv = 1.0, np.ones_like(w), np.ones_like(v)
+    x = [amounts(now.full[at], np.zeros(len(at), np.int64), 1)[:, None] for at in places]
     for epoch in range(EPOCHS):
         for i in np.random.default_rng(100 * turn + epoch).permutation(order):
-            at = places[i]
+            at, much = places[i], x[i]
             own = v[at]
-            total = own.sum(0)
-            z = w0 + w[at].sum() + 0.5 * (total @ total - (own * own).sum())
+            part = own * much
+            total = part.sum(0)
+            z = w0 + w[at] @ much[:, 0] + 0.5 * (total @ total - (part * part).sum())
             err = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels[i]
-            dw = err + DECAY * w[at]
-            dv = err * (total - own) + DECAY * own
+            dw = err * much[:, 0] + DECAY * w[at]
+            dv = err * much * (total - part) + DECAY * own
             g0 += err * err
             gw[at] += dw * dw
             gv[at] += dv * dv
@@ -156,9 +167,10 @@ def _scorer(machine: Machine):
         known = machine.place[code] >= 0
         doc, code = _distinct(doc[known], code[known])
         at = machine.place[code]
-        z = machine.w0 + np.bincount(doc, machine.w[at], words.count)
+        much = amounts(machine.full[at], doc, words.count)
+        z = machine.w0 + np.bincount(doc, machine.w[at] * much, words.count)
         for f in range(machine.v.shape[1]):
-            own = machine.v[at, f].astype(float)
+            own = machine.v[at, f] * much
             z += 0.5 * (np.bincount(doc, own, words.count) ** 2 - np.bincount(doc, own * own, words.count))
         score = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
         return [pa.array(np.where(z <= -50, 0.0, score))]
@@ -167,5 +179,5 @@ def _scorer(machine: Machine):
 
 def score_toxicity(docs: DataFrame, machine: Machine, text: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
     """Adds the probability that a text is toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # 2**BITS places and TERMS x (1 + FACTORS) weights
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # 2**BITS places and weights at most
     return with_text_columns(docs, text, [(name, T.DoubleType())], lambda: _scorer(shared.value), keep)

@@ -34,6 +34,45 @@ def test_pairs_of_harmless_words_are_learnt(spark):
     assert wrong <= 4
 
 
+def test_exclusive_or_of_two_words_is_learnt(spark):
+    """Neither word goes with the label alone; only one of them without the other is toxic."""
+    prepare(spark)
+    draw, rows, labels = random.Random(4), [], []
+    for i in range(2400):
+        a, b = i % 2, i // 2 % 2
+        words = prose(i, 30).split() + ["rotten"] * a + ["islanders"] * b
+        draw.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, float(a != b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.fit(docs.where("doc_id < 2000"), spark.createDataFrame(labels, "doc_id long, label double").where("doc_id < 2000"))
+    scored = toxicity.score_toxicity(docs.where("doc_id >= 2000"), machine).collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 4 in (1, 2)) for r in scored) > 0.95 * len(scored)
+
+
+def test_score_is_the_plain_sum_over_pairs():
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from rallyframe.llm.common import Words
+
+    rng, texts = np.random.default_rng(5), [prose(i, 8) for i in range(5)] + ["", None, "one one two"]
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    codes = np.unique(toxicity._terms(Words(pa.array(texts)))[1])[::2]      # every other term is known
+    place[codes] = np.arange(len(codes))
+    machine = toxicity.Machine(place, rng.random(len(codes)) < 0.3, -0.4, rng.normal(0, 1, len(codes)).astype(np.float32), rng.normal(0, 1, (len(codes), 4)).astype(np.float32))
+    got = toxicity._scorer(machine)(pa.array(texts))[0].to_pylist()
+    for text, score in zip(texts, got):
+        at = sorted({place[c] for c in toxicity._terms(Words(pa.array([text])))[1]} - {-1})
+        others = sum(not machine.full[i] for i in at)
+        x = {i: 1.0 if machine.full[i] else 1 / math.sqrt(others) for i in at}
+        z = machine.w0 + sum(float(machine.w[i]) * x[i] for i in at)
+        z += sum(float(np.dot(machine.v[i].astype(float), machine.v[j])) * x[i] * x[j] for i in at for j in at if i < j)
+        assert abs(score - 1 / (1 + math.exp(-z))) < 1e-6
+
+
 def test_toxicity_of_odd_texts(spark, odd, clashing, none):
     labels = spark.createDataFrame([(5, 1.0), (7, 0.0), (9, 0.0), (1, 0.0)], "doc_id long, label double")
     machine = toxicity.fit(odd, labels)
