@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rallyframe import constants as K
 from rallyframe.functions import text as T
 from rallyframe.functions.similarity import seq_ratio_above
 from rallyframe.functions.values import rounded
 from rallyframe.operators.identity import PAIR, _in_order
+from rallyframe.operators.sides import explode_sides, most_common, top_values
 from rallyframe.workspace import materialise
 
 GLOBAL_MIN, GLOBAL_TOP = 0.70, 5
@@ -269,5 +271,39 @@ def search_deep(feed: DataFrame, canonical: DataFrame) -> DataFrame:
     return _with_players(ranked_search(scored, canonical, DEEP_TOP, deep=True), feed)
 
 
+# --- the pool of the deep search -------------------------------------------
+def candidate_pool(tables: dict[str, DataFrame], feed: str = "history") -> DataFrame:
+    """Players of several match tables: most common name, appearances per table and in all, distinct matches, first and last day, tournaments.
+
+    A table has match_id, match_date, gender, tourney_name and the keys and names of both sides; where it also has a
+    ``feed``, rows of other feeds do not count. Sides without key or name, pairs of players and unknown
+    genders are left out. A match that several tables hold is an appearance in each and one match. Counts combine
+    before any shuffle, so a player with many rows is one row per task.
+    """
+    sides = None
+    for name, table in tables.items():
+        own = table.where(F.coalesce(F.trim("feed"), F.lit("")).isin("", feed)) if "feed" in table.columns else table
+        part = explode_sides(own, ["match_id", "match_date", "gender", "tourney_name"]).withColumn("table", F.lit(name))
+        sides = part if sides is None else sides.unionByName(part)
+    filled = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    sides = sides.where(filled("player_key") & filled("name") & ~F.contains("name", F.lit("/")) & F.col("gender").isin(*K.GENDERS))
+    sides = sides.select("player_key", "gender", F.trim("name").alias("name"), "table", "match_id", "match_date", F.nullif(F.trim("tourney_name"), F.lit("")).alias("tourney_name"))
+    sides = materialise(sides, "pool-sides")
+    per = sides.groupBy("player_key", "table").agg(F.count("*").alias("n"), F.min("match_date").alias("low"), F.max("match_date").alias("high"), F.min("gender").alias("gender"))
+    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("table", "n"))), lambda t: F.concat_ws("=", t["table"], t["n"].cast("string"))), ",")
+    players = per.groupBy("player_key").agg(F.min("gender").alias("gender"), F.sum("n").alias("appearances"), shown.alias("tables"),
+                                            F.min("low").alias("first_day"), F.max("high").alias("last_day"))
+    distinct = sides.groupBy("player_key", "match_id").agg(F.lit(1).alias("one")).groupBy("player_key").agg(F.count("*").alias("matches"))
+    return (players.join(distinct, "player_key").join(most_common(sides, ["player_key"], "name"), "player_key")
+            .join(top_values(sides.where("tourney_name IS NOT NULL"), "player_key", "tourney_name", 3), "player_key", "left"))
+
+
+def search_pool(feed: DataFrame, pool: DataFrame) -> DataFrame:
+    """The deep search over a pool, each candidate with what the pool knows of it."""
+    found = search_deep(feed, pool.select("player_key", "gender", "name", "matches"))
+    facts = pool.select(F.col("player_key").alias("cand_key"), F.col("name").alias("cand_name"), "appearances", "tables", "first_day", "last_day")
+    return found.join(facts, "cand_key", "left")
+
+
 def priority(atp: Column, slam: Column, challenger: Column, total: Column) -> Column:
     return F.when((atp > 0) | (slam > 0), "high").when((challenger >= 3) | (total >= 8), "medium").otherwise("low")

@@ -46,15 +46,17 @@ def import_history(raw: DataFrame) -> DataFrame:
 
 # --- fixtures --------------------------------------------------------------
 def resolve_surface(fixtures: DataFrame, tournaments: DataFrame) -> DataFrame:
-    """Own fields in order, tournament metadata, then a guess from the names; with its provenance."""
+    """Own fields in order, metadata of the tournament (else of the league), then a guess from the names; with its provenance."""
     raw = F.coalesce(T.first_nonempty(*[F.col(c) for c in ("event_surface", *OTHER_SURFACE_FIELDS) if c in fixtures.columns]), F.lit(""))
     meta = tournaments.select(
-        "tournament_key", F.col("tournament_sourface").alias("meta_raw"),
+        F.col("tournament_key").alias("meta_key"), F.col("tournament_sourface").alias("meta_raw"),
         F.nullif(C.surface_substring(F.col("tournament_sourface")), F.lit("unknown")).alias("meta_surface"))
     own = F.nullif(C.surface_substring(raw), F.lit("unknown"))
-    names = C.piped_text(F.col("tournament_name"))
+    have = lambda *columns: [F.col(c) for c in columns if c in fixtures.columns]
+    names = C.piped_text(*have("league_name", "tournament_name", "event_name"))
     guess = F.nullif(C.surface_substring(names), F.lit("unknown"))
-    return fixtures.join(meta, "tournament_key", "left").select(
+    own_key = T.first_nonempty(*have("tournament_key", "league_key"))
+    return fixtures.join(meta, own_key == F.col("meta_key"), "left").select(
         *fixtures.columns, F.coalesce(own, "meta_surface", guess, F.lit("unknown")).alias("surface"),
         F.when(own.isNotNull(), raw)
         .when(F.col("meta_surface").isNotNull(), F.concat(F.lit("tournament_metadata:"), "meta_raw"))

@@ -14,6 +14,7 @@ from rallyframe.operators import ladders
 from rallyframe.operators import review as R
 from rallyframe.operators.sides import explode_sides
 from rallyframe.plans import views
+from rallyframe.plans.catalog.imports import history as imported_history
 from rallyframe.plans.catalog.merging import closure
 from rallyframe.plans.registry import query
 from rallyframe.workspace import materialise
@@ -176,6 +177,34 @@ def e8(spark, sf):
     return S.search_deep(feed_players(spark, sf), own_players(spark, sf))
 
 
+def pool_tables(spark, sf):
+    """The four kinds of table that hold players: listed years, match lines, the merged table of all feeds, raw history files."""
+    columns = ["match_id", "match_date", "gender", "tourney_name", "winner_key", "winner_name", "loser_key", "loser_name"]
+    own = views.matches(spark, sf).withColumn("match_id", F.col("seq"))
+    other = flat_feed(spark, sf).withColumn("match_id", F.col("seq"))
+    merged = own.select(*columns, F.lit("history").alias("feed")).unionByName(other.select(*columns, F.lit("api").alias("feed")))
+    raw = imported_history(spark, sf).withColumn("match_id", F.col("seq")).withColumn("match_date", F.col("date").try_cast("date"))
+    return {"listed": own.where("winner_key <> loser_key").select(*columns), "lines": own.select(*columns), "merged": merged, "raw": raw.select(*columns)}
+
+
+@query("e8_candidate_pool", """
+WITH t AS (SELECT 'listed' AS tab, seq, match_date, gender, tourney_name, winner_key, winner_name, loser_key, loser_name FROM valid_v
+  UNION ALL SELECT x.tab, seq, match_date, gender, tourney_name, winner_key, winner_name, loser_key, loser_name FROM matches_v, (VALUES ('lines'), ('merged')) x(tab)
+  UNION ALL SELECT 'raw', seq, TRY_CAST(date AS DATE), gender, tourney_name,
+    gender || CASE WHEN winner_id = '' THEN ':name:' || replace(lower(winner_name), ' ', '_') ELSE ':history:' || winner_id END, winner_name, gender || ':history:' || loser_id, loser_name FROM history_import_v),
+s AS (SELECT tab, seq, match_date, gender, tourney_name, winner_key AS player_key, winner_name AS name FROM t UNION ALL SELECT tab, seq, match_date, gender, tourney_name, loser_key, loser_name FROM t),
+k AS (SELECT * FROM s WHERE trim(name) <> '' AND trim(player_key) <> ''),
+per AS (SELECT player_key, tab, count(*) AS n, min(match_date) AS low, max(match_date) AS high, min(gender) AS gender FROM k GROUP BY 1, 2),
+tops AS (SELECT player_key, string_agg(tourney_name || '=' || n, ',' ORDER BY n DESC, tourney_name) AS top_tourney_name
+  FROM (SELECT player_key, tourney_name, count(*) AS n FROM k GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY player_key ORDER BY n DESC, tourney_name) <= 3) GROUP BY 1),
+said AS (SELECT player_key, name FROM (SELECT player_key, name, count(*) AS n FROM k GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY player_key ORDER BY n DESC, name) = 1))
+SELECT player_key, min(per.gender) AS gender, sum(n)::BIGINT AS appearances, string_agg(tab || '=' || n, ',' ORDER BY tab) AS tables, min(low) AS first_day, max(high) AS last_day,
+  (SELECT count(DISTINCT seq) FROM k WHERE k.player_key = per.player_key) AS matches, any_value(said.name) AS name, any_value(top_tourney_name) AS top_tourney_name
+FROM per JOIN said USING (player_key) LEFT JOIN tops USING (player_key) GROUP BY player_key""")
+def e8_pool(spark, sf):
+    return S.candidate_pool(pool_tables(spark, sf))
+
+
 GROUPS = f"""SELECT *, CASE WHEN countries <= 1 AND years <= 1 THEN CASE WHEN low <= 2 AND high >= 10 THEN 'LOW' ELSE 'MEDIUM' END
     WHEN countries > 1 AND years > 1 THEN 'HIGH' ELSE 'CHECK' END AS risk_level
 FROM (SELECT gender, norm, count(*) AS keys, count(DISTINCT country) AS countries, count(DISTINCT birth_year) AS years, min(matches) AS low, max(matches) AS high,

@@ -84,6 +84,12 @@ def a3(spark, sf):
                     sets.alias("set_scores"))
 
 
+@query("a3_document_audit", "SELECT 'read' AS status, count(*) AS fixtures FROM fixtures_v")
+def a3_audit(spark, sf):
+    """What became of the documents that a3 reads."""
+    return X.document_audit(fixture_payloads(spark, sf)).groupBy("status").agg(F.sum("fixtures").alias("fixtures"))
+
+
 def yearly_picks(spark, sf):
     return views.picks(spark, sf).withColumn("year", F.year("pick_date"))
 

@@ -14,6 +14,7 @@ FIXTURE_FIELDS = (
     "event_key", "event_date", "event_time", "event_type_type", "event_status", "event_live",
     "event_qualification", "event_winner", "event_final_result", "event_first_player", "event_second_player",
     "first_player_key", "second_player_key", "tournament_key", "tournament_name", "tournament_round",
+    "league_key", "league_name", "event_name",
     "event_surface", *OTHER_SURFACE_FIELDS)
 FIXTURE_TYPE = "struct<" + ", ".join(f"{f}: string" for f in FIXTURE_FIELDS) + (
     ", scores: array<struct<score_set: string, score_first: string, score_second: string>>>")
@@ -68,6 +69,24 @@ def explode_fixtures(payloads: DataFrame, keep: tuple[str, ...] = ("source_file"
             .select(*keep, "raw_index", "f.*"))
 
 
+MOST_LEVELS = 1000   # Spark's variants nest no deeper
+
+
+def document_audit(payloads: DataFrame, keep: tuple[str, ...] = ("source_file",)) -> DataFrame:
+    """Per document: what became of it, and its fixtures.
+
+    ``read``, ``no_fixtures`` (nothing that is an object), ``blank``, ``too_deep`` (it opens more than
+    ``MOST_LEVELS`` lists and objects and cannot be read) or ``not_json``; only what is read yields fixtures.
+    """
+    objects = F.filter("items", lambda x: _keyed(x).isNotNull())
+    opened = F.length(F.regexp_replace(F.regexp_replace("payload", r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[{]", ""))
+    said = payloads.withColumns({"_blank": F.coalesce(F.trim("payload"), F.lit("")) == "", "_parsed": F.try_parse_json("payload").isNotNull(), "_opened": opened})
+    found = payload_items(said, (*keep, "_blank", "_parsed", "_opened")).withColumn("fixtures", F.coalesce(F.size(objects), F.lit(0)).cast("bigint"))
+    status = (F.when(F.col("_blank"), "blank").when(~F.col("_parsed"), F.when(F.col("_opened") > MOST_LEVELS, "too_deep").otherwise("not_json"))
+              .when(F.col("fixtures") > 0, "read").otherwise("no_fixtures"))
+    return found.select(*keep, status.alias("status"), F.when(status == "read", F.col("fixtures")).otherwise(0).alias("fixtures"))
+
+
 # --- refresh lists ---------------------------------------------------------
 def is_final(status: Column, winner: Column, score: Column) -> Column:
     text = clean_ws(F.translate(F.lower(F.coalesce(status, F.lit(""))), "_-", "  "))
