@@ -201,3 +201,20 @@ def test_duplicate_risk_levels(spark):
         "men:history:7": ("MEDIUM", "men:history:8"), "men:history:8": ("MEDIUM", "men:history:8")}
     assert R.alias_template(got).count() == 3
     assert got.where(F.col("keys_in_group") == 2).count() == 8
+
+
+def test_near_strings_in_rounds_equal_trying_all(spark, monkeypatch):
+    """Bands that end after the first hit find the same names as comparing each with every candidate."""
+    import random
+    from difflib import SequenceMatcher
+
+    monkeypatch.setattr(E, "FIRST_BAND", 1)
+    monkeypatch.setattr(E, "BAND_GROWTH", 2)
+    draw = random.Random(9)
+    name = lambda: "".join(draw.choice("abcde ") for _ in range(draw.randrange(1, 12))).strip() or "a"
+    names, cand = [(draw.choice(["men", "women"]), name()) for _ in range(60)], sorted({(draw.choice(["men", "women"]), name()) for _ in range(150)})
+    want = {(g, n) for g, n in names if any(g == h and n[0] == c[0] and SequenceMatcher(None, n, c).ratio() >= 0.8 for h, c in cand)}
+    frame = lambda rows: spark.createDataFrame(rows, "gender string, norm string").distinct()
+    found = E.with_near_string(frame(names), frame(cand), 0.8)
+    assert {tuple(r) for r in found.collect()} == want and 0 < len(want) < len(set(names))
+    assert E.with_near_string(frame(names), frame(cand).where("false")).count() == 0
