@@ -9,7 +9,8 @@ Windows that do not fit a scanner of PATTERNS are searched in further passes ove
 each written to the shared folder, so a worker never holds more than one scanner.
 
 Cases: null and empty texts have no words; items without words have no window; items or windows that
-repeat are found once each; a null item id counts as the empty id; extra columns pass through.
+repeat are found once each; a null item id counts as the empty id; extra columns pass through; long texts
+are one row.
 """
 
 from __future__ import annotations

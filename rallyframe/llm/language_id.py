@@ -9,7 +9,7 @@ writes beside numbers (ordinal signs, micro, modifier letters) have none and tak
 Cases: a null, empty or letterless text is ``und`` with score 0 and no spans; a text with letters, but
 none of a script, takes the most frequent language with score 0; equal scores take the language first in
 alphabetical order; without training rows every text is ``und``. Rows are labelled one by one, so
-repeated rows repeat and extra columns pass through.
+repeated rows repeat and extra columns pass through. A long text is one row and a piece of work of its own.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ logistic regression picks and weights the rules; the weighted rules become one S
 
 Cases: a null text is the empty text, whose statistics are 0 (its one empty line is distinct: 1); equal
 rules of different trees count once; without labelled rows every score is 0.5, with one class the share
-of that class (0 or 1). Scoring is row by row: repeated rows repeat, extra columns pass through.
+of that class (0 or 1). Scoring is row by row: repeated rows repeat, extra columns pass through, long texts count whole.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ A run appends by one Parquet commit, so a run that dies leaves the ledger as it
 Hits are stored as the gap before each match and its length; positions are running sums.
 
 Cases: a null text is the empty text; copies share one scan and all get its findings; a rule with
-a new version is scanned again and only its newest version counts; extra columns pass through.
+a new version is scanned again and only its newest version counts; extra columns pass through. A long text is one
+row, scanned whole; its masked form is joined once.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ A shard with more than SHARD_ROWS rows is cut into blocks, and every pair of blo
 
 Cases: a null, empty or wordless text has fingerprint zero and links like any other; equal
 fingerprints are one class; a null id takes part and is never the smallest id unless all are null;
-repeated rows repeat. Extra columns pass through ``keep_one``.
+repeated rows repeat; long texts are one row. Extra columns pass through ``keep_one``.
 """
 
 from __future__ import annotations

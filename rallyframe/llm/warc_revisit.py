@@ -8,7 +8,7 @@ records for the reader, which splits files among tasks, and Content-Length confi
 
 Cases: a null payload is empty; payloads below LEAST_BYTES are always responses; a record without
 id or URI is written without that header and read back as null; equal ids share one original
-among themselves; extra columns are left out.
+among themselves; extra columns are left out; a long payload is one record.
 """
 
 from __future__ import annotations
