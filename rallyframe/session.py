@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
+def _folder() -> str:
+    """What ``spark.checkpoint.dir`` names here: RALLYFRAME_SHARED, or a folder that goes when the process ends."""
+    named = os.environ.get("RALLYFRAME_SHARED")
+    if not named:
+        named = tempfile.mkdtemp(prefix="rallyframe-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    return named
+
+
 def local_session(cpus: str | int = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("rallyframe")
@@ -14,6 +26,7 @@ def local_session(cpus: str | int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", _folder())
         .config("spark.driver.memory", os.environ.get("RALLYFRAME_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     )
