@@ -35,7 +35,8 @@ from .common import fresh, with_text_columns
 SHINGLE = 3
 DISTANCE = 3             # links of up to so many bits
 RADIUS = 1               # in the nearer half
-TREE_SAMPLE = 1 << 16    # fingerprints that the trees are fitted on, at most
+TREE_SAMPLE = 1 << 16    # fingerprints that the trees are fitted on; beyond 2**22 fingerprints a 64th of them
+MOST_SAMPLE = 1 << 18    # and never more: enough for the depth that 2**24 fingerprints aim at; shards of more are cut into blocks
 LEAF = 256               # fingerprints per leaf that the depth aims at
 SHARD_ROWS = 50_000      # rows of a shard that one task takes
 CELLS = 1 << 20          # distances computed at once
@@ -119,7 +120,9 @@ def _half(fps: np.ndarray, which: int) -> np.ndarray:
 
 def fit_trees(classes: DataFrame) -> list[Tree]:
     n = classes.count()
-    sample = np.array([r.fp for r in classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()], np.int64).view(np.uint64)
+    bound = min(MOST_SAMPLE, max(TREE_SAMPLE, n // 64))
+    first = classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(bound).toArrow()  # eight bytes a row
+    sample = first.column("fp").to_numpy().astype(np.int64).view(np.uint64)
     depth = max(0, min(int(np.ceil(np.log2(max(1, n / LEAF)))), int(np.log2(max(1, len(sample) / 4)))))
     return [grow(_half(sample, which), depth) for which in range(2)]
 
@@ -145,7 +148,7 @@ def _fps(batch: pa.RecordBatch) -> np.ndarray:
 
 def links(classes: DataFrame) -> DataFrame:
     """A spanning set of links (a, b), b the smaller by unsigned order, of distinct fingerprints ``fp``."""
-    trees = classes.sparkSession.sparkContext.broadcast(fit_trees(classes))  # at most 2 x TREE_SAMPLE / 4 nodes
+    trees = classes.sparkSession.sparkContext.broadcast(fit_trees(classes))  # at most 2 x MOST_SAMPLE / 4 nodes
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
