@@ -9,9 +9,10 @@ exactly over all classes, and each class whose first part holds some is told so
 shingles instead. So the lists of classes behind a shingle stay short however large the table is, but for
 classes that consist of such shingles nearly alone.
 
-Two rounds then compare every class with at most one other, the leader of the list that they share most
-often (first the class with the fewest rare shingles, then one at random), and what is similar becomes one
-group. Last, classes of different groups meet in the lists they share. A pair comes out of that join only if
+Groups begin with SimHash: the vantage-point trees of ``simhash_vp`` link fingerprints of up to three differing
+bits, and what the texts confirm at 4/5 is one group. Three bits miss most links of 4/5, so two rounds then compare
+every class with at most one other, the leader of the list that they share most often (first the class with the
+fewest rare shingles, then one at random), and what is similar joins the groups. Last, classes of different groups meet in the lists they share. A pair comes out of that join only if
 sizes, places in the order and a bitmap of 256 parities of the sets (its differing bits are at most the
 differing shingles) leave 4/5 possible, and out of the next step if longer bitmaps do; the texts of what
 remains are read and their sets compared. Order, rounds and bitmaps decide the cost, never which links are found.
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from rallyframe.workspace import materialise
 
 from .common import fresh, with_text_columns
-from .simhash_vp import components
+from .simhash_vp import components, fingerprint
+from .simhash_vp import links as tree_links
 
 WORDS = 5
 LONG = 16                # a shingle in the first part of more classes comes last in the order
@@ -72,7 +74,7 @@ def _sketch(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_shingles(docs: DataFrame, text: str, keep: list[str], whole: bool = False) -> DataFrame:
-    """(keep, fp, n, tokens, sketch, s0 ...): digest, size, shingles by hash (all, or the first n // 5 + n // 10 + 9) and bitmaps."""
+    """(keep, fp, n, tokens, sketch, s0 ...): digest, size, shingles by hash (all, or the first n // 5 + n // 10 + 9, then with ``bits``, the SimHash) and bitmaps."""
     def make():
         def work(texts):
             sets = [shingles(t.as_py()) for t in texts]
@@ -80,11 +82,13 @@ def with_shingles(docs: DataFrame, text: str, keep: list[str], whole: bool = Fal
             first = sets if whole else [s[:len(s) // 5 + len(s) // 10 + 9] for s in sets]
             bits = [_sketch(s) for s in sets]
             short = np.array([b for _, b in bits], np.int64).reshape(-1, SKETCH)
-            return [pa.array(fps, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), _lists(first), _lists([b for b, _ in bits]), *(pa.array(c) for c in short.T)]
+            return [pa.array(fps, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), _lists(first), _lists([b for b, _ in bits]), *(pa.array(c) for c in short.T),
+                    *([] if whole else [pa.array(np.array([fingerprint(t.as_py()) for t in texts], np.uint64).view(np.int64))])]
         return work
 
     longs = T.ArrayType(T.LongType())
     fields = [("fp", T.BinaryType()), ("n", T.IntegerType()), ("tokens", longs), ("sketch", longs), *((f"s{i}", T.LongType()) for i in range(SKETCH))]
+    fields += [] if whole else [("bits", T.LongType())]
     return with_text_columns(docs, text, fields, make, keep)
 
 
@@ -227,23 +231,30 @@ def _similar(pairs: DataFrame, texts_of) -> DataFrame:
     return rows.groupBy("b", "salt").applyInArrow(compare, "a long, b long")
 
 
+def tree_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes (c, bits) that the vantage-point trees link: each class with one of its fingerprint, and with one of every fingerprint linked to it."""
+    first = materialise(classes.groupBy("bits").agg(F.min("c").alias("b")), "bits")
+    tied = tree_links(first.select(F.col("bits").alias("fp"))).select(F.col("a").alias("bits"), F.col("b").alias("to"))
+    near = tied.join(first.select(F.col("bits").alias("to"), "b"), "to").select("bits", "b")
+    return classes.select("bits", F.col("c").alias("a")).join(first.union(near), "bits").where("a <> b").select("a", "b").distinct()
+
+
 def links(classes: DataFrame, sets_of, texts_of) -> DataFrame:
-    """A set of links (a, b) with the components of all links, of classes (c, n, tokens, sketch, s0 ...).
+    """A set of links (a, b) with the components of all links, of classes (c, n, tokens, sketch, s0 ..., bits).
 
     ``sets_of`` gives (c, tokens) for some c, ``texts_of`` adds the text to rows with a column c.
     """
     met = materialise(first_parts(classes, sets_of), "lists")
     shared = met.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     met = materialise(met.join(shared, "token", "left_semi").join(classes.select("c", "n"), "c"), "met")
-    found = None
+    found = materialise(_similar(materialise(_likely(tree_pairs(classes), classes), "tree-pairs"), texts_of), "tree-found")
     for leader in (F.struct("at", "c"), F.struct(F.xxhash64("c"))):
         rows = _rooted(met, found)
         lead = rows.groupBy("token").agg(F.min_by(F.struct("c", "n", "at", "root"), leader).alias("lead")).select("token", "lead.*")
         near = rows.alias("x").join(lead.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
         counted = near.groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b")).agg(F.count("*").alias("often"))
         best = counted.groupBy("a").agg(F.max(F.struct("often", "b")).alias("best")).select("a", "best.b")
-        linked = materialise(_similar(materialise(_likely(best, classes), "pairs"), texts_of), "found")
-        found = linked if found is None else found.union(linked)
+        found = found.union(materialise(_similar(materialise(_likely(best, classes), "pairs"), texts_of), "found"))
     rows = materialise(_rooted(met, found), "rooted")
     sizes = rows.groupBy("token", "root").agg(F.count("*").alias("held"))
     home = sizes.groupBy("token").agg(F.max(F.struct("held", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
@@ -257,10 +268,8 @@ def links(classes: DataFrame, sets_of, texts_of) -> DataFrame:
     return found.union(_similar(materialise(_likely(late, classes), "late"), texts_of))
 
 
-def _rooted(met: DataFrame, found: DataFrame | None) -> DataFrame:
+def _rooted(met: DataFrame, found: DataFrame) -> DataFrame:
     """List entries with the group of their class."""
-    if found is None:
-        return met.withColumn("root", F.col("c"))
     roots = components(found).withColumnRenamed("a", "c")
     return met.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
 
@@ -271,7 +280,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), content.alias("x0"))
     marked = with_shingles(source, "text", ["id", "x0"])
     order = F.struct(F.col("id").isNull().alias("none"), "id", "x0")
-    rest = ("n", "tokens", "sketch", *(f"s{i}" for i in range(SKETCH)))
+    rest = ("n", "tokens", "sketch", "bits", *(f"s{i}" for i in range(SKETCH)))
     classes = marked.groupBy("fp").agg(F.min(order).alias("first"), *(F.any_value(x).alias(x) for x in rest))
     classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     named = classes.select("c", spot(F.col("first.id"), F.col("first.x0")).alias("spot"))

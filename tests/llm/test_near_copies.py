@@ -81,3 +81,13 @@ def test_odd_texts(spark, clashing, none):
     assert kept.columns == clashing.columns
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, [1, 4, None, 5, 7, 8, 9, 10, 11, 12]))
     assert N.keep_one(none).count() == 0
+
+
+def test_vantage_point_trees_take_part(spark, monkeypatch):
+    """The stage's method: links within three bits come from the trees; what they link is confirmed by the texts."""
+    made = []
+    monkeypatch.setattr(N, "tree_links", lambda classes, real=N.tree_links: made.append(real(classes)) or made[-1])
+    line = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*line[:i], "x", *line[i + 1:]])) for i in range(0, 40, 4)] + [(100, "other words here"), (101, None)]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in kept} == {0, 100, 101} and made[0].count() > 0
