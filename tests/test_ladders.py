@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,17 @@ def test_match_index_is_a_total_order(spark, sf):
     rows = P.match_index(m.repartition(5)).orderBy("match_index").collect()
     assert [r["match_index"] for r in rows] == list(range(1, len(rows) + 1))
     assert [r["seq"] for r in rows] == sorted(r["seq"] for r in rows)
+
+
+def test_components_of_slices_take_one_round(spark, monkeypatch):
+    """No table is written per round: the number of jobs does not grow with the length of a chain."""
+    from rallyframe.operators import components as G
+
+    rng = np.random.default_rng(3)
+    edges = [(0, i, i + 1) for i in range(300)] + [(1, 1000 + 2 * i, 1001 + 2 * i) for i in range(50)] + [
+        (2, int(a), int(b)) for a, b in 2000 + rng.integers(0, 400, (350, 2))] + [(3, 9000 - 2 * i, 8998 - 2 * i) for i in range(100)]
+    frame = spark.createDataFrame(edges, "part int, w long, l long")
+    slow = {r.node: r.root for r in G.components(frame, "w", "l").collect()}
+    monkeypatch.setattr(G, "materialise", None)  # would fail if it were used
+    fast = {r.node: r.root for r in G.components_within(frame, "part", "w", "l").collect()}
+    assert {n: r for n, r in fast.items() if n != r} == slow and set(fast.values()) >= set(slow.values())
