@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,15 @@ def test_components_of_slices_take_one_round(spark, monkeypatch):
     monkeypatch.setattr(G, "materialise", None)  # would fail if it were used
     fast = {r.node: r.root for r in G.components_within(frame, "part", "w", "l").collect()}
     assert {n: r for n, r in fast.items() if n != r} == slow and set(fast.values()) >= set(slow.values())
+
+
+def test_a_slice_is_played_over_arrow_columns(matches):
+    """As by the pandas loop the stream uses, from a given state and without one; no task turns keys into Python objects."""
+    rows = L.ladder_rows(matches).where("gender = 'men' AND layer = 'overall'").toArrow()
+    start = {k: (1500.0 + i, i) for i, k in enumerate(rows.column("winner_key").to_pylist()[:40:3])}
+    state = pa.table({"player_key": list(start), "rating": [r for r, _ in start.values()], "n": [n for _, n in start.values()]})
+    for given, table in ((start, state), ({}, None)):
+        want = L._walk(rows.to_pandas(), L.ORDER, given)
+        assert L._walk_slice(rows, L.ORDER, table).to_pylist() == want.to_dict("records")
+    plan = L.fold_ladders(matches)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapGroupsInPandas" not in plan
