@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import date
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -14,6 +14,7 @@ from rallyframe.operators.ledgers import last_results, settle_outcome
 
 from .state import DAY_MS, follow, keyed_state, run_to_parquet
 
+EPOCH = date(1970, 1, 1)
 RECENT_DAYS = 3
 SETTLE_DAYS = 7      # a result counts so many days after its pick
 LATE_DAYS = 7        # rows may come so many days behind the newest
@@ -110,23 +111,27 @@ class FirstRow(StatefulProcessor):
         self.handle = handle
         self.least = handle.getValueState("least", "value bigint, until bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
-        first = batch.nsmallest(1, self.order)
-        until = (pd.Timestamp(batch[self.day].max()) - pd.Timestamp(0)).days * DAY_MS + (self.days + 1) * DAY_MS
-        value, held = int(first[self.order].iloc[0]), self.least.get() if self.least.exists() else None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first, newest = None, EPOCH
+        for row in rows:
+            first = row if first is None or row[self.order] < first[self.order] else first
+            newest = max(newest, row[self.day] or EPOCH)
+        until = ((newest - EPOCH).days + self.days + 1) * DAY_MS
+        value, held = first[self.order], self.least.get()   # each call is a round trip to the JVM
         if held is not None:
             if until > held[1]:
                 self.handle.deleteTimer(held[1])
             until = max(until, held[1])
         if held is None or value < held[0] or until > held[1]:
             self.least.update((value if held is None else min(value, held[0]), until))
+        if held is None or until > held[1]:
             self.handle.registerTimer(until)
         if held is None or value < held[0]:
             yield first
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.least.exists() and self.least.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.least.get()
+        if held is not None and held[1] <= expiredTimerInfo.getExpiryTimeInMs():
             self.least.clear()
         return iter(())
 
@@ -143,7 +148,7 @@ def run_first_rows(stream: DataFrame, path: str, key: str, order: str, day: str,
     """
     spark, rest = stream.sparkSession, [c for c in stream.columns if c not in (key, order)]
     with keyed_state(spark):
-        first = follow(stream, day, days).groupBy(key).transformWithStateInPandas(FirstRow(order, day, days), stream.schema, "append", "eventTime")
+        first = follow(stream, day, days).groupBy(key).transformWithState(FirstRow(order, day, days), stream.schema, "append", "eventTime")
         rows = run_to_parquet(first, path)
     return rows.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("f")).select(key, f"f.{order}", *[f"f.{c}" for c in rest])
 

@@ -163,3 +163,20 @@ def test_results_are_read_back_with_the_stream_schema(spark):
     path = new_path(spark, "copy")
     land(spark, path, "a long", [[(1,)], [(2,)]])
     assert sorted(r.a for r in run_to_parquet(stream(spark, path, "a long"), new_path(spark, "copy-out")).collect()) == [1, 2]
+
+
+def test_batches_of_a_landed_table_do_not_grow_with_it(spark, monkeypatch):
+    """Each chunk is one batch, however many files it has."""
+    from rallyframe.plans.catalog import streams as C
+
+    monkeypatch.setattr(C, "FILE_ROWS", 10)
+    rows = spark.range(200, numPartitions=9).select("id", (F.col("id") % 4).alias("part"))
+    landed, out = C.land(spark, rows, F.col("part"), 4, "grown"), new_path(spark, "grown-out")
+
+    def keep(df, version):
+        df.withColumn("batch", F.lit(version).cast("long")).write.mode("append").parquet(f"{out}/rows")
+
+    landed.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.parquet(f"{out}/rows")
+    assert seen.count() == 200
+    assert sorted(tuple(r) for r in seen.select("part", "batch").distinct().collect()) == [(0, 0), (1, 1), (2, 2), (3, 3)]
