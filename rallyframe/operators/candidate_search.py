@@ -2,11 +2,13 @@
 
 Both searches score far more loosely than the mapping, so words in common are not enough to
 find every candidate. Names without a common word can still be near as strings; those pairs
-come from ``near_names``, an exact prefix filter on letter pairs, instead of a cross join.
+come from ``near_names``: blocks of one initial compared by their letters, or an exact prefix filter on letter pairs.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from rallyframe.operators.identity import PAIR, _in_order
 from rallyframe.operators.sides import explode_sides, most_common, top_values
 from rallyframe.workspace import materialise
 
+BLOCK = 2000             # names that meet as many others in one task, about
 GLOBAL_MIN, GLOBAL_TOP = 0.70, 5
 DEEP_MIN, DEEP_TOP = 0.70, 8
 
@@ -60,13 +63,15 @@ def candidate_names(players: DataFrame) -> DataFrame:
 
 # --- near strings ----------------------------------------------------------
 def near_names(a: DataFrame, b: DataFrame, min_ratio: float, same_initial: bool) -> DataFrame:
-    """Pairs of one gender whose similarity can reach ``min_ratio``.
+    """Pairs of one gender whose similarity can reach ``min_ratio``, of equal initials by ``near_of_initial``.
 
     Two names of total length L with similarity r match M = rL/2 letters in at most L - 2M + 1
     runs, so they share at least 3M - L - 1 letter pairs. Names that share that many have one in
     common among the rarest letter pairs of each, which is what the join uses. Very common
     letter pairs drop out of the join first.
     """
+    if same_initial:
+        return near_of_initial(a, b, min_ratio)
     gain, span = 1.5 * min_ratio - 1.0, 2.0 / (2.0 - min_ratio)
 
     def grams(df: DataFrame, side: str) -> DataFrame:
@@ -83,14 +88,57 @@ def near_names(a: DataFrame, b: DataFrame, min_ratio: float, same_initial: bool)
     order = Window.partitionBy("side", "gender", "norm", "initial").orderBy("f", "gram")
     rare = (both.join(frequency, "gram").withColumn("r", F.row_number().over(order))
             .where(F.col("r") <= F.length("norm") - 1 - need + 1))
-    on = ["gender", "gram"] + (["initial"] if same_initial else [])
+    on = ["gender", "gram"]
     side = lambda s, n: rare.where(F.col("side") == s).select(*on, F.col("norm").alias(n))
     la, lb = F.length("feed_norm"), F.length("cand_norm")
-    # M letters in common order leave at most L - 2M edits; the bounded distance is tested before pairs are shuffled
+    pairs = side("a", "feed_norm").join(side("b", "cand_norm"), on).where(2 * F.least(la, lb) >= min_ratio * (la + lb) - 1e-9)
+    return pairs.where(_few_edits(min_ratio)).select(*PAIR).distinct()
+
+
+def _few_edits(min_ratio: float) -> Column:
+    """M letters in common order leave at most L - 2M edits; the bounded distance is tested before pairs are shuffled."""
     edits = f"CAST(floor({1.0 - min_ratio!r}D * (length(feed_norm) + length(cand_norm)) + 1e-9D) AS INT)"
-    pairs = (side("a", "feed_norm").join(side("b", "cand_norm"), on).where(2 * F.least(la, lb) >= min_ratio * (la + lb) - 1e-9)
-             .where(F.expr(f"levenshtein(feed_norm, cand_norm, {edits}) >= 0")))
-    return pairs.select(*PAIR).distinct()
+    return F.expr(f"levenshtein(feed_norm, cand_norm, {edits}) >= 0")
+
+
+def _letters(names: list[str], kind: np.dtype) -> np.ndarray:
+    """How often each name has each letter; what shares a column only loosens the bound."""
+    count = lambda t: np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) & 31, minlength=32)
+    return np.array([count(t) for t in names], kind).reshape(-1, 32)
+
+
+def near_of_initial(a: DataFrame, b: DataFrame, min_ratio: float) -> DataFrame:
+    """Pairs of one gender and initial whose letters in common, in any order, and edits allow ``min_ratio``.
+
+    At these ratios most letter pairs of a name would have to be met, so nearly all names of an initial meet, each pair many
+    times. Here a block of names meets a block of names in a task, each pair once, and what the letters rule out is not handed on.
+    """
+    key = ["gender", "initial"]
+    x = a.where(F.length("norm") > 1).select(*key, "norm").distinct()
+    y = b.where(F.length("norm") > 1).select("gender", F.substring("norm", 1, 1).alias("initial"), "norm").distinct()
+    blocks = lambda df, n: df.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias(n))
+    counts = materialise(blocks(x, "nx").join(blocks(y, "ny"), key), "near-blocks")
+    own = lambda n: F.pmod(F.xxhash64("norm"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    place = [*key, "i", "j"]
+    left = x.join(counts, key).select(*key, own("nx").alias("i"), every("ny").alias("j"), "norm")
+    right = y.join(counts, key).select(*key, every("nx").alias("i"), own("ny").alias("j"), "norm")
+    right = right.toDF(*right.columns)  # columns of its own, for the cogroup
+
+    def meet(group: tuple[pa.Scalar, ...], feed: pa.Table, cand: pa.Table) -> pa.Table:
+        names = [t.column("norm").to_pylist() for t in (feed, cand)]
+        sizes = [np.array([len(t) for t in ts], np.int64) for ts in names]
+        kind = np.min_scalar_type(max([0, *(int(n.max()) for n in sizes if len(n))]))
+        p, q = (_letters(ts, kind) for ts in names)
+        common = np.zeros((len(p), len(q)), kind)
+        for letter in range(32):
+            common += np.minimum.outer(p[:, letter], q[:, letter])
+        i, j = np.nonzero(2.0 * common >= min_ratio * np.add.outer(*sizes) - 1e-9)
+        found = (t.column("norm").take(pa.array(at)) for t, at in zip((feed, cand), (i, j)))
+        return pa.table([pa.array([group[0].as_py()] * len(i), pa.string()), *found], names=list(PAIR))
+
+    pairs = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(meet, "gender string, feed_norm string, cand_norm string")
+    return pairs.where(_few_edits(min_ratio)).distinct()
 
 
 def _on_last(feed: DataFrame, cand: DataFrame, anywhere: bool) -> DataFrame:

@@ -136,6 +136,20 @@ def test_near_names_misses_nothing(spark, floor, same_initial):
     assert want <= got
 
 
+def test_names_of_one_initial_meet_block_by_block(spark, monkeypatch):
+    """Each pair is met once, by letters and not by letter pairs; cuts between blocks lose nothing, and long names do not overflow."""
+    monkeypatch.setattr(S, "BLOCK", 3)
+    draw = random.Random(8)
+    names = sorted({"a" + "".join(draw.choice("abcde ") for _ in range(draw.randrange(1, 9))).strip() for _ in range(40)} | {"a" * 300, "a" * 290 + "b"})
+    frame = spark.createDataFrame([("men", n, n[0]) for n in names], "gender string, norm string, initial string")
+    found = S.near_names(frame, frame, 0.8, same_initial=True)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()
+    got = {(r["feed_norm"], r["cand_norm"]) for r in found.collect()}
+    want = {(x, y) for x in names for y in names if len(x) > 1 and len(y) > 1 and SequenceMatcher(None, x, y).ratio() >= 0.8}
+    assert want <= got and ("a" * 300, "a" * 290 + "b") in got
+
+
+
 def plain_global(name, initials, last, cand):
     tb = cand.split()
     score, method = ratio(name, cand) * 0.72, "fuzzy"
