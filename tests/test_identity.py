@@ -93,6 +93,26 @@ def test_blocking_finds_every_pair_that_can_be_kept(spark, names):
             b for f, b, stage in got if f == a and plain_score(a, b)[0] >= (0.78 if stage == 3 else 0.76)}
 
 
+def test_pairs_are_found_once_without_remembering_them(spark, names):
+    """Neither search groups pairs to drop repeats: a task's memory would grow with them."""
+    feed, own = (E.distinct_names(players(spark, n, f)) for n, f in zip(names, ("api", "history")))
+    pairs = E.equal_key_pairs(feed, own)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan[:plan.index("Join")]
+    rows = E.candidate_pairs(feed, own).collect()
+    assert len(rows) == len({(r["feed_norm"], r["cand_norm"]) for r in rows})
+    keys = {(r["feed_norm"], r["cand_norm"]) for r in rows if r["stage"] == 1}
+    assert keys == {(r["feed_norm"], r["cand_norm"]) for r in pairs.collect()}
+
+
+def test_exact_tiers_need_no_other_pairs(spark, names):
+    feed, own = (E.distinct_names(players(spark, n, f)) for n, f in zip(names, ("api", "history")))
+    exact = E.score_pairs(E.equal_key_pairs(feed, own, E.EXACT_KINDS), exact=True)
+    every = E.score_pairs(E.equal_key_pairs(feed, own)).where(F.col("method").isin(*E.EXACT_METHODS))
+    assert "PythonUDF" not in exact._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, every.collect())) != []
+
+
 def test_mapping_decisions(spark):
     own = spark.createDataFrame([
         ("men:history:1", "men", "Ilvana Mirabela Tornavik", 10), ("men:history:2", "men", "John Falke", 5),
