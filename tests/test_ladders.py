@@ -58,6 +58,19 @@ def test_parts_share_no_player(matches):
     assert sliced.select("slice", "part").distinct().count() > count
 
 
+def test_a_slice_is_read_by_several_tasks(spark, monkeypatch):
+    """One file of one row group was one busy task for each pass over a slice."""
+    written = []
+    monkeypatch.setattr(L, "materialise", lambda df, name, by=None: written.append(df) or df.localCheckpoint())
+    day = F.expr("date_add(date'2024-01-01', cast(id div 50 as int))")
+    rows = spark.range(2000).select(F.col("id").alias("seq"), day.alias("match_date"), F.lit("a").alias("winner_key"), F.col("id").cast("string").alias("loser_key"))
+    _, count = L.time_slices(rows, L.ORDER, 500, 100)
+    found = written[0].select("slice", F.spark_partition_id().alias("range"), "seq").groupBy("slice", "range").agg(
+        F.min("seq").alias("low"), F.max("seq").alias("high")).orderBy("low").collect()
+    assert len(found) > 2 * count and {r["slice"] for r in found} == set(range(count))
+    assert [r["slice"] for r in found] == sorted(r["slice"] for r in found) and all(a["high"] < b["low"] for a, b in zip(found, found[1:]))
+
+
 def test_runs_hold_what_was_touched(spark):
     """Every run is written once and merged with runs of its rank: no player is rewritten by a slice that leaves them alone."""
     runs = L.PlayerRuns()
