@@ -2,27 +2,27 @@
 
 Both searches score far more loosely than the mapping, so words in common are not enough to
 find every candidate. Names without a common word can still be near as strings; those pairs
-come from ``near_names``: blocks of one initial compared by their letters, or an exact prefix filter on letter pairs.
+come from ``near_names``: blocks of one initial compared by their letters, or whole pieces that near names must share.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe import constants as K
 from rallyframe.functions import text as T
-from rallyframe.functions.similarity import seq_ratio_above
-from rallyframe.functions.values import rounded
-from rallyframe.operators.identity import PAIR, _in_order
+from rallyframe.functions.similarity import near_pairs, seq_ratio_above
+from rallyframe.functions.values import computed_once, rounded
+from rallyframe.operators.identity import PAIR, _after, _in_order
 from rallyframe.operators.sides import explode_sides, most_common, top_values
 from rallyframe.workspace import materialise
 
-BLOCK = 2000             # names that meet as many others in one task, about
+BLOCK = 4000             # names that meet as many others in one task, about
 GLOBAL_MIN, GLOBAL_TOP = 0.70, 5
 DEEP_MIN, DEEP_TOP = 0.70, 8
+INITIAL_FORM = 0.975     # what an equal last word and initial score at least
 
 # fixed values: spellings of one given name
 TRANSLITERATIONS = {
@@ -65,34 +65,46 @@ def candidate_names(players: DataFrame) -> DataFrame:
 def near_names(a: DataFrame, b: DataFrame, min_ratio: float, same_initial: bool) -> DataFrame:
     """Pairs of one gender whose similarity can reach ``min_ratio``, of equal initials by ``near_of_initial``.
 
-    Two names of total length L with similarity r match M = rL/2 letters in at most L - 2M + 1
-    runs, so they share at least 3M - L - 1 letter pairs. Names that share that many have one in
-    common among the rarest letter pairs of each, which is what the join uses. Very common
-    letter pairs drop out of the join first.
+    Two names of total length L with similarity r leave at most (1 - r)L letters unmatched. A candidate cut into one piece more
+    than that has a piece that no such letter breaks: it stands whole in the other name, moved by the unmatched letters before it
+    at most. Names meet on pieces of that length, number and place.
     """
     if same_initial:
         return near_of_initial(a, b, min_ratio)
-    gain, span = 1.5 * min_ratio - 1.0, 2.0 / (2.0 - min_ratio)
-
-    def grams(df: DataFrame, side: str) -> DataFrame:
-        pairs = F.transform(F.sequence(F.lit(1), F.length("norm") - 1), lambda i: F.substr(F.col("norm"), i, F.lit(2)))
-        return (df.where(F.length("norm") > 1).select("gender", "norm", "initial", F.posexplode(pairs).alias("pos", "gram"))
-                .withColumn("copy", F.row_number().over(Window.partitionBy("gender", "norm", "initial", "gram").orderBy("pos")))
-                .select("gender", "norm", "initial", F.concat("gram", F.lit("#"), F.col("copy").cast("string")).alias("gram"))
-                .withColumn("side", F.lit(side)))
-
-    both = materialise(grams(a.select("gender", "norm", "initial").distinct(), "a").unionByName(
-        grams(b.select("gender", "norm", F.substring("norm", 1, 1).alias("initial")), "b")), "grams")
-    frequency = both.groupBy("gram").agg(F.count("*").alias("f"))
-    need = F.greatest(F.lit(1), F.ceil(F.length("norm") * F.lit(gain * span) - 1.0 - 1e-9))
-    order = Window.partitionBy("side", "gender", "norm", "initial").orderBy("f", "gram")
-    rare = (both.join(frequency, "gram").withColumn("r", F.row_number().over(order))
-            .where(F.col("r") <= F.length("norm") - 1 - need + 1))
-    on = ["gender", "gram"]
-    side = lambda s, n: rare.where(F.col("side") == s).select(*on, F.col("norm").alias(n))
-    la, lb = F.length("feed_norm"), F.length("cand_norm")
-    pairs = side("a", "feed_norm").join(side("b", "cand_norm"), on).where(2 * F.least(la, lb) >= min_ratio * (la + lb) - 1e-9)
-    return pairs.where(_few_edits(min_ratio)).select(*PAIR).distinct()
+    size, number = F.length("norm"), lambda x: F.floor(x).cast("int")
+    left_over = lambda total: number((1.0 - min_ratio) * total + 1e-9)
+    longest = number((2.0 - min_ratio) / min_ratio * size + 1e-9)  # names longer than this are too long to be near
+    shortest = F.ceil(min_ratio / (2.0 - min_ratio) * size - 1e-9).cast("int")
+    upto = lambda low, high: F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    cuts = lambda n: left_over(n + number((2.0 - min_ratio) / min_ratio * n + 1e-9)) + 1
+    start = lambda k, n: number(k * n / cuts(n))
+
+    def entry(n: Column, k: Column, piece: Column) -> Column:
+        return F.struct(n.alias("n"), k.alias("k"), piece.alias("piece"))
+
+    def own(k: Column) -> Column:
+        low = start(k, size)
+        return entry(size, k, F.substr(F.col("norm"), low + 1, start(k + 1, size) - low))
+
+    def asked(n: Column) -> Column:
+        open_ = left_over(size + n)
+        open_ = open_ - F.pmod(open_ + size + n, F.lit(2))  # what is unmatched is the total less pairs
+        extra, missing = number((open_ + size - n) / 2), number((open_ - size + n) / 2)  # unmatched here, and in the candidate
+
+        def moved(k: Column) -> Column:
+            low, width = start(k, n), start(k + 1, n) - start(k, n)
+            places = upto(F.greatest(F.lit(0), low - missing), F.least(size - width, low + extra))
+            return F.transform(places, lambda at: entry(n, k, F.substr(F.col("norm"), at + 1, width)))
+
+        return F.when((extra >= 0) & (missing >= 0), F.flatten(F.transform(upto(F.lit(0), cuts(n) - 1), moved)))
+
+    long = lambda df: df.where(size > 1).select("gender", "norm").distinct()
+    key = ["gender", "n", "k", "piece"]
+    feed = long(a).select("gender", F.col("norm").alias("feed_norm"), F.explode(F.array_distinct(F.flatten(F.filter(
+        F.transform(upto(shortest, longest), asked), lambda x: x.isNotNull())))).alias("e")).select("gender", "feed_norm", "e.*")
+    cand = long(b).select("gender", F.col("norm").alias("cand_norm"), F.explode(F.transform(upto(F.lit(0), cuts(size) - 1), own)).alias("e")).select(
+        "gender", "cand_norm", "e.*")
+    return feed.join(cand, key).where(_few_edits(min_ratio)).select(*PAIR).distinct()
 
 
 def _few_edits(min_ratio: float) -> Column:
@@ -101,14 +113,8 @@ def _few_edits(min_ratio: float) -> Column:
     return F.expr(f"levenshtein(feed_norm, cand_norm, {edits}) >= 0")
 
 
-def _letters(names: list[str], kind: np.dtype) -> np.ndarray:
-    """How often each name has each letter; what shares a column only loosens the bound."""
-    count = lambda t: np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) & 31, minlength=32)
-    return np.array([count(t) for t in names], kind).reshape(-1, 32)
-
-
 def near_of_initial(a: DataFrame, b: DataFrame, min_ratio: float) -> DataFrame:
-    """Pairs of one gender and initial whose letters in common, in any order, and edits allow ``min_ratio``.
+    """Pairs of one gender and initial whose letters in common, in any order and in theirs, allow ``min_ratio``.
 
     At these ratios most letter pairs of a name would have to be met, so nearly all names of an initial meet, each pair many
     times. Here a block of names meets a block of names in a task, each pair once, and what the letters rule out is not handed on.
@@ -126,14 +132,7 @@ def near_of_initial(a: DataFrame, b: DataFrame, min_ratio: float) -> DataFrame:
     right = right.toDF(*right.columns)  # columns of its own, for the cogroup
 
     def meet(group: tuple[pa.Scalar, ...], feed: pa.Table, cand: pa.Table) -> pa.Table:
-        names = [t.column("norm").to_pylist() for t in (feed, cand)]
-        sizes = [np.array([len(t) for t in ts], np.int64) for ts in names]
-        kind = np.min_scalar_type(max([0, *(int(n.max()) for n in sizes if len(n))]))
-        p, q = (_letters(ts, kind) for ts in names)
-        common = np.zeros((len(p), len(q)), kind)
-        for letter in range(32):
-            common += np.minimum.outer(p[:, letter], q[:, letter])
-        i, j = np.nonzero(2.0 * common >= min_ratio * np.add.outer(*sizes) - 1e-9)
+        i, j = near_pairs(*(t.column("norm").to_pylist() for t in (feed, cand)), min_ratio)
         found = (t.column("norm").take(pa.array(at)) for t, at in zip((feed, cand), (i, j)))
         return pa.table([pa.array([group[0].as_py()] * len(i), pa.string()), *found], names=list(PAIR))
 
@@ -148,33 +147,41 @@ def _on_last(feed: DataFrame, cand: DataFrame, anywhere: bool) -> DataFrame:
     return feed.where("last <> ''").select("gender", F.col("norm").alias("feed_norm"), "last").join(c, ["gender", "last"]).select(*PAIR).distinct()
 
 
-def _scored_frame(pairs: DataFrame, feed: DataFrame, weight: float, extra: float, last: float, inside: float, initial: float) -> DataFrame:
-    """Pairs with the parts of the feed name, the candidate's words, and the ratio where it can lift a pair over the limit.
+def _scored_frame(pairs: DataFrame, feed: DataFrame, weight: float, extra: float, last: float, inside: float, initial: float,
+                  fixed: Column) -> DataFrame:
+    """Pairs with the parts of the feed name, the candidate's words, and the ratio where it can lift a pair over the limit or its fixed score.
 
     ``weight`` is the scorer's factor of the ratio, the others what it adds for common words,
-    the last word, the last word elsewhere, and the initial.
+    the last word, the last word elsewhere, and the initial. ``fixed`` holds for all pairs that may have a score without the ratio;
+    pairs that can reach the limit neither way are left out before anything costly.
     """
     f = feed.withColumnsRenamed({"norm": "feed_norm", "last": "a_last", "initial": "a_initial"})
-    ts = T.tokens(F.col("cand_norm"))
-    j = pairs.join(f, ["gender", "feed_norm"]).withColumns({
-        "b_toks": ts, "b_last": F.element_at(ts, -1), "b_initial": F.substring("cand_norm", 1, 1), "a_toks": T.tokens(F.col("feed_norm"))})
+    j = computed_once(pairs.join(f, ["gender", "feed_norm"]), {"a_toks": T.tokens(F.col("feed_norm")), "b_toks": T.tokens(F.col("cand_norm"))})
     la, lb = F.length("feed_norm"), F.length("cand_norm")
-    j = j.withColumns({"same_last": (F.col("a_last") != "") & (F.col("a_last") == F.col("b_last")),
-                       "last_inside": F.array_contains("b_toks", F.col("a_last")),
-                       "same_initial": (F.col("a_initial") != "") & (F.col("a_initial") == F.col("b_initial"))})
-    jaccard = T.token_jaccard(F.col("a_toks"), F.col("b_toks"))
+    b_last, b_initial = F.element_at("b_toks", -1), F.substring("cand_norm", 1, 1)
+    j = computed_once(j, {"b_last": b_last, "same_last": (F.col("a_last") != "") & (F.col("a_last") == b_last),
+                          "last_inside": F.array_contains("b_toks", F.col("a_last")),
+                          "same_initial": (F.col("a_initial") != "") & (F.col("a_initial") == b_initial),
+                          "jaccard": T.token_jaccard(F.col("a_toks"), F.col("b_toks"))})
     added = (F.when(F.col("same_last"), last).when(F.col("last_inside"), inside).otherwise(0.0)
              + F.when(F.col("same_initial"), initial).otherwise(0.0))
-    j = j.withColumns({"jaccard": jaccard, "added": added})
-    floor = (F.lit(GLOBAL_MIN - 1e-6) - F.col("added") - extra * F.col("jaccard")) / F.lit(weight)
-    worth = floor <= 2 * F.least(la, lb) / (la + lb)
-    ratio = seq_ratio_above(F.when(worth, F.col("feed_norm")), F.when(worth, F.col("cand_norm")), floor)
-    return j.withColumn("ratio", F.coalesce(ratio, F.lit(0.0)))
+    j = j.withColumn("added", added)
+    limit = F.when(F.col("same_last") & F.col("same_initial"), INITIAL_FORM).otherwise(GLOBAL_MIN)  # both searches have one limit
+    j = j.withColumn("floor", (limit - F.lit(1e-6) - F.col("added") - extra * F.col("jaccard")) / F.lit(weight))
+    worth = F.col("floor") <= 2 * F.least(la, lb) / (la + lb)
+    may_be_fixed = (F.col("same_last") & (F.col("same_initial") | _several())) | fixed
+    ratio = seq_ratio_above(F.when(worth, F.col("feed_norm")), F.when(worth, F.col("cand_norm")), F.col("floor"))
+    j = j.where(worth | may_be_fixed).withColumn("ratio", F.coalesce(ratio, F.lit(0.0)))
+    return j.where((F.col("ratio") > 0) | may_be_fixed)  # a ratio below its floor is 0
+
+
+def _several() -> Column:
+    """More than one visible initial: they are single letters with a space between."""
+    return F.length("visible") >= 3
 
 
 def _place() -> tuple[Column, Column, Column]:
-    visible = F.filter(F.split("visible", " "), lambda x: x != "")
-    return visible, F.size(visible) >= 2, F.col("same_last") & F.col("same_initial")
+    return F.filter(F.split("visible", " "), lambda x: x != ""), _several(), F.col("same_last") & F.col("same_initial")
 
 
 # --- global search ---------------------------------------------------------
@@ -192,12 +199,13 @@ def global_pairs(feed: DataFrame, cand: DataFrame) -> DataFrame:
 
 
 def global_score(pairs: DataFrame, feed: DataFrame) -> DataFrame:
-    s = _scored_frame(pairs, feed, 0.72, 0.0, 0.16, 0.11, 0.12)
+    s = _scored_frame(pairs, feed, 0.72, 0.0, 0.16, 0.11, 0.12, F.lit(False))
     visible, several, initial_form = _place()
     given = F.transform(F.slice("b_toks", F.lit(1), F.greatest(F.size("b_toks") - 1, F.lit(0))), lambda t: F.substring(t, 1, 1))
-    multi = several & F.col("same_last") & (F.slice(given, F.lit(1), F.size(visible)) == visible)
+    s = computed_once(s, {"multi": _after(F.col("same_last") & several, F.slice(given, F.lit(1), F.size(visible)) == visible)})
+    multi = F.col("multi")
     exact = F.col("feed_norm") == F.col("cand_norm")
-    best = F.greatest(0.72 * F.col("ratio") + F.col("added"), F.when(initial_form, 0.975), F.when(multi, 0.955), F.when(exact, 0.995))
+    best = F.greatest(0.72 * F.col("ratio") + F.col("added"), F.when(initial_form, INITIAL_FORM), F.when(multi, 0.955), F.when(exact, 0.995))
     inside = F.col("same_last") | F.col("last_inside")
     method = (F.when(exact, "exact_full_name").when(multi, "multi_initial_surname").when(initial_form, "exact_initial_form")
               .when(F.col("same_initial"), F.when(inside, "initial_surname").otherwise("same_initial"))
@@ -245,21 +253,28 @@ def deep_pairs(feed: DataFrame, cand: DataFrame) -> DataFrame:
 
 
 def deep_score(pairs: DataFrame, feed: DataFrame) -> DataFrame:
-    s = _scored_frame(pairs, feed, 0.66, 0.12, 0.15, 0.11, 0.10).withColumn("variants", name_variants(F.col("feed_norm")))
+    # what a tier needs and is cheap to test; without a word of the table all variants have the words of the name itself
+    equal_size = F.length("feed_norm") == F.length("cand_norm")
+    spelled = F.arrays_overlap("a_toks", F.array(*map(F.lit, TRANSLITERATIONS)))
+    longer = (F.size("a_toks") >= 3) & (F.size("b_toks") >= 2) & F.col("last_inside")
+    short_word = F.array_contains("a_toks", F.col("b_last")) & F.rlike("cand_norm", F.lit("(^| )[a-z]( |$)"))
+    s = _scored_frame(pairs, feed, 0.66, 0.12, 0.15, 0.11, 0.10, equal_size | spelled | longer | short_word)
     visible, several, initial_form = _place()
-    same_words = _sorted_words(F.col("feed_norm")) == _sorted_words(F.col("cand_norm"))
-    subset = ((F.size("a_toks") >= 3) & (F.size("b_toks") >= 2) & (F.size(F.array_except("b_toks", "a_toks")) == 0) & F.col("last_inside"))
-    variant_name = F.array_contains("variants", F.col("cand_norm"))
-    variant_words = F.exists("variants", lambda v: _sorted_words(v) == _sorted_words(F.col("cand_norm")))
+    tests = {"same_words": _after(equal_size, _sorted_words(F.col("feed_norm")) == _sorted_words(F.col("cand_norm"))),
+             "subset": _after(longer, F.size(F.array_except("b_toks", "a_toks")) == 0)}
+    variants = name_variants(F.col("feed_norm"))
+    tests["variant_name"] = _after(spelled, F.array_contains(variants, F.col("cand_norm")))
+    tests["variant_words"] = _after(spelled, F.exists(variants, lambda v: _sorted_words(v) == _sorted_words(F.col("cand_norm"))))
     head = F.slice("b_toks", F.lit(1), F.greatest(F.size("b_toks") - 1, F.lit(0)))
     letters_of = lambda a: F.array_join(F.transform(a, lambda t: F.substring(t, 1, 1)), "")
-    multi = several & F.col("same_last") & _in_order(F.col("visible"), letters_of(head))
+    tests["multi"] = _after(F.col("same_last") & several, _in_order(F.col("visible"), letters_of(head)))
     singles = F.filter("b_toks", lambda t: t.rlike("^[a-z]$"))
     full_words = F.filter("a_toks", lambda t: (t != F.col("b_last")) & (F.length(t) > 1))
-    expanded = ((F.size(singles) > 0) & F.array_contains("a_toks", F.col("b_last"))
-                & _in_order(F.array_join(singles, " "), letters_of(full_words)))
+    tests["expanded"] = _after(short_word, _in_order(F.array_join(singles, " "), letters_of(full_words)))
+    s = computed_once(s, tests)
+    same_words, subset, variant_name, variant_words, multi, expanded = (F.col(c) for c in tests)
     inside = F.col("same_last") | F.col("last_inside")
-    loose = F.greatest(0.66 * F.col("ratio") + 0.12 * F.col("jaccard") + F.col("added"), F.when(initial_form, 0.975), F.when(multi, 0.955),
+    loose = F.greatest(0.66 * F.col("ratio") + 0.12 * F.col("jaccard") + F.col("added"), F.when(initial_form, INITIAL_FORM), F.when(multi, 0.955),
                        F.when(expanded, 0.925))
     tiers = [("exact_normalized", F.col("feed_norm") == F.col("cand_norm"), 1.0), ("exact_token_set", same_words, 0.995),
              ("subset_reordered_name", subset, 0.965), ("transliteration_exact_variant", variant_name, 0.960),

@@ -6,6 +6,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
+from rallyframe.functions import similarity
 from rallyframe.operators import candidate_search as S
 from rallyframe.operators import identity as E
 from rallyframe.operators import review as R
@@ -170,6 +171,53 @@ def test_names_of_one_initial_meet_block_by_block(spark, monkeypatch):
 
 
 
+def common_in_order(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last, row = row, [0]
+        for k, y in enumerate(b):
+            row.append(last[k] + 1 if x == y else max(last[k + 1], row[k]))
+    return row[-1]
+
+
+def test_letters_are_compared_in_their_order():
+    """Letters in common are not enough, nor few edits: what cannot be near in order is not handed on, and nothing else is lost."""
+    draw = random.Random(5)
+    name = lambda: "".join(draw.choice("abcdeé ") for _ in range(draw.randrange(1, 14)))
+    left, right = [name() for _ in range(70)] + ["abcdefghij", "ab" * 32], [name() for _ in range(50)] + ["adcbehgfij", "ab" * 40]
+    for floor in (0.5, 0.8, 0.97):
+        i, j = similarity.near_pairs(left, right, floor)
+        got = list(zip(i.tolist(), j.tolist()))
+        want = {(k, n) for k, a in enumerate(left) for n, b in enumerate(right) if 2 * common_in_order(a, b) >= floor * (len(a) + len(b)) - 1e-9}
+        assert len(got) == len(set(got)) and set(got) == want
+    assert [len(x) for x in similarity.near_pairs([], left, 0.8)] == [0, 0]
+    assert similarity._ratios_above(["abcdefghij", None, "", "a" * 90], ["adcbehgfij", "a", "a", "a" * 80 + "b"], [0.8] * 4) == [
+        0.0, None, 0.0, SequenceMatcher(None, "a" * 90, "a" * 80 + "b").ratio()]
+
+
+def test_names_of_any_initial_meet_on_whole_pieces(spark):
+    """Names with all letter pairs in common do not meet for that."""
+    names = ["ka" * 10 + "lo" * n + "ka" * (10 - n) + "tu" * (n % 3) for n in range(11)] + ["xka" * 9, "ka" * 20, "ka" * 20 + "l"]
+    frame = spark.createDataFrame([("men", n, n[0]) for n in names], "gender string, norm string, initial string")
+    found = S.near_names(frame, frame, 0.70 / 0.72, same_initial=False)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["feed_norm"], r["cand_norm"]) for r in found.collect()}
+    assert {(a, b) for a in names for b in names if ratio(a, b) >= 0.70 / 0.72} <= got
+
+
+def test_deep_search_scores_costly_tests_on_few_pairs(spark):
+    """A pair that can reach the limit neither by its ratio nor by a fixed score is left out before the tiers."""
+    pairs = [("men", "tobias lindqvor", "mu lindqvor"), ("men", "tobias lindqvor", "lindqvor tobias"), ("men", "nikita petrov", "mykyta petrov"),
+             ("men", "tobias lindqvor", "tobias quxon")]
+    feed = S.feed_names(spark.createDataFrame([("men", n.title()) for n in {p[1] for p in pairs}], "gender string, name string"))
+    frame = spark.createDataFrame(pairs, "gender string, feed_norm string, cand_norm string")
+    scored = S.deep_score(frame, feed)
+    assert {(r["cand_norm"], r["method"], r["score"]) for r in scored.collect()} == {
+        ("lindqvor tobias", "exact_token_set", 0.995), ("mykyta petrov", "transliteration_exact_variant", 0.96)}
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 3 and "array_union" not in plan[:plan.index("ArrowEvalPython")]
+
+
 def plain_global(name, initials, last, cand):
     tb = cand.split()
     score, method = ratio(name, cand) * 0.72, "fuzzy"
